@@ -1,0 +1,221 @@
+"""Order and courier feeds derived from the star-schema tables.
+
+Every feed column is integer arithmetic on a table row, so any SQL engine can
+rebuild the same feed.  One table row fans out into its events with explode;
+copies and duplicates come out of the same pass, and nothing is joined or
+shuffled except the order totals, which are aggregated per order first.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..dimensions import LIFECYCLE, ZONE_IDS
+from ..schemas import COURIER_FEED, ORDER_FEED, SCHEMA_VERSION
+from .tables import read_table, stream_table
+
+START_MS = 1_704_106_800_000  # 2024-01-01 11:00:00 UTC
+
+_ZONES = "array(" + ", ".join(f"'{z}'" for z in ZONE_IDS) + ")"
+_STATES = "array(" + ", ".join(f"'{s}'" for s in LIFECYCLE) + ")"
+
+
+def _as_feed(df: DataFrame, schema) -> DataFrame:
+    """All columns of the feed in order; those the derivation lacks are null."""
+    have = set(df.columns)
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )
+
+
+def order_totals(lineitem: DataFrame) -> DataFrame:
+    """Total of each order in cents."""
+    return (
+        lineitem.groupBy(F.col("l_orderkey").alias("k"))
+        .agg(
+            F.expr("sum((l_linenumber % 3 + 1) * (300 + l_partkey % 1500))").alias("cents")
+        )
+    )
+
+
+def item_rows(lineitem: DataFrame) -> DataFrame:
+    """Ordered items, one row each: the exploded form of ``order_items``."""
+    return lineitem.selectExpr(
+        "concat('ord_', l_orderkey) AS order_id",
+        "concat('item_', l_partkey) AS item_id",
+        "l_linenumber % 3 + 1 AS quantity",
+        "cast(300 + l_partkey % 1500 AS int) AS unit_price_cents",
+    )
+
+
+def item_names(part: DataFrame) -> DataFrame:
+    return part.selectExpr("concat('item_', p_partkey) AS item_id", "p_name AS item_name")
+
+
+def derive_orders(orders: DataFrame, totals: DataFrame) -> DataFrame:
+    """Order feed from orders (table or stream) and their totals."""
+    keyed = orders.select(
+        F.col("o_orderkey").alias("k"),
+        F.col("o_custkey").alias("c"),
+        F.expr("cast(substring(o_orderpriority, 1, 1) AS int)").alias("pr"),
+    )
+    drawn = keyed.join(totals, "k", "left").selectExpr(
+        "k", "c", "pr", "cents",
+        "(k * 7919) % 14400 AS off_s",
+        "(k * 31) % 97 AS a1",
+        "(k * 37) % 101 AS a2",
+        "(k * 6131) % 1021 AS a3",
+        "(k * 541) % 547 AS a4",
+        "(k * 3571) % 1501 AS a5",
+        "(k * 53) % 97 AS pc",
+        "(k * 13) % 4 + 1 AS cancel_at",
+        "(k * 67) % 103 AS rt",
+        "(k * 1009) % 1201 AS ep",
+        "(k * 71) % 107 AS skip",
+        "CASE pr WHEN 3 THEN 'RAIN' WHEN 4 THEN 'HEAVY_RAIN' WHEN 5 THEN 'SNOW' "
+        "ELSE 'CLEAR' END AS weather",
+        "CASE pr WHEN 3 THEN 120 WHEN 4 THEN 145 WHEN 5 THEN 160 ELSE 100 END AS wm",
+    )
+    timed = drawn.selectExpr(
+        "*",
+        "off_s div 3600 + 11 IN (12, 13, 14, 19, 20, 21) AS peak",
+        "CASE WHEN off_s div 3600 + 11 IN (12, 13, 14, 19, 20, 21) THEN 14 ELSE 10 END AS pm",
+    )
+    steps = timed.selectExpr(
+        "*",
+        "30 + a1 AS d1",
+        "10 + a2 AS d2",
+        "(480 + a3) * pm div 10 AS d3",
+        "60 + a4 AS d4",
+        "5 + a2 % 26 AS d5",
+        "(300 + a5) * wm div 100 AS d6",
+        "(600 + ep) * pm div 10 AS eprep",
+        "explode(array(0, 1, 2, 3, 4, 5, 6)) AS i",
+    ).filter("(pc < 12 AND i <= cancel_at) OR (pc >= 12 AND NOT (skip < 3 AND i = 3))")
+    events = steps.selectExpr(
+        "*",
+        f"CASE WHEN pc < 12 AND i = cancel_at THEN 'CANCELLED' ELSE {_STATES}[i] END AS status",
+        f"CASE WHEN i = 0 THEN NULL WHEN i = 4 AND pc >= 12 AND skip < 3 THEN {_STATES}[2] "
+        f"ELSE {_STATES}[i - 1] END AS previous",
+        "if(i >= 1, d1, 0) + if(i >= 2, d2, 0) + if(i >= 3, d3, 0) + if(i >= 4, d4, 0) "
+        "+ if(i >= 5, d5, 0) + if(i >= 6, d6, 0) AS el",
+    )
+    # variant 1 is the rating copy, 2 the duplicate, 3 the duplicate of the copy
+    variants = events.selectExpr(
+        "*",
+        "explode(CASE"
+        " WHEN status = 'DELIVERED' AND rt < 65 AND (k * 11 + i * 3) % 53 = 0"
+        " THEN array(0, 1, 2, 3)"
+        " WHEN status = 'DELIVERED' AND rt < 65 THEN array(0, 1)"
+        " WHEN (k * 11 + i * 3) % 53 = 0 THEN array(0, 2)"
+        " ELSE array(0) END) AS v",
+    ).selectExpr(
+        "*",
+        "v IN (1, 3) AS rated",
+        "v IN (2, 3) AS dup",
+        f"{START_MS} + (off_s + el) * 1000 AS ms",
+        "(k * 7 + i) % 19 = 0 AS late",
+    )
+    return _as_feed(
+        variants.selectExpr(
+            f"'{SCHEMA_VERSION}' AS schema_version",
+            "concat('oe_', k, '_', i, if(rated, '_r', '')) AS event_id",
+            "concat('ord_', k) AS order_id",
+            "concat('cust_', c) AS customer_id",
+            "concat('rest_', k * 31 % 50) AS restaurant_id",
+            "if(i >= 1, concat('courier_', k * 17 % 80), NULL) AS courier_id",
+            f"{_ZONES}[cast(c % 6 AS int)] AS zone_id",
+            "status AS order_status",
+            "previous AS previous_status",
+            "timestamp_millis(ms + if(rated, (60 + k % 3541) * 1000, 0)) AS event_timestamp",
+            "timestamp_millis(ms + if(late, 30000 + (k * 17 % 270) * 1000, 50 + k % 1951)"
+            " + if(dup, 100 + k % 4901, 0)) AS ingestion_timestamp",
+            "if(i = 0, cents, NULL) AS order_total_cents",
+            "if(i <= 1, eprep, NULL) AS estimated_prep_time_seconds",
+            "if(i = 0, (eprep + 900) * wm div 100, NULL) AS estimated_delivery_time_seconds",
+            "if(i >= 3 AND skip >= 3 AND NOT (pc < 12 AND cancel_at = 3), d2 + d3, NULL)"
+            " AS actual_prep_time_seconds",
+            "if(status = 'DELIVERED', el, NULL) AS actual_delivery_time_seconds",
+            "peak AS is_peak_hour",
+            "weather AS weather_condition",
+            "if(status = 'CANCELLED', array('CUSTOMER_REQUEST', 'RESTAURANT_CLOSED',"
+            " 'NO_COURIER_AVAILABLE', 'PAYMENT_FAILED')[cast(k % 4 AS int)], NULL)"
+            " AS cancellation_reason",
+            "if(rated, (10 + k % 41) / 10D, NULL) AS customer_rating",
+            "dup AS is_duplicate",
+            "late OR rated AS is_late_arrival",
+        ),
+        ORDER_FEED,
+    )
+
+
+def derive_couriers(events: DataFrame) -> DataFrame:
+    """Courier feed from the events table or stream."""
+    drawn = events.selectExpr(
+        "event_id AS e",
+        "user_id AS u",
+        "event_type AS t",
+        "(event_id * 7919000 + event_id % 977) % 14400000 AS off",
+        "(event_id * 29) % 397 AS a",
+        "cast(user_id % 6 AS int) AS z",
+    )
+    placed = drawn.selectExpr(
+        "*",
+        "a >= 20 AND a < 40 AS vanished",
+        "CASE WHEN (a >= 20 AND a < 40) OR e % 61 = 0 THEN 'OFFLINE'"
+        " WHEN t = 'view' THEN 'ONLINE_IDLE'"
+        " WHEN t = 'click' THEN 'HEADING_TO_RESTAURANT'"
+        " WHEN t = 'signup' THEN 'WAITING_AT_RESTAURANT'"
+        " WHEN t = 'error' THEN 'EN_ROUTE_TO_CUSTOMER'"
+        " WHEN t = 'purchase' THEN 'DELIVERED' END AS status",
+        "off % 3600000 div 1000 AS sh",
+        "array(40705000, 40725000, 40650000, 40710000, 40755000, 40600000)[z]"
+        " + off div 1000 + if(a < 12, 500000, 0) AS lat_e6",
+        "array(-74010000, -74005000, -74010000, -73970000, -73990000, -74050000)[z]"
+        " + off div 1000 AS lon_e6",
+        "e % 19 = 0 AS late",
+        "explode(if(e % 53 = 7, array(false, true), array(false))) AS dup",
+    )
+    return _as_feed(
+        placed.selectExpr(
+            f"'{SCHEMA_VERSION}' AS schema_version",
+            "concat('ce_', e, if(dup, '_d', '')) AS event_id",
+            "concat('courier_', u % 80) AS courier_id",
+            "if(vanished OR status NOT IN ('ONLINE_IDLE', 'OFFLINE'), concat('ord_', e), NULL)"
+            " AS order_id",
+            f"{_ZONES}[z] AS zone_id",
+            "status AS courier_status",
+            f"timestamp_millis({START_MS} + off) AS event_timestamp",
+            f"timestamp_millis({START_MS} + off + 50 + e % 1951"
+            " + if(late, 30000 + (e * 17 % 270) * 1000, 0)"
+            " + if(dup, 100 + e % 2901, 0)) AS ingestion_timestamp",
+            "lat_e6 / 1e6D AS latitude",
+            "lon_e6 / 1e6D AS longitude",
+            "array('BICYCLE', 'SCOOTER', 'MOTORCYCLE', 'CAR', 'FOOT')[cast(u % 5 AS int)]"
+            " AS vehicle_type",
+            "concat('sess_', u, '_', off div 3600000) AS session_id",
+            "if(e % 10 <> 3, sh, NULL) AS shift_duration_seconds",
+            "sh div 600 AS deliveries_completed_in_session",
+            "dup AS is_duplicate",
+            "late AS is_late_arrival",
+            "CASE WHEN a < 12 THEN 'LOCATION_JUMP' WHEN a < 20 THEN 'IMPOSSIBLE_SPEED'"
+            " WHEN a < 40 THEN 'OFFLINE_MID_DELIVERY' WHEN a < 44 THEN 'CLOCK_SKEW' END"
+            " AS anomaly_flag",
+        ),
+        COURIER_FEED,
+    )
+
+
+def order_feed(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
+    read = stream_table if streaming else read_table
+    totals = order_totals(read_table(spark, folder, "lineitem"))
+    return derive_orders(read(spark, folder, "orders"), totals)
+
+
+def courier_feed(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
+    read = stream_table if streaming else read_table
+    return derive_couriers(read(spark, folder, "events"))

@@ -1,0 +1,22 @@
+"""The star-schema tables the feeds are derived from, as batch or stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+# only what the feeds need, so scans stay narrow and no footer is read to infer
+TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int",
+    "part": "p_partkey bigint, p_name string",
+    "events": "event_id bigint, user_id bigint, event_type string",
+}
+
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    # a glob, because a file stream takes no plain file as its path
+    return spark.readStream.schema(TABLES[name]).parquet(f"{folder}/{name}[.]parquet")
