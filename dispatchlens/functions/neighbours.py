@@ -1,40 +1,58 @@
-"""Previous and next value within a key, also where one key is very large.
+"""Values of nearby rows within a key, also where one key is very large.
 
 A plain ``lag`` puts all rows of a key into one task.  Here each key is cut
-into time slices: a window function looks inside a slice, and only the first
-and last row of each slice travel on to link neighbouring slices.  Rows must be
-unique per key and time, so a slice never holds more rows than it has ticks.
+into time slices.  A window looks inside a slice; only the rows at the edges of
+a slice then meet the edge rows of other slices.  Rows must be unique per key
+and time, so a slice never holds more rows than it has ticks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SLICE_MILLIS = 600_000
+
+
+def _shifted(value: str, offset: int) -> Column:
+    return F.lag(value, -offset) if offset < 0 else F.lead(value, offset)
+
 
 def with_neighbours(
-    rows: DataFrame, keys: list[str], millis: str, value: str, slice_millis: int = 600_000
+    rows: DataFrame,
+    keys: list[str],
+    millis: str,
+    value: str,
+    offsets: Mapping[str, int],
+    slice_millis: int = SLICE_MILLIS,
 ) -> DataFrame:
-    """Add ``previous`` and ``next``: ``value`` of the adjacent rows by time.
+    """Add a column per offset with ``value`` of the row that many steps away.
 
-    ``rows`` holds one row per ``keys`` and ``millis``; ``value`` is a struct
-    that starts with ``millis``, so that least and greatest follow time.
+    ``offsets`` maps column names to steps in time order, such as
+    ``{"previous": -1, "next": 1}``.  ``rows`` holds one row per ``keys`` and
+    ``millis``.  Both branches read the same sliced rows, so Spark shuffles
+    those once and reuses the exchange.
     """
-    sliced = rows.withColumn("slice", F.floor(F.col(millis) / slice_millis))
-    place = [*keys, "slice"]
-    inside = Window.partitionBy(*place).orderBy(millis)
-    edges = sliced.groupBy(*place).agg(F.min(value).alias("first"), F.max(value).alias("last"))
-    across = Window.partitionBy(*keys).orderBy("slice")
-    links = edges.select(
-        *place,
-        F.lag("last").over(across).alias("before"),
-        F.lead("first").over(across).alias("after"),
+    reach = max(abs(offset) for offset in offsets.values())
+    inside = Window.partitionBy(*keys, "slice").orderBy(millis)
+    across = Window.partitionBy(*keys).orderBy(millis)
+    sliced = rows.withColumn("slice", F.floor(F.col(millis) / slice_millis)).withColumns(
+        {name: _shifted(value, offset).over(inside) for name, offset in offsets.items()}
+        | {
+            "at_edge": F.lag(millis, reach).over(inside).isNull()
+            | F.lead(millis, reach).over(inside).isNull()
+        }
     )
-    return (
-        sliced.withColumn("previous", F.lag(value).over(inside))
-        .withColumn("next", F.lead(value).over(inside))
-        .join(links, place)
-        .withColumn("previous", F.coalesce("previous", "before"))
-        .withColumn("next", F.coalesce("next", "after"))
-        .drop("slice", "before", "after")
+    # What an edge row misses lies in another slice, and every row on the way
+    # there is an edge row too.
+    edges = (
+        sliced.filter("at_edge")
+        .withColumns(
+            {f"{name}_across": _shifted(value, o).over(across) for name, o in offsets.items()}
+        )
+        .withColumns({name: F.coalesce(name, f"{name}_across") for name in offsets})
+        .drop(*[f"{name}_across" for name in offsets])
     )
+    return sliced.filter("NOT at_edge").unionByName(edges).drop("slice", "at_edge")

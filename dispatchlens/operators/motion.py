@@ -54,18 +54,22 @@ def judged_points(couriers: DataFrame) -> DataFrame:
     """Track points with ``kmh`` from the previous point and the jump verdict.
 
     A point is a jump when it was reached faster than the vehicle can go, and
-    the next point is back within reach of the previous one: the return from a
-    jump is as fast as the jump itself and must not count.
+    the track goes on without it: the next point is within reach of the
+    previous one.  The way back from a jump is as fast as the jump itself and
+    must not count, which the last point of a track shows by being within reach
+    of the point before the previous one.
     """
-    here, before, after = F.col("point"), F.col("previous"), F.col("next")
+    here, previous, following, earlier = map(F.col, ("point", "previous", "next", "earlier"))
     limit = lookup(F.col("vehicle_type"), VEHICLE_MAX_KMH)
-    back_on_track = after.isNull() | (_kmh(before, after) <= limit)
+    returned = F.coalesce(_kmh(earlier, here) <= limit, F.lit(False))
+    leaves_track = F.when(following.isNull(), ~returned).otherwise(
+        _kmh(previous, following) <= limit
+    )
+    offsets = {"previous": -1, "next": 1, "earlier": -2}
     return (
-        with_neighbours(track_points(couriers), TRACK, "at", "point")
-        .withColumn("kmh", F.when(before.isNotNull(), _kmh(before, here)))
-        .withColumn(
-            "detected", F.coalesce((F.col("kmh") > limit) & back_on_track, F.lit(False))
-        )
+        with_neighbours(track_points(couriers), TRACK, "at", "point", offsets)
+        .withColumn("kmh", _kmh(previous, here))
+        .withColumn("detected", F.coalesce((F.col("kmh") > limit) & leaves_track, F.lit(False)))
     )
 
 

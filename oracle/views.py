@@ -338,12 +338,15 @@ FROM courier_feed WHERE NOT is_duplicate GROUP BY courier_id, session_id, ms""",
 )
 _view(
     "judged",
-    f"""SELECT *, coalesce(kmh > top AND (ms2 IS NULL OR skip_kmh <= top), false) AS detected
+    f"""SELECT *, coalesce(kmh > top AND CASE WHEN ms2 IS NULL
+        THEN NOT coalesce(back_kmh <= top, false) ELSE skip_kmh <= top END, false) AS detected
 FROM (SELECT *, CASE vehicle_type WHEN 'BICYCLE' THEN 25 WHEN 'SCOOTER' THEN 45
             WHEN 'MOTORCYCLE' THEN 80 WHEN 'CAR' THEN 90 WHEN 'FOOT' THEN 8 END AS top,
         {haversine("lat1", "lon1", "lat", "lon")} * 3.6e6 / (ms - ms1) AS kmh,
-        {haversine("lat1", "lon1", "lat2", "lon2")} * 3.6e6 / (ms2 - ms1) AS skip_kmh
+        {haversine("lat1", "lon1", "lat2", "lon2")} * 3.6e6 / (ms2 - ms1) AS skip_kmh,
+        {haversine("lat0", "lon0", "lat", "lon")} * 3.6e6 / (ms - ms0) AS back_kmh
     FROM (SELECT *, lag(lat) OVER w AS lat1, lag(lon) OVER w AS lon1, lag(ms) OVER w AS ms1,
+            lag(lat, 2) OVER w AS lat0, lag(lon, 2) OVER w AS lon0, lag(ms, 2) OVER w AS ms0,
             lead(lat) OVER w AS lat2, lead(lon) OVER w AS lon2, lead(ms) OVER w AS ms2
         FROM track WINDOW w AS (PARTITION BY courier_id, session_id ORDER BY ms)))""",
     "track",

@@ -1,0 +1,39 @@
+import os
+import sys
+import tempfile
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parents[1]
+sys.path.insert(0, str(ROOT))
+sys.path.insert(0, str(ROOT / "tests"))
+
+TABLES = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from dispatchlens.session import create_session
+
+    scratch = tempfile.mkdtemp(prefix="dispatchlens-test-")
+    session = create_session(
+        "tests",
+        "local[4]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": f"{scratch}/checkpoints",
+            "spark.sql.warehouse.dir": f"{scratch}/warehouse",
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def tables():
+    if not Path(TABLES, "orders.parquet").exists():
+        pytest.skip(f"no tables in {TABLES}")
+    return TABLES
