@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,19 +19,22 @@ _UNDECODED = {"schema_version", "order_items", "metadata"}
 
 
 def connectors(spark: SparkSession) -> dict[str, bool]:
-    """Which optional connectors the session can load."""
-    probes = {
-        "kafka": "org.apache.spark.sql.kafka010.KafkaSourceProvider",
-        "avro": "org.apache.spark.sql.avro.AvroFileFormat",
-    }
-    loader = spark._jvm.org.apache.spark.util.Utils
-    found = {}
-    for name, provider in probes.items():
+    """Which optional connectors the session can use; nothing is contacted."""
+    from pyspark.sql.avro.functions import to_avro
+
+    def usable(attempt) -> bool:
         try:
-            found[name] = loader.classForName(provider, False, False) is not None
-        except Exception:
-            found[name] = False
-    return found
+            attempt()
+        except AnalysisException:
+            return False
+        except PySparkException:
+            return True  # the connector is there and misses its options
+        return True
+
+    return {
+        "kafka": usable(lambda: spark.readStream.format("kafka").load()),
+        "avro": usable(lambda: spark.range(0).select(to_avro("id"))),
+    }
 
 
 def topic_options(
