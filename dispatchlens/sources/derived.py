@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..dimensions import LIFECYCLE, ZONE_IDS
 from ..schemas import COURIER_FEED, ORDER_FEED, SCHEMA_VERSION
@@ -21,12 +22,11 @@ _ZONES = "array(" + ", ".join(f"'{z}'" for z in ZONE_IDS) + ")"
 _STATES = "array(" + ", ".join(f"'{s}'" for s in LIFECYCLE) + ")"
 
 
-def _as_feed(df: DataFrame, schema) -> DataFrame:
+def _as_feed(df: DataFrame, schema: T.StructType, columns: dict[str, str]) -> DataFrame:
     """All columns of the feed in order; those the derivation lacks are null."""
-    have = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"cast({columns.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in schema
         ]
     )
@@ -121,35 +121,34 @@ def derive_orders(orders: DataFrame, totals: DataFrame) -> DataFrame:
         "(k * 7 + i) % 19 = 0 AS late",
     )
     return _as_feed(
-        variants.selectExpr(
-            f"'{SCHEMA_VERSION}' AS schema_version",
-            "concat('oe_', k, '_', i, if(rated, '_r', '')) AS event_id",
-            "concat('ord_', k) AS order_id",
-            "concat('cust_', c) AS customer_id",
-            "concat('rest_', k * 31 % 50) AS restaurant_id",
-            "if(i >= 1, concat('courier_', k * 17 % 80), NULL) AS courier_id",
-            f"{_ZONES}[cast(c % 6 AS int)] AS zone_id",
-            "status AS order_status",
-            "previous AS previous_status",
-            "timestamp_millis(ms + if(rated, (60 + k % 3541) * 1000, 0)) AS event_timestamp",
-            "timestamp_millis(ms + if(late, 30000 + (k * 17 % 270) * 1000, 50 + k % 1951)"
-            " + if(dup, 100 + k % 4901, 0)) AS ingestion_timestamp",
-            "if(i = 0, cents, NULL) AS order_total_cents",
-            "if(i <= 1, eprep, NULL) AS estimated_prep_time_seconds",
-            "if(i = 0, (eprep + 900) * wm div 100, NULL) AS estimated_delivery_time_seconds",
-            "if(i >= 3 AND skip >= 3 AND NOT (pc < 12 AND cancel_at = 3), d2 + d3, NULL)"
-            " AS actual_prep_time_seconds",
-            "if(status = 'DELIVERED', el, NULL) AS actual_delivery_time_seconds",
-            "peak AS is_peak_hour",
-            "weather AS weather_condition",
-            "if(status = 'CANCELLED', array('CUSTOMER_REQUEST', 'RESTAURANT_CLOSED',"
-            " 'NO_COURIER_AVAILABLE', 'PAYMENT_FAILED')[cast(k % 4 AS int)], NULL)"
-            " AS cancellation_reason",
-            "if(rated, (10 + k % 41) / 10D, NULL) AS customer_rating",
-            "dup AS is_duplicate",
-            "late OR rated AS is_late_arrival",
-        ),
+        variants,
         ORDER_FEED,
+        {
+            "schema_version": f"'{SCHEMA_VERSION}'",
+            "event_id": "concat('oe_', k, '_', i, if(rated, '_r', ''))",
+            "order_id": "concat('ord_', k)",
+            "customer_id": "concat('cust_', c)",
+            "restaurant_id": "concat('rest_', k * 31 % 50)",
+            "courier_id": "if(i >= 1, concat('courier_', k * 17 % 80), NULL)",
+            "zone_id": f"{_ZONES}[cast(c % 6 AS int)]",
+            "order_status": "status",
+            "previous_status": "previous",
+            "event_timestamp": "timestamp_millis(ms + if(rated, (60 + k % 3541) * 1000, 0))",
+            "ingestion_timestamp": "timestamp_millis(ms + if(late, 30000 + (k * 17 % 270) * 1000, 50 + k % 1951)"
+            " + if(dup, 100 + k % 4901, 0))",
+            "order_total_cents": "if(i = 0, cents, NULL)",
+            "estimated_prep_time_seconds": "if(i <= 1, eprep, NULL)",
+            "estimated_delivery_time_seconds": "if(i = 0, (eprep + 900) * wm div 100, NULL)",
+            "actual_prep_time_seconds": "if(i >= 3 AND skip >= 3 AND NOT (pc < 12 AND cancel_at = 3), d2 + d3, NULL)",
+            "actual_delivery_time_seconds": "if(status = 'DELIVERED', el, NULL)",
+            "is_peak_hour": "peak",
+            "weather_condition": "weather",
+            "cancellation_reason": "if(status = 'CANCELLED', array('CUSTOMER_REQUEST', 'RESTAURANT_CLOSED',"
+            " 'NO_COURIER_AVAILABLE', 'PAYMENT_FAILED')[cast(k % 4 AS int)], NULL)",
+            "customer_rating": "if(rated, (10 + k % 41) / 10D, NULL)",
+            "is_duplicate": "dup",
+            "is_late_arrival": "late OR rated",
+        },
     )
 
 
@@ -181,32 +180,30 @@ def derive_couriers(events: DataFrame) -> DataFrame:
         "explode(if(e % 53 = 7, array(false, true), array(false))) AS dup",
     )
     return _as_feed(
-        placed.selectExpr(
-            f"'{SCHEMA_VERSION}' AS schema_version",
-            "concat('ce_', e, if(dup, '_d', '')) AS event_id",
-            "concat('courier_', u % 80) AS courier_id",
-            "if(vanished OR status NOT IN ('ONLINE_IDLE', 'OFFLINE'), concat('ord_', e), NULL)"
-            " AS order_id",
-            f"{_ZONES}[z] AS zone_id",
-            "status AS courier_status",
-            f"timestamp_millis({START_MS} + off) AS event_timestamp",
-            f"timestamp_millis({START_MS} + off + 50 + e % 1951"
-            " + if(late, 30000 + (e * 17 % 270) * 1000, 0)"
-            " + if(dup, 100 + e % 2901, 0)) AS ingestion_timestamp",
-            "lat_e6 / 1e6D AS latitude",
-            "lon_e6 / 1e6D AS longitude",
-            "array('BICYCLE', 'SCOOTER', 'MOTORCYCLE', 'CAR', 'FOOT')[cast(u % 5 AS int)]"
-            " AS vehicle_type",
-            "concat('sess_', u, '_', off div 3600000) AS session_id",
-            "if(e % 10 <> 3, sh, NULL) AS shift_duration_seconds",
-            "sh div 600 AS deliveries_completed_in_session",
-            "dup AS is_duplicate",
-            "late AS is_late_arrival",
-            "CASE WHEN a < 12 THEN 'LOCATION_JUMP' WHEN a < 20 THEN 'IMPOSSIBLE_SPEED'"
-            " WHEN a < 40 THEN 'OFFLINE_MID_DELIVERY' WHEN a < 44 THEN 'CLOCK_SKEW' END"
-            " AS anomaly_flag",
-        ),
+        placed,
         COURIER_FEED,
+        {
+            "schema_version": f"'{SCHEMA_VERSION}'",
+            "event_id": "concat('ce_', e, if(dup, '_d', ''))",
+            "courier_id": "concat('courier_', u % 80)",
+            "order_id": "if(vanished OR status NOT IN ('ONLINE_IDLE', 'OFFLINE'), concat('ord_', e), NULL)",
+            "zone_id": f"{_ZONES}[z]",
+            "courier_status": "status",
+            "event_timestamp": f"timestamp_millis({START_MS} + off)",
+            "ingestion_timestamp": f"timestamp_millis({START_MS} + off + 50 + e % 1951"
+            " + if(late, 30000 + (e * 17 % 270) * 1000, 0)"
+            " + if(dup, 100 + e % 2901, 0))",
+            "latitude": "lat_e6 / 1e6D",
+            "longitude": "lon_e6 / 1e6D",
+            "vehicle_type": "array('BICYCLE', 'SCOOTER', 'MOTORCYCLE', 'CAR', 'FOOT')[cast(u % 5 AS int)]",
+            "session_id": "concat('sess_', u, '_', off div 3600000)",
+            "shift_duration_seconds": "if(e % 10 <> 3, sh, NULL)",
+            "deliveries_completed_in_session": "sh div 600",
+            "is_duplicate": "dup",
+            "is_late_arrival": "late",
+            "anomaly_flag": "CASE WHEN a < 12 THEN 'LOCATION_JUMP' WHEN a < 20 THEN 'IMPOSSIBLE_SPEED'"
+            " WHEN a < 40 THEN 'OFFLINE_MID_DELIVERY' WHEN a < 44 THEN 'CLOCK_SKEW' END",
+        },
     )
 
 

@@ -143,6 +143,7 @@ def test_promise_join_is_bounded_and_never_multiplies(session):
             {"order_id": "a", **placed},
             {"order_id": "a", **placed, "event_id": "again"},
             {"order_id": "a", "t": 1200, **done},
+            {"order_id": "a", "t": 1200, **done, "event_id": "done again"},
             {"order_id": "a", "t": 2000, **done, "customer_rating": 4.0},
             {"order_id": "too late", **placed},
             {"order_id": "too late", "t": 7 * 3600, **done},
