@@ -59,9 +59,10 @@ LIFECYCLE = ORDER_STATUSES[:7]
 
 # Besides each step to the next one, an order may be cancelled from its first
 # four states, or after pickup when its courier vanishes.
-CANCELLABLE = ("PLACED", "ACCEPTED", "PREPARING", "READY_FOR_PICKUP", "PICKED_UP")
+CANCELLABLE = LIFECYCLE[:5]
 
 
+# seconds each step from one lifecycle status to the next may take, in order
 class StepBounds(NamedTuple):
     from_status: str
     to_status: str
