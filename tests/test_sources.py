@@ -49,7 +49,8 @@ def test_derived_feeds_follow_the_contract(spark, tables):
         (derived.courier_feed(spark, tables), schemas.COURIER_FEED),
     ):
         assert feed.columns == schema.fieldNames()
-        assert [f.dataType for f in feed.schema] == [f.dataType for f in schema]
+        types = dict(feed.dtypes)
+        assert types == {f.name: f.dataType.simpleString() for f in schema}
         required = [f.name for f in schema if not f.nullable]
         assert feed.dropna("any", subset=required).count() == feed.count()
 
