@@ -164,6 +164,10 @@ def queries() -> dict[str, Query]:
         "x_eta_accuracy": _on_feeds(
             lambda f: lifecycle.promise_accuracy(lifecycle.promise_errors(f.orders()))
         ),
+        # sketches differ between engines, so this one has no SQL counterpart
+        "uc9_supply_demand_approx": _on_feeds(
+            lambda f: market.supply_demand(f.orders(), f.couriers(), exact=False)
+        ),
         "x_surge_zones": _on_feeds(
             lambda f: market.surge_windows(f.analytic("uc9_supply_demand"))
         ),

@@ -63,5 +63,8 @@ def streaming_session(spark: SparkSession, rocksdb: bool = True) -> SparkSession
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
     )
     if rocksdb:
-        session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        store = "spark.sql.streaming.stateStore"
+        session.conf.set(f"{store}.providerClass", ROCKSDB)
+        # a commit uploads the changes of the batch, not whole state files
+        session.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
     return session

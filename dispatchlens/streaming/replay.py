@@ -8,8 +8,6 @@ so they never show in a windowed result.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,11 +89,3 @@ class Replay:
         frames = {feed: getattr(self, feed)() for feed in analytic.feeds}
         stored = self.run(analytic(frames), name, ("window_date",))
         return stored.select(*result_schema(name).fieldNames())
-
-
-def replayed(
-    spark: SparkSession, tables: str, build: Callable[[Replay], DataFrame], name: str
-) -> DataFrame:
-    """Run ``build`` as a stream and drop what flush rows left in unwindowed results."""
-    replay = Replay(spark, tables)
-    return replay.run(build(replay), name)

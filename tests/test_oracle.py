@@ -13,8 +13,11 @@ QUERIES = entry_module.queries()
 SQL = entry_module.oracle_sql()
 
 
-def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(SQL)
+APPROXIMATE = {"uc9_supply_demand_approx"}
+
+
+def test_every_exact_query_has_its_sql():
+    assert set(QUERIES) - APPROXIMATE == set(SQL)
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +41,7 @@ def ordered(rows):
     return sorted(rows, key=lambda row: [(v is None, str(v)) for v in row])
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, tables, duck, name):
     frame = QUERIES[name](spark, tables)
     columns = sorted(frame.columns)
@@ -50,6 +53,16 @@ def test_query_matches_sql(spark, tables, duck, name):
     assert ordered(found) == ordered(expected)
 
 
+def test_approximate_supply_is_close(spark, tables):
+    keys = ["window_start", "zone_id"]
+    exact = QUERIES["uc9_supply_demand"](spark, tables)
+    close = QUERIES["uc9_supply_demand_approx"](spark, tables)
+    assert exact.count() == close.count()
+    both = exact.join(close.withColumnRenamed("supply_couriers", "approx"), keys)
+    assert both.count() == exact.count()
+    assert both.filter("abs(approx - supply_couriers) > 1 + 0.2 * supply_couriers").count() == 0
+
+
 def test_entry_returns_rows(spark, tables):
     frame = entry_module.entry(spark)
     assert frame.columns[:3] == ["window_start", "window_end", "window_date"]
