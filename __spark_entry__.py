@@ -75,6 +75,12 @@ def _json_lines_roundtrip(feeds: Feeds) -> DataFrame:
     return files.read_json_lines(feeds.spark, path, schemas.ORDER_FEED).select(*ORDER_COLUMNS)
 
 
+def _avro_roundtrip(feeds: Feeds) -> DataFrame:
+    path = new_run_folder(feeds.spark, "avro")
+    files.write_avro(feeds.couriers(), path, schemas.COURIER_FEED)
+    return files.read_avro(feeds.spark, path, schemas.COURIER_FEED).select(*COURIER_COLUMNS)
+
+
 def _results_roundtrip(feeds: Feeds) -> DataFrame:
     base, name = new_run_folder(feeds.spark, "results"), "uc1_order_volume"
     files.write_results(feeds.analytic(name), base, name)
@@ -132,6 +138,7 @@ def queries() -> dict[str, Query]:
             lambda f: quality.edge_case_counts(f.orders(), f.couriers())
         ),
         "io_jsonl_roundtrip": _on_feeds(_json_lines_roundtrip),
+        "io_avro_roundtrip": _on_feeds(_avro_roundtrip),
         "io_results_roundtrip": _on_feeds(_results_roundtrip),
         "q_late_arrivals": _on_feeds(lambda f: quality.late_arrivals(f.orders(), f.couriers())),
         "q_location_jumps": _on_feeds(lambda f: motion.location_jumps(f.couriers())),

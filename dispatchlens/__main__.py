@@ -19,7 +19,7 @@ import json
 
 from . import jobs
 from .plans.catalog import REPORTS
-from .schemas import COURIER_AVRO, ORDER_AVRO
+from .schemas import COURIER_FEED, ORDER_FEED
 from .session import create_session, streaming_session
 from .sources.kafka import publish
 from .streaming.runner import finish_all, run_until_stopped, start_all
@@ -76,8 +76,8 @@ def main(argv=None) -> None:
         jobs.run_batch(jobs.stored_feeds(spark, args.feeds), args.results)
     elif args.command == "publish":
         feeds, connection = jobs.stored_feeds(spark, args.feeds), _connection(args.connection)
-        publish(feeds[jobs.ORDERS], ORDER_AVRO, args.orders, connection)
-        publish(feeds[jobs.COURIERS], COURIER_AVRO, args.couriers, connection)
+        publish(feeds[jobs.ORDERS], ORDER_FEED, args.orders, connection)
+        publish(feeds[jobs.COURIERS], COURIER_FEED, args.couriers, connection)
     elif args.command == "stream":
         session = streaming_session(spark)
         if args.files:

@@ -180,10 +180,15 @@ def _avro_record(name: str, struct: T.StructType) -> dict:
     return {"type": "record", "name": name, "fields": fields}
 
 
-def avro_schema(feed: T.StructType, name: str) -> str:
+def avro_schema(feed: T.StructType) -> str:
     """Avro schema (JSON text) with the wire layout of a feed."""
+    name = "OrderLifecycleEvent" if "order_status" in feed.fieldNames() else "CourierStatusEvent"
     return json.dumps(_avro_record(name, feed))
 
 
-ORDER_AVRO = avro_schema(ORDER_FEED, "OrderLifecycleEvent")
-COURIER_AVRO = avro_schema(COURIER_FEED, "CourierStatusEvent")
+def avro_columns(feed: T.StructType) -> T.StructType:
+    """The feed's columns, nullable, with the types they have on the wire."""
+    wire = {"int": T.IntegerType()}
+    return T.StructType(
+        [T.StructField(f.name, wire.get(f.metadata.get("avro"), f.dataType)) for f in feed]
+    )

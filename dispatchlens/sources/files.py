@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.rollups import within_dates
-from ..schemas import as_nullable, result_schema
+from ..schemas import as_nullable, avro_columns, avro_schema, result_schema
+
+# Spark's own Avro files; by class, as the short name needs the spark-avro package
+AVRO = "org.apache.spark.sql.avro.AvroFileFormat"
 
 
 def _wire_schema(feed: T.StructType) -> T.StructType:
@@ -53,13 +56,25 @@ def read_feed(
     return reader.schema(as_nullable(schema)).options(**options).parquet(path)
 
 
-def write_avro(feed: DataFrame, path: str, avro_schema: str, mode: str = "errorifexists"):
-    """Write a feed as Avro container files (needs the spark-avro package)."""
-    feed.write.format("avro").mode(mode).option("avroSchema", avro_schema).save(path)
+def cast_to(feed: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of a schema, in its order and with its types, all nullable."""
+    return feed.select(
+        *[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in schema]
+    )
+
+
+def write_avro(feed: DataFrame, path: str, schema: T.StructType, mode: str = "errorifexists"):
+    """Write a feed as Avro container files."""
+    wire = cast_to(feed, avro_columns(schema))
+    wire.write.format(AVRO).mode(mode).option("avroSchema", avro_schema(schema)).save(path)
 
 
-def read_avro(spark: SparkSession, path: str, avro_schema: str) -> DataFrame:
-    return spark.read.format("avro").option("avroSchema", avro_schema).load(path)
+def read_avro(
+    spark: SparkSession, path: str, schema: T.StructType, streaming: bool = False
+) -> DataFrame:
+    """A feed kept as Avro container files, whatever names its writer gave the types."""
+    reader = spark.readStream if streaming else spark.read
+    return cast_to(reader.format(AVRO).schema(avro_columns(schema)).load(path), schema)
 
 
 def write_results(results: DataFrame, base: str, name: str, mode: str = "append"):

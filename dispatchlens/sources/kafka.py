@@ -11,8 +11,10 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schemas import COURIER_AVRO, COURIER_FEED, ORDER_AVRO, ORDER_FEED
+from ..schemas import COURIER_FEED, ORDER_FEED, avro_columns, avro_schema
+from .files import cast_to
 
 # not part of the analytics: left out when a topic is decoded
 _UNDECODED = {"schema_version", "order_items", "metadata"}
@@ -64,25 +66,20 @@ def read_topic(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def _decode(records: DataFrame, avro_schema: str, feed) -> DataFrame:
+def _decode(records: DataFrame, schema: T.StructType) -> DataFrame:
     from pyspark.sql.avro.functions import from_avro
 
-    event = records.select(from_avro("value", avro_schema).alias("event"))
-    return event.select(
-        *[
-            F.col(f"event.{f.name}").cast(f.dataType).alias(f.name)
-            for f in feed
-            if f.name not in _UNDECODED
-        ]
-    )
+    event = records.select(from_avro("value", avro_schema(schema)).alias("event"))
+    kept = T.StructType([f for f in schema if f.name not in _UNDECODED])
+    return cast_to(event.select("event.*"), kept)
 
 
 def decode_orders(records: DataFrame) -> DataFrame:
-    return _decode(records, ORDER_AVRO, ORDER_FEED)
+    return _decode(records, ORDER_FEED)
 
 
 def decode_couriers(records: DataFrame) -> DataFrame:
-    return _decode(records, COURIER_AVRO, COURIER_FEED)
+    return _decode(records, COURIER_FEED)
 
 
 def order_stream(spark: SparkSession, topic: str, connection: Mapping[str, str], **kw) -> DataFrame:
@@ -95,17 +92,18 @@ def courier_stream(
     return decode_couriers(read_topic(spark, topic_options(topic, connection, **kw)))
 
 
-def to_records(feed: DataFrame, avro_schema: str) -> DataFrame:
+def to_records(feed: DataFrame, schema: T.StructType) -> DataFrame:
     """Kafka records of a feed: zone as key, Avro as value."""
     from pyspark.sql.avro.functions import to_avro
 
-    return feed.select(
+    event = F.struct(*schema.fieldNames())
+    return cast_to(feed, avro_columns(schema)).select(
         F.col("zone_id").cast("binary").alias("key"),
-        to_avro(F.struct("*"), avro_schema).alias("value"),
+        to_avro(event, avro_schema(schema)).alias("value"),
     )
 
 
-def publish(feed: DataFrame, avro_schema: str, topic: str, connection: Mapping[str, str]):
+def publish(feed: DataFrame, schema: T.StructType, topic: str, connection: Mapping[str, str]):
     """Write a batch feed to a topic; for streams use ``to_records(...).writeStream``."""
-    records = to_records(feed, avro_schema)
+    records = to_records(feed, schema)
     records.write.format("kafka").options(**connection).option("topic", topic).save()

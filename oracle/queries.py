@@ -243,6 +243,7 @@ _COURIER_COLUMNS = """event_id, courier_id, order_id, zone_id, courier_status, e
 _oracle("feed_orders", f"SELECT {_ORDER_COLUMNS} FROM order_feed", "order_feed")
 _oracle("feed_couriers", f"SELECT {_COURIER_COLUMNS} FROM courier_feed", "courier_feed")
 _oracle("io_jsonl_roundtrip", f"SELECT {_ORDER_COLUMNS} FROM order_feed", "order_feed")
+_oracle("io_avro_roundtrip", f"SELECT {_COURIER_COLUMNS} FROM courier_feed", "courier_feed")
 _oracle("io_results_roundtrip", "SELECT * FROM uc1_order_volume", "uc1_order_volume")
 _oracle(
     "feed_timeline",

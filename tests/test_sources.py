@@ -18,7 +18,7 @@ def test_feed_schemas():
 
 
 def test_avro_layout():
-    record = json.loads(schemas.ORDER_AVRO)
+    record = json.loads(schemas.avro_schema(schemas.ORDER_FEED))
     fields = {f["name"]: f for f in record["fields"]}
     assert list(fields) == schemas.ORDER_FEED.fieldNames()
     assert fields["event_timestamp"]["type"] == {"type": "long", "logicalType": "timestamp-millis"}
@@ -89,6 +89,26 @@ def test_json_lines_keep_every_column(spark):
     assert sorted(map(str, back.collect())) == sorted(map(str, feed.collect()))
 
 
+def test_avro_files_keep_every_column(spark):
+    item = {"item_id": "i", "item_name": "n", "quantity": 2, "unit_price_cents": 3}
+    feed = orders(
+        spark,
+        {"order_items": [item], "metadata": {"k": "v"}, "customer_rating": 4.5, "lag_ms": 123},
+        {"order_total_cents": 5, "previous_status": "PLACED", "cancellation_reason": "SYSTEM_ERROR"},
+    )
+    path = new_run_folder(spark, "avro")
+    files.write_avro(feed, path, schemas.ORDER_FEED)
+    back = files.read_avro(spark, path, schemas.ORDER_FEED)
+    assert back.columns == feed.columns
+    assert sorted(map(str, back.collect())) == sorted(map(str, feed.collect()))
+
+
+def test_avro_refuses_values_outside_an_enum(spark):
+    feed = orders(spark, {"order_status": "LOST"})
+    with pytest.raises(Exception, match="LOST"):
+        files.write_avro(feed, new_run_folder(spark, "avro"), schemas.ORDER_FEED)
+
+
 def test_results_append_and_prune(spark):
     base, name = new_run_folder(spark, "results"), "uc1_order_volume"
     assert files.read_results(spark, base, name).count() == 0
@@ -129,7 +149,7 @@ def test_avro_records_roundtrip(spark):
     if not kafka.connectors(spark)["avro"]:
         pytest.skip("spark-avro is not on the class path")
     feed = orders(spark, {"order_total_cents": 5}, {"cancellation_reason": "PAYMENT_FAILED"})
-    back = kafka.decode_orders(kafka.to_records(feed, schemas.ORDER_AVRO))
+    back = kafka.decode_orders(kafka.to_records(feed, schemas.ORDER_FEED))
     assert len(back.columns) == 21
     assert sorted(r.event_id for r in back.collect()) == ["e00000", "e00001"]
 
