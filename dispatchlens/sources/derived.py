@@ -34,12 +34,8 @@ def _as_feed(df: DataFrame, schema: T.StructType, columns: dict[str, str]) -> Da
 
 def order_totals(lineitem: DataFrame) -> DataFrame:
     """Total of each order in cents."""
-    return (
-        lineitem.groupBy(F.col("l_orderkey").alias("k"))
-        .agg(
-            F.expr("sum((l_linenumber % 3 + 1) * (300 + l_partkey % 1500))").alias("cents")
-        )
-    )
+    cents = F.expr("sum((l_linenumber % 3 + 1) * (300 + l_partkey % 1500))")
+    return lineitem.groupBy(F.col("l_orderkey").alias("k")).agg(cents.alias("cents"))
 
 
 def item_rows(lineitem: DataFrame) -> DataFrame:
@@ -158,7 +154,7 @@ def derive_couriers(events: DataFrame) -> DataFrame:
         "event_id AS e",
         "user_id AS u",
         "event_type AS t",
-        "(event_id * 7919000 + event_id % 977) % 14400000 AS off",
+        "(event_id % 14400000 * 7919000 + event_id % 977) % 14400000 AS off",
         "(event_id * 29) % 397 AS a",
         "cast(user_id % 6 AS int) AS z",
     )
