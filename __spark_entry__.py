@@ -98,10 +98,8 @@ def _enum_violations(feeds: Feeds) -> DataFrame:
 
 
 def _stream_dedup(replay: Replay) -> DataFrame:
-    kept = stateful.dedup_stream(replay.orders()).select(
-        "event_id", "order_id", "order_status", "event_timestamp"
-    )
-    return replay.run(kept, "dedup").filter(F.col("event_id") != FLUSH_ID)
+    events = replay.orders().select("event_id", "order_id", "order_status", "event_timestamp")
+    return replay.run(stateful.dedup_stream(events), "dedup").filter(F.col("event_id") != FLUSH_ID)
 
 
 def _stream_sessions(replay: Replay) -> DataFrame:
