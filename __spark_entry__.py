@@ -18,6 +18,14 @@ from dispatchlens.streaming import stateful
 from dispatchlens.streaming.replay import FLUSH_ID, Replay
 from oracle.queries import ORACLES
 
+try:  # the text operators and their pipeline can be left out as a whole
+    import corpus_pipeline
+    from dispatchlens.llm import queries as text_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "dispatchlens.llm"):
+        raise
+    corpus_pipeline = text_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 ORDER_COLUMNS = [
@@ -194,11 +202,16 @@ def queries() -> dict[str, Query]:
         "stream_x_eta_accuracy": _on_stream(_stream_promises),
         "stream_x_supply_demand_outer": _on_stream(_stream_outer),
     }
+    if text_queries:
+        registered |= text_queries.QUERIES | {"pipeline": corpus_pipeline.run}
     return registered
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    if not text_queries:
+        return dict(ORACLES)
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return ORACLES | text_queries.ORACLES | pipeline
 
 
 def entry(spark: SparkSession) -> DataFrame:
