@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispatchlens.llm.decontamination import find_benchmark_passages
-from dispatchlens.llm.frames import read
+from dispatchlens.llm.fingerprints import compare_edited
+from dispatchlens.llm.frames import read, text_bytes
+from dispatchlens.llm.sentence_pieces import encode_pieces
+from dispatchlens.llm.sharding import shuffle_into_shards
 from dispatchlens.llm.substring_dedup import remove_repeats
+from dispatchlens.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def sentencepiece(
+    spark: SparkSession, tables: str, model: str = public_tokenizers.path("piece_bpe_32k.model")
+) -> DataFrame:
+    docs = read(spark, tables, "documents").select("doc_id", "text")
+    return encode_pieces(docs, model).drop("text")
+
+
 def substring_dedup(spark: SparkSession, tables: str) -> DataFrame:
     docs = read(spark, tables, "documents").select("doc_id", "text")
     return remove_repeats(docs).select(
@@ -33,9 +45,44 @@ def decontamination(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def sharding(spark: SparkSession, tables: str) -> DataFrame:
+    text = F.col("text")
+    rows = read(spark, tables, "documents").select(
+        "doc_id",
+        (text_bytes(text) + 8).cast("long").alias("size"),
+        F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"),
+    )
+    return shuffle_into_shards(rows).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def token_counts(
+    spark: SparkSession, tables: str, vocabulary: str = public_tokenizers.path("word_bpe_49k.json")
+) -> DataFrame:
+    docs = read(spark, tables, "documents").select("doc_id", "text")
+    return count_tokens(docs, vocabulary).select(
+        "doc_id", "n_bytes", "n_tokens", "over_limit", "fitting_chars"
+    )
+
+
+def document_fingerprints(spark: SparkSession, tables: str) -> DataFrame:
+    return compare_edited(read(spark, tables, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_sentencepiece": sentencepiece,
     "op4_substring_dedup": substring_dedup,
     "op5_decontamination": decontamination,
+    "op8_sharding": sharding,
+    "op9_token_counts": token_counts,
+    "op10_fingerprints": document_fingerprints,
 }
 
 ORACLES: dict[str, str] = {

@@ -86,7 +86,7 @@ def remove_repeats(
     docs = tidy(docs, [text], MADE)
     total = docs.agg(F.sum(text_bytes(F.col(text))).alias("n")).first()["n"] or 0
     # a seed every (n - k + 2) / 2 words of about six bytes
-    bits = max(4, (total // (3 * (n - k + 2)) // bucket_keys).bit_length())
+    bits = max(7, (total // (3 * (n - k + 2)) // bucket_keys).bit_length())
     dealt = blocks(docs, text, block_bytes)
     added = T.StructType.fromDDL(
         "n_words long, n_removed long, repeats array<struct<start:int,end:int>>, kept_text string"
