@@ -1,0 +1,109 @@
+import public_tokenizers
+import pytest
+import sentencepiece
+import tokenizers
+from pyspark.sql import functions as F
+
+from dispatchlens.llm import queries
+from dispatchlens.llm.sentence_pieces import Transducer, compile_model, decode_pieces, encode_pieces
+from dispatchlens.llm.token_counts import PrefixCounter, count_tokens
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+HARD = [
+    "", " ", "  ", "\n\n a\n", "a  b   c    d", " " * 40 + "x" + " " * 33, "ΑΣ Σίσυφος ΟΔΟΣ",
+    "İstanbul ǅ ß", "été ́x", "a\x1cb\x85c　d\xa0e", "\x00\x1f",
+    "你好 世界 🙂👍🏽 12345 x1y2", "don't I'M you'Re it's'll 'd!!!...###", "a" * 300,
+    "<|endoftext|>a<|startoftext|> b<|endoftext|><|endof", "<s></s><unk><0x41>", "x ", "the " * 50,
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return tokenizers.Tokenizer.from_file(VOCABULARY)
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return PrefixCounter(open(VOCABULARY, encoding="utf-8").read())
+
+
+def counts(library, texts):
+    return [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_counts_of_whole_tables(spark, tables, library):
+    docs = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text").collect()
+    found = {r.doc_id: r for r in queries.token_counts(spark, tables).collect()}
+    assert len(found) == len(docs)
+    for row, n in zip(docs, counts(library, [r.text or "" for r in docs])):
+        own = found[row.doc_id]
+        assert (own.n_tokens, own.over_limit) == (n, n > 2048)
+        assert own.n_bytes == len((row.text or "").encode())
+
+
+@pytest.mark.parametrize("text", HARD)
+def test_counts_of_all_prefixes(counter, library, text):
+    wanted = counts(library, [text[:i] for i in range(len(text) + 1)])
+    assert counter.prefixes(text) == wanted
+    assert counter.count(text) == wanted[-1]
+    for limit in (0, 1, 2, 5, 20):
+        fits = max(i for i, n in enumerate(wanted) if n <= limit)
+        assert counter.fitting(text, limit) == fits
+
+
+def test_count_tokens_odd_rows(spark, library):
+    rows = [(None, None), (1, ""), (1, ""), (2, "word " * 30_000), *enumerate(HARD)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    frame = frame.withColumn("N_Tokens", F.lit("mine"))
+    found = count_tokens(frame, VOCABULARY, keep_prefixes=True).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert r.n_tokens == r.prefix_tokens[-1] == counts(library, [r.text or ""])[0]
+    assert count_tokens(frame.limit(0), VOCABULARY).count() == 0
+
+
+def test_pieces_of_whole_tables(spark, tables):
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    docs = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text").collect()
+    found = {r.doc_id: r for r in queries.sentencepiece(spark, tables).collect()}
+    assert len(found) == len(docs)
+    for row in docs:
+        assert found[row.doc_id].piece_ids == library.encode(row.text or "")
+        assert found[row.doc_id].round_trip
+
+
+def test_pieces_odd_rows(spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rows = [(None, None), (2, "word " * 30_000), (3, "▁a▁▁b c"), *enumerate(HARD + HARD)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    frame = frame.withColumn("PIECE_IDS", F.lit(1))
+    encoded = encode_pieces(frame, MODEL, keep_decoded=True)
+    for r in encoded.collect():
+        assert r.piece_ids == library.encode(r.text or "")
+        assert r.decoded == library.decode(r.piece_ids)
+        assert r.round_trip == (r.decoded == (r.text or ""))
+    again = decode_pieces(encoded, MODEL).collect()
+    assert [r.decoded for r in again] == [r.decoded for r in encoded.collect()]
+    assert encode_pieces(frame.limit(0), MODEL).count() == 0
+
+
+def test_broken_bytes_decode_to_replacement():
+    model = compile_model(open(MODEL, "rb").read())
+    assert model.decode([model.bytes[0xC3]]) == "�"
+
+
+def test_least_weight_without_acceptor():
+    scores = {"▁": -5.0, "a": -3.0, "b": -3.5, "ab": -4.0, "▁a": -4.5, "ba": -4.2, "▁ab": -9.0}
+    model = Transducer([("<unk>", 0.0, 2), *((p, s, 1) for p, s in scores.items())], pairs=False)
+
+    def best(word):
+        if not word:
+            return 0.0
+        ends = range(1, len(word) + 1)
+        return min(best(word[i:]) - scores[word[:i]] for i in ends if word[:i] in scores)
+
+    for word in ("▁", "▁ab", "▁aba", "▁abbaab", "▁babab"):
+        path = model.path(word)
+        assert "".join(path) == word
+        assert -sum(scores[p] for p in path) == pytest.approx(best(word))
