@@ -15,6 +15,7 @@ from dispatchlens.llm.sentence_pieces import encode_pieces
 from dispatchlens.llm.sharding import shuffle_into_shards
 from dispatchlens.llm.substring_dedup import remove_repeats
 from dispatchlens.llm.token_counts import count_tokens
+from dispatchlens.llm.toxicity import learn, score
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +46,24 @@ def decontamination(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def held_out(doc_id: str = "doc_id"):
+    """Whether a document's label is kept for checks."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
+
+
+def toxicity(spark: SparkSession, tables: str) -> DataFrame:
+    docs = read(spark, tables, "documents").select("doc_id", "text")
+    model = learn(docs, read(spark, tables, "labels"), ~held_out())
+    scored = score(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+        F.size("segments").alias("n_segments"),
+    )
+
+
 def sharding(spark: SparkSession, tables: str) -> DataFrame:
     text = F.col("text")
     rows = read(spark, tables, "documents").select(
@@ -80,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op1_sentencepiece": sentencepiece,
     "op4_substring_dedup": substring_dedup,
     "op5_decontamination": decontamination,
+    "op7_toxicity": toxicity,
     "op8_sharding": sharding,
     "op9_token_counts": token_counts,
     "op10_fingerprints": document_fingerprints,
