@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from dispatchlens.llm.decontamination import find_benchmark_passages
 from dispatchlens.llm.fingerprints import compare_edited
 from dispatchlens.llm.frames import read, text_bytes
+from dispatchlens.llm.html_text import extract_main_text
+from dispatchlens.llm.lm_scoring import score_documents
 from dispatchlens.llm.sentence_pieces import encode_pieces
 from dispatchlens.llm.sharding import shuffle_into_shards
 from dispatchlens.llm.substring_dedup import remove_repeats
@@ -27,6 +29,23 @@ def sentencepiece(
     return encode_pieces(docs, model).drop("text")
 
 
+def lm_scoring(spark: SparkSession, tables: str) -> DataFrame:
+    docs = read(spark, tables, "documents").select("doc_id", "text")
+    by_order = F.col("by_order")
+    return score_documents(docs).select(
+        "doc_id",
+        "n_words",
+        "log_score",
+        *(F.get(by_order, F.lit(k)).alias(f"n_order{k}") for k in range(4)),
+    )
+
+
+def html_extraction(spark: SparkSession, tables: str) -> DataFrame:
+    return extract_main_text(read(spark, tables, "pages")).select(
+        "page_id", "url", F.col("main_text").alias("text"), "n_chars"
+    )
+
+
 def substring_dedup(spark: SparkSession, tables: str) -> DataFrame:
     docs = read(spark, tables, "documents").select("doc_id", "text")
     return remove_repeats(docs).select(
@@ -97,6 +116,8 @@ def document_fingerprints(spark: SparkSession, tables: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": sentencepiece,
+    "op2_lm_scoring": lm_scoring,
+    "op3_html_extraction": html_extraction,
     "op4_substring_dedup": substring_dedup,
     "op5_decontamination": decontamination,
     "op7_toxicity": toxicity,
@@ -106,6 +127,46 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_lm_scoring": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), w AS (
+  SELECT doc_id, unnest(ws) AS w3, generate_subscripts(ws, 1) AS i FROM d
+), g AS (
+  SELECT doc_id, i, w3, lag(w3) OVER p AS w2, lag(w3, 2) OVER p AS w1
+  FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY i)
+), size AS (
+  SELECT count(*) AS n FROM g
+), counted AS (
+  SELECT doc_id, i, w1, w2,
+    count(*) OVER (PARTITION BY w1, w2, w3)
+      - count(*) OVER (PARTITION BY doc_id, w1, w2, w3) AS c3,
+    count(*) OVER (PARTITION BY w2, w3) - count(*) OVER (PARTITION BY doc_id, w2, w3) AS c2,
+    count(*) OVER (PARTITION BY w3) - count(*) OVER (PARTITION BY doc_id, w3) AS c1
+  FROM g
+), based AS (
+  SELECT c.*, CASE WHEN w1 IS NULL THEN 0 ELSE c3 END AS t3,
+    CASE WHEN w2 IS NULL THEN 0 ELSE c2 END AS t2, lag(c1) OVER p AS b1, lag(c2) OVER p AS b2
+  FROM counted c WINDOW p AS (PARTITION BY doc_id ORDER BY i)
+), scored AS (
+  SELECT doc_id,
+    CASE WHEN t3 > 0 THEN 3 WHEN t2 > 0 THEN 2 WHEN c1 > 0 THEN 1 ELSE 0 END AS k,
+    CASE WHEN t3 > 0 THEN CAST(round(ln(t3 / b2) * 1e6) AS BIGINT) ELSE
+      CASE WHEN w1 IS NULL THEN 0 ELSE -916291 END +
+      CASE WHEN t2 > 0 THEN CAST(round(ln(t2 / b1) * 1e6) AS BIGINT) ELSE
+        CASE WHEN w2 IS NULL THEN 0 ELSE -916291 END +
+        CAST(round(ln((CASE WHEN c1 > 0 THEN c1 ELSE 0.5 END) / (SELECT n FROM size)::DOUBLE) * 1e6)
+          AS BIGINT)
+      END
+    END AS u
+  FROM based
+)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+  CAST(coalesce(sum(u), 0) AS BIGINT) / 1e6::DOUBLE AS log_score,
+  count(*) FILTER (k = 0) AS n_order0, count(*) FILTER (k = 1) AS n_order1,
+  count(*) FILTER (k = 2) AS n_order2, count(*) FILTER (k = 3) AS n_order3
+FROM d LEFT JOIN scored USING (doc_id) GROUP BY d.doc_id, ws
+""",
     "op4_substring_dedup": r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
