@@ -13,6 +13,7 @@ from dispatchlens.llm.fingerprints import compare_edited
 from dispatchlens.llm.frames import read, text_bytes
 from dispatchlens.llm.html_text import extract_main_text
 from dispatchlens.llm.lm_scoring import score_documents
+from dispatchlens.llm.near_duplicates import link_similar
 from dispatchlens.llm.sentence_pieces import encode_pieces
 from dispatchlens.llm.sharding import shuffle_into_shards
 from dispatchlens.llm.substring_dedup import remove_repeats
@@ -65,6 +66,11 @@ def decontamination(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def similar_documents(spark: SparkSession, tables: str) -> DataFrame:
+    docs = read(spark, tables, "documents").select("doc_id", "text")
+    return link_similar(docs).drop("text")
+
+
 def held_out(doc_id: str = "doc_id"):
     """Whether a document's label is kept for checks."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
@@ -120,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op3_html_extraction": html_extraction,
     "op4_substring_dedup": substring_dedup,
     "op5_decontamination": decontamination,
+    "op6_jaccard_join": similar_documents,
     "op7_toxicity": toxicity,
     "op8_sharding": sharding,
     "op9_token_counts": token_counts,
@@ -222,5 +229,39 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+    "op6_jaccard_join": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(text, '') AS t FROM documents
+), nodes AS (
+  SELECT t, min(doc_id) AS id, count(*) AS copies,
+    regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws
+  FROM d GROUP BY t
+), shingles AS (
+  SELECT DISTINCT id, array_to_string(ws[i : i + 4], ' ') AS s
+  FROM (SELECT id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM nodes WHERE len(ws) > 0)
+), sizes AS (
+  SELECT id, count(*) AS n FROM shingles GROUP BY id
+), common AS (
+  SELECT a.id AS x, b.id AS y, count(*) AS n FROM shingles a JOIN shingles b USING (s)
+  WHERE a.id <> b.id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common c JOIN sizes a ON a.id = x JOIN sizes b ON b.id = y
+  WHERE c.n / (a.n + b.n - c.n) >= 0.8
+), reached AS (
+  SELECT id AS x, id AS y FROM nodes
+  UNION
+  SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y
+), classes AS (
+  SELECT x, min(y) AS class_id FROM reached GROUP BY x
+), counted AS (
+  SELECT x, count(*) AS n_similar, sum(copies) AS links
+  FROM links JOIN nodes ON nodes.id = y GROUP BY x
+)
+SELECT d.doc_id, class_id, copies AS n_copies,
+  CAST(copies - 1 + coalesce(links, 0) AS BIGINT) AS n_links,
+  CAST(coalesce(n_similar, 0) AS BIGINT) AS n_similar_texts
+FROM d JOIN nodes USING (t) JOIN classes ON classes.x = nodes.id
+LEFT JOIN counted ON counted.x = nodes.id
 """,
 }
