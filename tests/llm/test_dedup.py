@@ -1,0 +1,146 @@
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from dispatchlens.llm import queries
+from dispatchlens.llm.near_duplicates import link_similar, prefix_length
+from dispatchlens.llm.substring_dedup import remove_repeats
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def docs(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def without_repeats(rows, n):
+    found = Counter()
+    texts = [WORD.findall(t or "") for _, t in rows]
+    for ws in texts:
+        found.update(tuple(ws[i : i + n]) for i in range(len(ws) - n + 1))
+    kept = []
+    for ws in texts:
+        gone = set()
+        for i in range(len(ws) - n + 1):
+            if found[tuple(ws[i : i + n])] > 1:
+                gone.update(range(i, i + n))
+        kept.append((len(ws), len(gone), " ".join(w for i, w in enumerate(ws) if i not in gone)))
+    return kept
+
+
+@pytest.mark.parametrize("n,k", [(6, 2), (35, 12), (5, 4)])
+def test_repeats_against_all_windows(spark, n, k):
+    rng = random.Random(n)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (4, "a " * 500), (None, "b " * (n - 1))]
+    for i in range(40):
+        ws = [rng.choice("abc") if i % 5 == 0 else f"w{rng.randrange(10**6)}" for _ in range(80)]
+        if i % 3 == 0:
+            cut = rng.randrange(len(passage))
+            ws[20:20] = passage[cut:] + passage[: rng.randrange(50)]
+        rows.append((i, rng.choice([" ", "\n", "\t "]).join(ws)))
+    rows += [rows[-1]] * 3 + [(99, "é " + rows[-1][1] + "  x")]
+    wanted = without_repeats(rows, n)
+    for size in (300, 1 << 20):
+        found = remove_repeats(docs(spark, rows), n=n, k=k, block_bytes=size).collect()
+        got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in found)
+        assert got == Counter((i, *w) for (i, _), w in zip(rows, wanted))
+        for r in found:
+            assert sum(s.end - s.start for s in r.repeats) == r.n_removed
+
+
+def test_repeats_of_empty_tables_and_clashing_columns(spark):
+    frame = docs(spark, [(1, "x y"), (2, "x y")]).withColumn("N_Words", F.lit("mine"))
+    frame = frame.withColumn("block", F.lit(3))
+    found = remove_repeats(frame, n=2, k=1)
+    assert found.columns == ["doc_id", "text", "block", "n_words", "n_removed", "repeats", "kept_text"]
+    assert {r.kept_text for r in found.collect()} == {""}
+    assert remove_repeats(frame.limit(0)).count() == 0
+    twice = docs(spark, [(1, "x")]).select("doc_id", "text", F.lit(1).alias("c"), F.lit(2).alias("C"))
+    assert remove_repeats(twice).columns[:3] == ["doc_id", "text", "c"]
+
+
+def test_repeat_query_on_a_table(spark, tables):
+    rows = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text").collect()
+    wanted = {
+        r.doc_id: (*w[:2], hashlib.sha256(w[2].encode()).hexdigest())
+        for r, w in zip(rows, without_repeats(rows, 35))
+    }
+    found = queries.substring_dedup(spark, tables).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == wanted
+
+
+def similar_by_pairs(rows, n=5, threshold=0.8):
+    copies, lowest = Counter(t or "" for _, t in rows), {}
+    for i, t in rows:
+        own = lowest.setdefault(t or "", i)
+        lowest[t or ""] = i if own is None else own if i is None else min(own, i)
+    sets = {}
+    for t in copies:
+        ws = WORD.findall(t)
+        sets[t] = {tuple(ws[i : i + n]) for i in range(len(ws) - n + 1)} or ({tuple(ws)} if ws else set())
+    links = defaultdict(set)
+    for a in copies:
+        for b in copies:
+            if a != b and sets[a] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= threshold:
+                links[a].add(b)
+    label = {t: t for t in copies}
+    changed = True
+    while changed:
+        changed = False
+        for a in links:
+            low = min([label[a], *(label[b] for b in links[a])])
+            if low != label[a]:
+                label[a], changed = low, True
+    groups = defaultdict(list)
+    for t in copies:
+        if lowest[t] is not None:
+            groups[label[t]].append(lowest[t])
+    return Counter(
+        (
+            i, min(groups[label[t or ""]], default=None), copies[t or ""],
+            copies[t or ""] - 1 + sum(copies[b] for b in links[t or ""]), len(links[t or ""]),
+        )
+        for i, t in rows
+    )
+
+
+@pytest.mark.parametrize("tile_rows", [3, 512])
+def test_links_against_all_pairs(spark, tile_rows):
+    rng = random.Random(4)
+    rows = [(None, None), (1, ""), (2, ""), (3, "  "), (4, "a b"), (5, "a  b"), (6, "a b c"), (6, "a b")]
+    rows += [(None, "only here"), (None, "only here")]
+    for group in range(6):
+        base = [f"g{group}w{rng.randrange(500)}" for _ in range(rng.choice([6, 30, 120]))]
+        for copy in range(group * 4 + 1):
+            ws = list(base)
+            for _ in range(rng.randrange(3)):
+                ws[rng.randrange(len(ws))] = f"x{rng.randrange(10**6)}"
+            rows.append((1000 * group + copy + 10, rng.choice([" ", "\n"]).join(ws)))
+    rows += rows[-2:]
+    found = link_similar(docs(spark, rows), tile_rows=tile_rows).collect()
+    got = Counter(
+        (r.doc_id, r.class_id, r.n_copies, r.n_links, r.n_similar_texts) for r in found
+    )
+    assert got == similar_by_pairs(rows)
+
+
+def test_links_of_empty_tables_and_clashing_columns(spark):
+    frame = docs(spark, [(1, "x y"), (2, "x y")]).withColumn("NODE", F.lit("mine"))
+    frame = frame.withColumn("Class_ID", F.lit(7)).withColumn("lang", F.lit("en"))
+    found = link_similar(frame)
+    assert sorted(found.columns) == sorted(
+        ["doc_id", "text", "lang", "class_id", "n_copies", "n_links", "n_similar_texts"]
+    )
+    assert {r.class_id for r in found.collect()} == {1}
+    assert link_similar(frame.limit(0)).count() == 0
+
+
+def test_prefixes_shorten_until_the_recall_is_met():
+    assert prefix_length(0.8, 24, 0.999999, 6) == 3
+    assert prefix_length(0.8, 24, 0.9, 6) > 3
+    assert prefix_length(0.8, 4, 0.999999, 6) == 1
