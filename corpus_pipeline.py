@@ -1,22 +1,41 @@
-"""A corpus pipeline: stages that each take documents and give the documents they keep."""
+"""A corpus pipeline: each stage takes documents and gives the documents it keeps."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from dispatchlens.llm.frames import read, stored
 from dispatchlens.llm.decontamination import find_benchmark_passages
+from dispatchlens.llm.frames import read, stored
+from dispatchlens.llm.near_duplicates import link_similar
+from dispatchlens.llm.queries import held_out
+from dispatchlens.llm.sentence_pieces import encode_pieces
 from dispatchlens.llm.substring_dedup import remove_repeats
-from pyspark.sql import functions as F
+from dispatchlens.llm.toxicity import learn, score
+
+#: documents that score as much are rejected
+TOXIC = 0.3
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that don't score as toxic; the scores are learned from labelled ones."""
+    model = learn(docs, read(spark, sf_dir, "labels"), ~held_out())
+    return score(docs, model).where(F.col("score") < TOXIC).select(*docs.columns)
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of lowest id of each class of similar documents; one, if rows are equal."""
+    order = F.col("doc_id").asc_nulls_last(), F.xxhash64("text")
+    first = F.row_number().over(Window.partitionBy("class_key").orderBy(*order))
+    return link_similar(docs).withColumn("_class_place", first).where("_class_place = 1").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their repeated passages; a text that was nothing else is left empty."""
-    cut = remove_repeats(docs)
-    columns = [F.col(c) for c in docs.columns if c not in ("text", "n_chars")]
-    text = F.col("kept_text").alias("text")
-    return cut.select(*columns, text, F.length("kept_text").cast("long").alias("n_chars")).select(
-        *docs.columns
+    """All documents, their texts without repeated passages; one that was nothing else is empty."""
+    made = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    return remove_repeats(docs).select(
+        *(made[c].alias(c) if c in made else F.col(c) for c in docs.columns)
     )
 
 
@@ -26,11 +45,25 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return found.where(F.col("n_hit") == 0).select(*docs.columns)
 
 
-STAGES = [("substring dedup", substring_dedup), ("decontamination", decontamination)]
+def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as piece ids."""
+    encoded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.drop("text")
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("jaccard join", jaccard_join),
+    ("substring dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("sentence pieces", sentence_pieces),
+]
+#: SQL can't learn and scan segments, so the pipeline is tested stage by stage instead
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage keeps is written out and read by the next."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))

@@ -23,7 +23,7 @@ from dispatchlens.llm.components import components
 from dispatchlens.llm.frames import stored, tidy
 
 U64 = np.uint64
-MADE = ("class_id", "n_copies", "n_links", "n_similar_texts")
+MADE = ("class_key", "class_id", "n_copies", "n_links", "n_similar_texts")
 _RANDOM = np.random.Generator(np.random.PCG64(97))
 _FACTORS = _RANDOM.integers(0, 2**64, 512, dtype=U64) | U64(1)
 _SHIFTS = _RANDOM.integers(0, 2**64, 512, dtype=U64)
@@ -119,7 +119,8 @@ def link_similar(
     Words are runs of bytes that are not ASCII white space.  A text of fewer words is one shingle;
     one without words has none and is linked to its equals only.  Returns the input columns and:
 
-    * ``class_id``: lowest id of the documents that hang together by links or equal texts
+    * ``class_key`` string: one for all documents that hang together by links or equal texts
+    * ``class_id``: the lowest id in the class
     * ``n_copies`` long: documents with this very text, itself included
     * ``n_links`` long: other documents that are linked, copies of this text included
     * ``n_similar_texts`` long: other texts that are linked
@@ -290,6 +291,7 @@ def link_similar(
     lowest = known.groupBy("label").agg(F.min("id").alias("class_id"))
     known = known.join(lowest, "label").select(
         "node",
+        F.hex("label").alias("class_key"),
         "class_id",
         F.col("copies").alias("n_copies"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),

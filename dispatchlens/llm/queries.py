@@ -68,7 +68,7 @@ def decontamination(spark: SparkSession, tables: str) -> DataFrame:
 
 def similar_documents(spark: SparkSession, tables: str) -> DataFrame:
     docs = read(spark, tables, "documents").select("doc_id", "text")
-    return link_similar(docs).drop("text")
+    return link_similar(docs).drop("text", "class_key")
 
 
 def held_out(doc_id: str = "doc_id"):

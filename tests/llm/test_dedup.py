@@ -134,7 +134,7 @@ def test_links_of_empty_tables_and_clashing_columns(spark):
     frame = frame.withColumn("Class_ID", F.lit(7)).withColumn("lang", F.lit("en"))
     found = link_similar(frame)
     assert sorted(found.columns) == sorted(
-        ["doc_id", "text", "lang", "class_id", "n_copies", "n_links", "n_similar_texts"]
+        ["doc_id", "text", "lang", "class_key", "class_id", "n_copies", "n_links", "n_similar_texts"]
     )
     assert {r.class_id for r in found.collect()} == {1}
     assert link_similar(frame.limit(0)).count() == 0
