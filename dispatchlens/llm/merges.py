@@ -7,19 +7,48 @@ pair.  Encodings can therefore be found from left to right, prefix by prefix, wi
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Container, Sequence
 
 Rank = Callable[[str, str], "float | None"]
 
 
+class Memo(dict):
+    """Values of a function, kept; ``room`` lets go of all of them when there are too many."""
+
+    def __init__(self, function: Callable, limit: int = 800_000):
+        super().__init__()
+        self.function, self.limit = function, limit
+
+    def __missing__(self, key):
+        value = self[key] = self.function(key)
+        return value
+
+    def room(self) -> "Memo":
+        if len(self) > self.limit:
+            self.clear()
+        return self
+
+
 class Merges:
     """``rank(a, b)`` is the order of merging two neighbours, lowest first, None for never;
     of equal ranks the leftmost pair goes first.  ``symbols`` gives what a token is made of."""
 
-    def __init__(self, rank: Rank, symbols: Callable[[str], Sequence[str]], pair_limit=1 << 20):
-        self.rank, self.symbols, self.pair_limit = rank, symbols, pair_limit
+    def __init__(
+        self,
+        rank: Rank,
+        symbols: Callable[[str], Sequence[str]],
+        vocabulary: Container[str],
+        longest: int,
+        limit: int = 1_000_000,
+    ):
+        self.rank, self.symbols, self.limit = rank, symbols, limit
+        self.vocabulary, self.longest = vocabulary, longest
+        # last token of the encoding of every text met, and of all its prefixes
+        self.last: dict[str, str] = {}
         self._made: dict[str, tuple | None] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        # by left token, whether a right one stays apart from it
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self._pair_count = 0
 
     def merge(self, symbols: Sequence[str]) -> tuple[list[str], list[tuple]]:
         """The encoding of the symbols by merging, and the merges in their order."""
@@ -52,18 +81,90 @@ class Merges:
                 self._made[token] = (*done[-1], plain)
         return self._made[token]
 
+    def tails(self, word: str) -> list[str]:
+        """The last token of each prefix of a word; the empty one has "".
+
+        A letter that is no token may stand for itself.
+        """
+        lasts = [""]
+        vocabulary, made, known = self.vocabulary, self.made, self.pairs
+        for i in range(1, len(word) + 1):
+            # exactly one token fits, and it is a short one most of the time
+            for j in range(i - 1, max(-1, i - 1 - self.longest), -1):
+                token = word[j:i]
+                if token not in vocabulary and i - j > 1:
+                    continue
+                if j:
+                    fits = known[lasts[j]].get(token) if lasts[j] in known else None
+                    if fits is None:
+                        fits = made(token) and self.beside(lasts[j], token)
+                else:
+                    fits = made(token)
+                if fits:
+                    lasts.append(token)
+                    break
+            else:
+                raise ValueError(f"no encoding of {word!r}")
+        return lasts
+
+    def encode(self, word: str) -> list[str]:
+        """The tokens of a word, found from its longest prefix that was met before."""
+        if len(word) > 64:
+            lasts, i, found = self.tails(word), len(word), []
+            while i:
+                found.append(lasts[i])
+                i -= len(lasts[i])
+            return found[::-1]
+        last, vocabulary, known = self.last, self.vocabulary, self.pairs
+        if word not in last:
+            if len(last) > self.limit:
+                last.clear()
+            low, high = 0, len(word)
+            while high - low > 1:
+                middle = (low + high) // 2
+                if word[:middle] in last:
+                    low = middle
+                else:
+                    high = middle
+            for i in range(low + 1, len(word) + 1):
+                for j in range(i - 1, max(-1, i - 1 - self.longest), -1):
+                    token = word[j:i]
+                    if token not in vocabulary and i - j > 1:
+                        continue
+                    if j:
+                        left = last[word[:j]]
+                        beside = known.get(left)
+                        fits = None if beside is None else beside.get(token)
+                        if fits is None:
+                            fits = self.made(token) and self.beside(left, token)
+                    else:
+                        fits = self.made(token)
+                    if fits:
+                        last[word[:i]] = token
+                        break
+                else:
+                    raise ValueError(f"no encoding of {word!r}")
+        found = []
+        while word:
+            token = last[word]
+            found.append(token)
+            word = word[: -len(token)]
+        return found[::-1]
+
     def beside(self, left: str, right: str) -> bool:
         """Whether both tokens, each encoding to itself, stay apart when written together."""
-        pair = (left, right)
-        found = self.pairs.get(pair)
+        if self._pair_count > self.limit:
+            self.pairs.clear()
+            self._pair_count = 0
+        own = self.pairs.setdefault(left, {})
+        found = own.get(right)
         if found is None:
-            if len(self.pairs) >= self.pair_limit:
-                self.pairs.clear()
-            found = self.pairs[pair] = self._apart(left, right)
+            found = own[right] = self._apart(left, right)
+            self._pair_count += 1
         return found
 
     def _apart(self, left: str, right: str) -> bool:
-        a, b = self._made[left] or self.made(left), self.made(right)
+        a, b = self.made(left), self.made(right)
         if not (a[3] and b[3]):
             return self.merge([*self.symbols(left), *self.symbols(right)])[0] == [left, right]
         # back in time: undo the later merge, and ask whether the halves that then touch would

@@ -28,14 +28,13 @@ from pyspark.sql import types as T
 
 from dispatchlens.llm import words
 from dispatchlens.llm.frames import tidy
-from dispatchlens.llm.merges import Merges
+from dispatchlens.llm.merges import Memo, Merges
 
 MADE = ("n_pieces", "piece_ids", "round_trip", "decoded")
 MARK = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _OWN, _UNUSED, _BYTE = range(1, 7)
 _UNIGRAM, _PAIRS = 1, 2
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
-_WORD_LIMIT = 400_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -86,14 +85,14 @@ class Transducer:
         self.byte_fallback = byte_fallback and len(self.bytes) == 256
         low = min(self.scores.values(), default=0.0)
         self.unknown_weight = 10.0 - low
-        self.acceptor = Merges(self._rank, list) if pairs else None
+        self.acceptor = Merges(self._rank, list, self.arcs, self.longest) if pairs else None
         # what each piece stands for when decoded; parts of characters are bytes above
         self.surface = [
             "" if kind == _CONTROL else " ⁇ " if kind == _UNKNOWN else p.replace(MARK, " ")
             for p, _, kind in pieces
         ]
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.ids: dict[str, bytes] = {}
+        self.ids = Memo(self._word)
 
     def _rank(self, a: str, b: str) -> float | None:
         score = self.scores.get(a + b)
@@ -102,38 +101,23 @@ class Transducer:
     def path(self, word: str) -> list[str]:
         """The shortest path through the composition with one word: its pieces, or characters
         that are none."""
-        n, arcs, acceptor = len(word), self.arcs, self.acceptor
-        weights, before, lasts = [0.0], [0], [""]
-        known = acceptor.pairs if acceptor else {}
-        for i in range(1, n + 1):
+        if self.acceptor:  # one path alone has a finite weight
+            return self.acceptor.encode(word)
+        weights, before = [0.0], [0]
+        for i in range(1, len(word) + 1):
             least, where = float("inf"), -1
-            for j in range(i - 1, max(-1, i - 1 - self.longest), -1):
-                piece = word[j:i]
-                if piece not in arcs and i - j > 1:
+            for j in range(max(0, i - self.longest), i):
+                score = self.scores.get(word[j:i])
+                if score is None and i - j > 1:
                     continue
-                if acceptor is None:
-                    score = self.scores.get(piece)
-                    weight = weights[j] + (self.unknown_weight if score is None else -score)
-                    if weight < least:
-                        least, where = weight, j
-                    continue
-                if j:
-                    fits = known.get((lasts[j], piece))
-                    if fits is None:
-                        fits = acceptor.made(piece) and acceptor.beside(lasts[j], piece)
-                else:
-                    fits = acceptor.made(piece)
-                if fits:
-                    least, where = 0.0, j
-                    break
-            if where < 0:
-                raise ValueError(f"no path through {word!r}")
+                weight = weights[j] + (self.unknown_weight if score is None else -score)
+                if weight < least:
+                    least, where = weight, j
             weights.append(least)
             before.append(where)
-            lasts.append(word[where:i])
-        found, i = [], n
+        found, i = [], len(word)
         while i:
-            found.append(lasts[i])
+            found.append(word[before[i] : i])
             i = before[i]
         return found[::-1]
 
@@ -159,12 +143,7 @@ class Transducer:
             parts = _WORD.findall(marked)
         else:
             parts = [MARK + w for w in parts]
-        known = self.ids
-        if len(known) > _WORD_LIMIT:
-            known.clear()
-        for new in {*parts}.difference(known):
-            known[new] = self._word(new)
-        return b"".join(map(known.__getitem__, parts))
+        return b"".join(map(self.ids.room().__getitem__, parts))
 
     def decode(self, ids: list[int]) -> str:
         """The text of pieces: bytes joined to characters, word marks to blanks, the first one
