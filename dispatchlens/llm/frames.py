@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-UNHASHED = re.compile("map<|variant|interval")
-
-
 def read(spark: SparkSession, tables: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{tables}/{name}.parquet")
 
@@ -60,12 +56,3 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def text_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0))
-
-
-def blocks(df: DataFrame, text: str, block_bytes: int) -> DataFrame:
-    """``df`` with a column ``block``: rows dealt by a hash of all columns into blocks of about
-    ``block_bytes`` of text each, so that one block fits a task."""
-    total = df.agg(F.sum(text_bytes(F.col(text))).alias("n")).first()["n"] or 0
-    count = max(1, -(-total // block_bytes))
-    mark = F.xxhash64(*(F.col(f"`{c}`") for c, kind in df.dtypes if not UNHASHED.search(kind)))
-    return df.withColumn("block", F.pmod(mark, F.lit(count)))

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dispatchlens.llm import packets, words
-from dispatchlens.llm.frames import blocks, text_bytes, tidy
+from dispatchlens.llm.frames import text_bytes, tidy
 
-MADE = ("n_words", "log_score", "per_word", "by_order", "block")
+MADE = ("n_words", "log_score", "per_word", "by_order")
 #: scores are summed as whole millionths, so that the sum has one value
 UNIT = 1_000_000
 CORPUS = 0  # kind of packets that ask for the number of words
@@ -39,19 +39,19 @@ def _others(which: np.ndarray, of_text: np.ndarray, totals: np.ndarray) -> np.nd
     return totals[which] - counts[at]
 
 
-def score_block(found: words.Words, ask, order: int, backoff: float, total: int):
+def score_block(found: words.Words, others, order: int, backoff: float, total: int):
     """Scores in millionths of every word and the order each was found at, 0 for unseen words.
 
-    ``ask(k, keys)`` gives the corpus counts of sorted keys of order ``k``.
+    ``others(k)`` gives the counts, in all other blocks, of the block's sorted keys of order ``k``.
     """
     room, of_text = found.room(), found.texts()
     n = len(found.hashes)
     counts = []
     for k in range(1, order + 1):
-        places, keys, which, _ = remember(k, found, room)
+        places, _, which, own = remember(k, found, room)
         full = np.zeros(n, np.int64)
         if len(places):
-            full[places] = _others(which, of_text[places], ask(k, keys))
+            full[places] = _others(which, of_text[places], others(k) + own)
         counts.append(full)
     done, units, level = np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n, np.int64)
     within = np.arange(n) - np.repeat(found.bounds[:-1], np.diff(found.bounds))
@@ -78,7 +78,7 @@ def score_documents(
     text: str = "text",
     order: int = 3,
     backoff: float = 0.4,
-    block_bytes: int = 6 << 20,
+    block_bytes: int = 8 << 20,
     bucket_keys: int = 1 << 20,
 ) -> DataFrame:
     """Score each document by the n-grams, up to ``order``, of all other rows of ``docs``.
@@ -100,13 +100,14 @@ def score_documents(
     docs = tidy(docs, [text], MADE)
     total = docs.agg(F.sum(text_bytes(F.col(text))).alias("n")).first()["n"] or 0
     bits = max(7, (total * order // 6 // bucket_keys).bit_length())
-    dealt = blocks(docs, text, block_bytes)
+    dealt = packets.pack(docs, text, block_bytes)
     added = "n_words long, log_score double, per_word double, by_order array<long>"
     schema = T.StructType(docs.schema.fields + T.StructType.fromDDL(added).fields)
 
-    def count(rows: pa.Table) -> pa.Table:
+    def count(packed: pa.Table) -> pa.Table:
+        block, rows = packets.unpack(packed)
         found = words.split(rows[text])
-        block, room = rows["block"][0].as_py(), found.room()
+        room = found.room()
         one, size = np.zeros(1, np.uint64), np.array([len(found.hashes)])
         asked = packets.ask(block, CORPUS, one, size, bits)
         for k in range(1, order + 1):
@@ -114,19 +115,19 @@ def score_documents(
             asked += packets.ask(block, k, keys, counts, bits)
         return packets.packet_table(asked)
 
-    def apply(rows: pa.Table, answered: pa.Table) -> pa.Table:
+    def apply(packed: pa.Table, answered: pa.Table) -> pa.Table:
+        _, rows = packets.unpack(packed)
         found = words.split(rows[text])
-        size = int(packets.answers(answered, CORPUS)[0])
+        size = int(packets.answers(answered, CORPUS)[0]) + len(found.hashes)
         units, level = score_block(
-            found, lambda k, _: packets.answers(answered, k), order, backoff, size
+            found, lambda k: packets.answers(answered, k), order, backoff, size
         )
         per_text = np.diff(found.bounds)
         sums = np.diff(np.concatenate([[0], np.cumsum(units)])[found.bounds])
         levels = np.bincount(
             found.texts() * (order + 1) + level, minlength=len(rows) * (order + 1)
         ).reshape(len(rows), order + 1)
-        out = rows.drop_columns(["block"])
-        out = out.append_column("n_words", pa.array(per_text, pa.int64()))
+        out = rows.append_column("n_words", pa.array(per_text, pa.int64()))
         out = out.append_column("log_score", pa.array(sums / UNIT, pa.float64()))
         with np.errstate(invalid="ignore", divide="ignore"):
             mean = sums / UNIT / per_text
@@ -136,7 +137,7 @@ def score_documents(
         )
 
     def add_up(asked: pa.Table) -> pa.Table:
-        return packets.answer_total(asked)
+        return packets.answer_others(asked)
 
     asked = dealt.groupBy("block").applyInArrow(count, packets.PACKET)
     table = asked.groupBy("bucket").applyInArrow(add_up, packets.ANSWER)

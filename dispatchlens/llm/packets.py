@@ -9,9 +9,15 @@ many for large packets this is, at worst, an ordinary shuffle of one row per key
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+
+from dispatchlens.llm import words
 
 U64 = np.uint64
 PACKET = "bucket int, block long, kind int, keys binary, checks binary, counts binary"
@@ -27,6 +33,36 @@ _ANSWER_ARROW = pa.schema(
 )
 
 
+def pack(df: DataFrame, text: str, size: int) -> DataFrame:
+    """``df`` in blocks (``block`` long, ``rows`` binary): runs of input rows with about ``size`` bytes
+    of text, compressed as a whole.
+
+    Every user of the blocks must group them by ``block`` first, so that all read one shuffle.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+        for batch in batches:
+            for piece in words.pieces(batch, text, size):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, piece.schema, options=options) as out:
+                    out.write_batch(piece)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number]), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                    ["block", "rows"],
+                )
+                number += 1
+
+    return df.mapInArrow(run, "block long, rows binary")
+
+
+def unpack(block: pa.Table) -> tuple[int, pa.Table]:
+    """Number and rows of a block."""
+    with pa.ipc.open_stream(block["rows"][0].as_buffer()) as rows:
+        return block["block"][0].as_py(), rows.read_all()
+
+
 def shrink(values: np.ndarray) -> bytes:
     """Numbers as bytes: byte planes one after the other, compressed."""
     planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
@@ -108,10 +144,10 @@ def packet_table(rows: list[dict]) -> pa.Table:
     return pa.Table.from_pylist(rows, _PACKET_ARROW)
 
 
-def answer_total(packets: pa.Table, limit: int | None = None) -> pa.Table:
-    """Every packet's keys answered with their total count over all packets of the kind.
+def answer_others(packets: pa.Table, limit: int | None = None) -> pa.Table:
+    """Every packet's keys answered with their count in all other packets of the kind.
 
-    ``limit``: larger totals are told as this, where the asker only compares.
+    ``limit``: larger counts are told as this, where the asker only compares.
     """
     rows = []
     kinds = packets["kind"].to_numpy()
@@ -123,10 +159,10 @@ def answer_total(packets: pa.Table, limit: int | None = None) -> pa.Table:
         _, _, place, _ = unique(
             np.concatenate(keys), np.concatenate(checks) if checks[0] is not None else None
         )
-        totals = np.bincount(place, np.concatenate(counts)).astype(np.int64)
+        own = np.concatenate(counts)
+        told, at = np.bincount(place, own).astype(np.int64)[place] - own, 0
         if limit is not None:
-            totals = np.minimum(totals, limit)
-        told, at = totals[place], 0
+            told = np.minimum(told, limit)
         for i, k in enumerate(keys):
             rows.append(
                 {

@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dispatchlens.llm import packets, words
-from dispatchlens.llm.frames import blocks, text_bytes, tidy
+from dispatchlens.llm.frames import text_bytes, tidy
 
 U64 = np.uint64
 SEEDS, WINDOWS = 1, 2
-MADE = ("n_words", "n_removed", "repeats", "kept_text", "block")
+MADE = ("n_words", "n_removed", "repeats", "kept_text")
 
 
 def _windows(column, n: int, k: int):
@@ -48,8 +48,8 @@ def _seeds(column, n: int, k: int):
 
 def _extended(column, answered: pa.Table, n: int, k: int):
     """The windows around repeated seeds: their keys, sorted, and which key each has."""
-    found, starts, of_window, seeds, _ = _seeds(column, n, k)
-    repeated = packets.answers(answered, SEEDS) > 1
+    found, starts, of_window, _, counts = _seeds(column, n, k)
+    repeated = packets.answers(answered, SEEDS) + counts > 1
     starts = starts[repeated[of_window]] if len(starts) else starts
     keys = found.sequences(n)[starts]
     checks = (found.sequences(n, variant=1)[starts] >> U64(32)).astype(np.uint32)
@@ -87,31 +87,30 @@ def remove_repeats(
     total = docs.agg(F.sum(text_bytes(F.col(text))).alias("n")).first()["n"] or 0
     # a seed every (n - k + 2) / 2 words of about six bytes
     bits = max(7, (total // (3 * (n - k + 2)) // bucket_keys).bit_length())
-    dealt = blocks(docs, text, block_bytes)
+    dealt = packets.pack(docs, text, block_bytes)
     added = T.StructType.fromDDL(
         "n_words long, n_removed long, repeats array<struct<start:int,end:int>>, kept_text string"
     )
     schema = T.StructType([f for f in docs.schema.fields] + added.fields)
 
-    def seeds(rows: pa.Table) -> pa.Table:
+    def seeds(packed: pa.Table) -> pa.Table:
+        block, rows = packets.unpack(packed)
         _, _, _, keys, counts = _seeds(rows[text], n, k)
-        block = rows["block"][0].as_py()
         return packets.packet_table(
             packets.ask(block, SEEDS, keys, np.minimum(counts, 2), bits)
         )
 
-    def extend(rows: pa.Table, answered: pa.Table) -> pa.Table:
-        if not len(rows):
-            return packets.packet_table([])
+    def extend(packed: pa.Table, answered: pa.Table) -> pa.Table:
+        block, rows = packets.unpack(packed)
         _, _, keys, checks, _, counts = _extended(rows[text], answered, n, k)
-        block = rows["block"][0].as_py()
         return packets.packet_table(
             packets.ask(block, WINDOWS, keys, np.minimum(counts, 2), bits, checks)
         )
 
-    def cut(rows: pa.Table, answered: pa.Table) -> pa.Table:
-        found, starts, _, _, place, _ = _extended(rows[text], answered, n, k)
-        starts = starts[packets.answers(answered, WINDOWS)[place] > 1]
+    def cut(packed: pa.Table, answered: pa.Table) -> pa.Table:
+        _, rows = packets.unpack(packed)
+        found, starts, _, _, place, counts = _extended(rows[text], answered, n, k)
+        starts = starts[(packets.answers(answered, WINDOWS) + counts)[place] > 1]
         steps = np.zeros(len(found.hashes) + 1, np.int32)
         np.add.at(steps, starts, 1)
         np.add.at(steps, starts + n, -1)
@@ -127,15 +126,14 @@ def remove_repeats(
             spans.append(words.spans(own))
             kept.append(b" ".join(parts).decode())
         removed = np.concatenate([[0], np.cumsum(gone)])[found.bounds]
-        out = rows.drop_columns(["block"])
-        out = out.append_column("n_words", pa.array(counts, pa.int64()))
+        out = rows.append_column("n_words", pa.array(counts, pa.int64()))
         out = out.append_column("n_removed", pa.array(np.diff(removed), pa.int64()))
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         out = out.append_column("repeats", pa.array(spans, span))
         return out.append_column("kept_text", pa.array(kept, pa.string()))
 
     def known(found: pa.Table) -> pa.Table:
-        return packets.answer_total(found, limit=2)
+        return packets.answer_others(found, limit=1)
 
     by_block = lambda df: df.groupBy("block")
     asked = by_block(dealt).applyInArrow(seeds, packets.PACKET)
