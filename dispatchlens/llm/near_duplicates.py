@@ -198,6 +198,8 @@ def link_similar(
     met = _tiles(met, ["run"], "node", F.col("size"), tile_rows)
 
     def meet(rows: pa.Table) -> pa.Table:
+        # by node, so that a group has the same root in most of its runs
+        rows = rows.take(pa.array(np.argsort(np.array(rows["node"].to_pylist(), object))))
         marks = np.frombuffer(b"".join(rows["thin"].to_pylist()), np.uint16).reshape(-1, size)
 
         def linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
