@@ -8,14 +8,14 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispatchlens import schemas
+from dispatchlens import jobs, schemas
 from dispatchlens.operators import lifecycle, market, motion, quality, sales
 from dispatchlens.plans.catalog import ANALYTICS, REPORTS
 from dispatchlens.session import new_run_folder, prepare
-from dispatchlens.sources import derived, files
-from dispatchlens.sources.tables import read_table
+from dispatchlens.sources import files
 from dispatchlens.streaming import stateful
 from dispatchlens.streaming.replay import FLUSH_ID, Replay
+from oracle import feeds as fixture
 from oracle.queries import ORACLES
 
 try:  # the text operators and their pipeline can be left out as a whole
@@ -34,31 +34,30 @@ ORDER_COLUMNS = [
     if f.name not in ("schema_version", "order_items", "metadata")
 ]
 COURIER_COLUMNS = [
-    "event_id", "courier_id", "order_id", "zone_id", "courier_status", "event_timestamp",
-    "ingestion_timestamp", "latitude", "longitude", "vehicle_type", "session_id",
+    "event_id", "courier_id", "order_id", "zone_id", "courier_status", "previous_status",
+    "event_timestamp", "ingestion_timestamp", "latitude", "longitude", "location_accuracy_meters",
+    "heading_degrees", "distance_to_restaurant_meters", "distance_to_customer_meters",
+    "vehicle_type", "session_id",
     "shift_duration_seconds", "deliveries_completed_in_session", "is_duplicate",
     "is_late_arrival", "anomaly_flag",
 ]
 
 
 class Feeds:
-    """Both feeds and the item rows of the tables in a folder, built on demand."""
+    """Both feeds of the tables in a folder, built on demand."""
 
     def __init__(self, spark: SparkSession, tables: str):
         self.spark = prepare(spark)
         self.tables = tables
 
     def orders(self) -> DataFrame:
-        return derived.order_feed(self.spark, self.tables)
+        return fixture.order_feed(self.spark, self.tables)
 
     def couriers(self) -> DataFrame:
-        return derived.courier_feed(self.spark, self.tables)
-
-    def items(self) -> DataFrame:
-        return derived.item_rows(read_table(self.spark, self.tables, "lineitem"))
+        return fixture.courier_feed(self.spark, self.tables)
 
     def item_names(self) -> DataFrame:
-        return derived.item_names(read_table(self.spark, self.tables, "part"))
+        return fixture.item_names(fixture.read_table(self.spark, self.tables, "part"))
 
     def analytic(self, name: str) -> DataFrame:
         analytic = ANALYTICS[name]
@@ -70,13 +69,30 @@ def _on_feeds(build: Callable[[Feeds], DataFrame]) -> Query:
 
 
 def _on_stream(build: Callable[[Replay], DataFrame]) -> Query:
-    return lambda spark, tables: build(Replay(prepare(spark), tables))
+    def run(spark: SparkSession, tables: str) -> DataFrame:
+        session = prepare(spark)
+        return build(Replay(session, fixture.feeds(session, tables)))
+
+    return run
 
 
 def _report(source: str, rollup: Callable[[DataFrame], DataFrame]) -> Query:
     return _on_feeds(lambda feeds: rollup(feeds.analytic(source)))
 
 
+def _stored(name: str, columns: list[str]) -> Query:
+    """A feed kept by event date and read again between two dates."""
+
+    def run(feeds: Feeds) -> DataFrame:
+        base = new_run_folder(feeds.spark, "feeds")
+        jobs.store_feeds({name: getattr(feeds, name)()}, base)
+        schema = schemas.ORDER_FEED if name == "orders" else schemas.COURIER_FEED
+        dates = "2024-01-01", "2099-12-31"
+        return files.read_feed(feeds.spark, f"{base}/{name}", schema, False, *dates).select(*columns)
+
+    return _on_feeds(run)
+
+
 def _json_lines_roundtrip(feeds: Feeds) -> DataFrame:
     path = new_run_folder(feeds.spark, "jsonl")
     files.write_json_lines(feeds.orders(), path, schemas.ORDER_FEED)
@@ -92,7 +108,9 @@ def _avro_roundtrip(feeds: Feeds) -> DataFrame:
 def _results_roundtrip(feeds: Feeds) -> DataFrame:
     base, name = new_run_folder(feeds.spark, "results"), "uc1_order_volume"
     files.write_results(feeds.analytic(name), base, name)
-    return files.read_results(feeds.spark, base, name, "2024-01-01", "2024-12-31")
+    # a second run replaces the first one
+    files.write_results(feeds.analytic(name), base, name)
+    return files.read_results(feeds.spark, base, name, "2024-01-01", "2099-12-31")
 
 
 def _enum_violations(feeds: Feeds) -> DataFrame:
@@ -135,8 +153,8 @@ def queries() -> dict[str, Query]:
     for name, (source, rollup) in REPORTS.items():
         registered[name] = _report(source, rollup)
     registered |= {
-        "feed_orders": _on_feeds(lambda f: f.orders().select(*ORDER_COLUMNS)),
-        "feed_couriers": _on_feeds(lambda f: f.couriers().select(*COURIER_COLUMNS)),
+        "feed_orders": _stored("orders", ORDER_COLUMNS),
+        "feed_couriers": _stored("couriers", COURIER_COLUMNS),
         "feed_timeline": _on_feeds(lambda f: quality.timeline(f.orders(), f.couriers())),
         "feed_status_counts": _on_feeds(lambda f: quality.status_counts(f.orders())),
         "feed_anomaly_counts": _on_feeds(lambda f: quality.anomaly_counts(f.couriers())),
@@ -177,9 +195,8 @@ def queries() -> dict[str, Query]:
         "x_eta_accuracy": _on_feeds(
             lambda f: lifecycle.promise_accuracy(lifecycle.promise_errors(f.orders()))
         ),
-        # sketches differ between engines, so this one has no SQL counterpart
         "uc9_supply_demand_approx": _on_feeds(
-            lambda f: market.supply_demand(f.orders(), f.couriers(), exact=False)
+            lambda f: market.supply_estimate_check(f.orders(), f.couriers())
         ),
         "x_surge_zones": _on_feeds(
             lambda f: market.surge_windows(f.analytic("uc9_supply_demand"))
@@ -187,10 +204,10 @@ def queries() -> dict[str, Query]:
         "x_supply_demand_outer": _on_feeds(
             lambda f: market.supply_demand(f.orders(), f.couriers(), keep_unserved=True)
         ),
-        "x_item_sales": _on_feeds(lambda f: sales.item_sales(f.items(), f.item_names())),
-        "x_order_total_check": _on_feeds(
-            lambda f: sales.order_total_check(f.orders(), f.items())
+        "x_item_sales": _on_feeds(
+            lambda f: sales.item_sales(sales.explode_items(f.orders()), f.item_names())
         ),
+        "x_order_total_check": _on_feeds(lambda f: sales.order_total_check(f.orders())),
         "x_eta_formula_check": _on_feeds(lambda f: sales.promise_formula_check(f.orders())),
         "x_zone_of_ping": _on_feeds(lambda f: motion.zones_of_pings(f.couriers())),
         "x_demand_curve": _on_feeds(lambda f: sales.demand_curve(f.orders())),

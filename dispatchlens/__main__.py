@@ -1,12 +1,12 @@
 """Command line: feeds, streams, batch runs and reports.
 
-    python -m dispatchlens feeds   TABLES FEEDS
-    python -m dispatchlens summary FEEDS
-    python -m dispatchlens batch   FEEDS RESULTS
-    python -m dispatchlens stream  --files FEEDS RESULTS CHECKPOINTS
+    python -m dispatchlens summary FEEDS [--from DATE] [--to DATE]
+    python -m dispatchlens batch   FEEDS RESULTS [--from DATE] [--to DATE]
+    python -m dispatchlens stream  --files FEEDS RESULTS CHECKPOINTS [--max-files N]
     python -m dispatchlens stream  --kafka CONNECTION.json ORDERS COURIERS RESULTS CHECKPOINTS
-    python -m dispatchlens publish CONNECTION.json FEEDS ORDERS COURIERS
-    python -m dispatchlens report  NAME RESULTS [--from DATE] [--to DATE]
+                                   [--max-offsets N]
+    python -m dispatchlens publish CONNECTION.json FEEDS ORDERS COURIERS [--checkpoints FOLDER]
+    python -m dispatchlens report  NAME RESULTS [--from DATE] [--to DATE] [--rows N | --out FOLDER]
 
 Folders may be any URI Hadoop knows.  CONNECTION.json holds the Kafka options,
 such as kafka.bootstrap.servers.  Submit with spark-submit to run on a cluster.
@@ -21,7 +21,7 @@ from . import jobs
 from .plans.catalog import REPORTS
 from .schemas import COURIER_FEED, ORDER_FEED
 from .session import create_session, streaming_session
-from .sources.kafka import publish
+from .sources.kafka import publish, publish_stream, to_records
 from .streaming.runner import finish_all, run_until_stopped, start_all
 
 
@@ -38,21 +38,27 @@ def _arguments(argv=None) -> argparse.Namespace:
             sub.add_argument(argument)
         return sub
 
-    command("feeds", "tables", "feeds")
-    command("summary", "feeds")
-    command("batch", "feeds", "results")
-    command("publish", "connection", "feeds", "orders", "couriers")
+    def dated(sub: argparse.ArgumentParser) -> argparse.ArgumentParser:
+        sub.add_argument("--from", dest="first")
+        sub.add_argument("--to", dest="last")
+        return sub
+
+    dated(command("summary", "feeds"))
+    dated(command("batch", "feeds", "results"))
+    publishing = command("publish", "connection", "feeds", "orders", "couriers")
+    publishing.add_argument("--checkpoints", help="publish as a stream that remembers its place")
     stream = command("stream", "results", "checkpoints")
     source = stream.add_mutually_exclusive_group(required=True)
     source.add_argument("--files", metavar="FEEDS")
     source.add_argument("--kafka", nargs=3, metavar=("CONNECTION", "ORDERS", "COURIERS"))
     stream.add_argument("--starting-offsets", default="latest")
+    stream.add_argument("--max-offsets", type=int, help="most records of a topic in a batch")
+    stream.add_argument("--max-files", type=int, help="most files of a feed in a batch")
     stream.add_argument("--once", action="store_true", help="handle what is there and end")
     stream.add_argument("--interval", help="trigger interval, such as '10 seconds'")
-    reports = command("report", "name", "results")
-    reports.add_argument("--from", dest="first")
-    reports.add_argument("--to", dest="last")
-    reports.add_argument("--rows", type=int, default=50)
+    reports = dated(command("report", "name", "results"))
+    reports.add_argument("--rows", type=int, help="print so many rows only")
+    reports.add_argument("--out", metavar="FOLDER", help="write the report as parquet")
     args = parser.parse_args(argv)
     if args.command == "report" and args.name not in REPORTS:
         parser.error(f"unknown report {args.name}; one of {', '.join(REPORTS)}")
@@ -67,24 +73,34 @@ def _connection(path: str) -> dict[str, str]:
 def main(argv=None) -> None:
     args = _arguments(argv)
     spark = create_session("dispatchlens", args.master)
-    if args.command == "feeds":
-        jobs.store_feeds(jobs.table_feeds(spark, args.tables), args.feeds)
-    elif args.command == "summary":
-        for counts in jobs.feed_summary(jobs.stored_feeds(spark, args.feeds)).values():
+    if args.command == "summary":
+        feeds = jobs.stored_feeds(spark, args.feeds, first_date=args.first, last_date=args.last)
+        for counts in jobs.feed_summary(feeds).values():
             counts.show(truncate=False)
     elif args.command == "batch":
-        jobs.run_batch(jobs.stored_feeds(spark, args.feeds), args.results)
+        feeds = jobs.stored_feeds(spark, args.feeds, first_date=args.first, last_date=args.last)
+        jobs.run_batch(feeds, args.results)
     elif args.command == "publish":
-        feeds, connection = jobs.stored_feeds(spark, args.feeds), _connection(args.connection)
-        publish(feeds[jobs.ORDERS], ORDER_FEED, args.orders, connection)
-        publish(feeds[jobs.COURIERS], COURIER_FEED, args.couriers, connection)
+        connection, streaming = _connection(args.connection), args.checkpoints is not None
+        feeds = jobs.stored_feeds(spark, args.feeds, streaming)
+        for name, schema, topic in (
+            (jobs.ORDERS, ORDER_FEED, args.orders),
+            (jobs.COURIERS, COURIER_FEED, args.couriers),
+        ):
+            if streaming:
+                records = to_records(feeds[name], schema)
+                finish_all([publish_stream(records, topic, connection, args.checkpoints)])
+            else:
+                publish(feeds[name], schema, topic, connection)
     elif args.command == "stream":
         session = streaming_session(spark)
         if args.files:
-            feeds = jobs.stored_feeds(session, args.files, streaming=True)
+            limit = {"maxFilesPerTrigger": str(args.max_files)} if args.max_files else {}
+            feeds = jobs.stored_feeds(session, args.files, streaming=True, **limit)
         else:
             path, *topics = args.kafka
-            feeds = jobs.topic_feeds(session, _connection(path), *topics, args.starting_offsets)
+            offsets = args.starting_offsets, args.max_offsets
+            feeds = jobs.topic_feeds(session, _connection(path), *topics, *offsets)
         sink = {"available_now": args.once, "interval": args.interval}
         queries = start_all(feeds, args.results, args.checkpoints, **sink)
         if args.once:
@@ -93,7 +109,14 @@ def main(argv=None) -> None:
             run_until_stopped(session, queries)
     elif args.command == "report":
         frame = jobs.report(spark, args.name, args.results, args.first, args.last)
-        frame.show(args.rows, truncate=False)
+        if args.out:
+            frame.write.parquet(args.out)
+        elif args.rows is not None:
+            frame.show(args.rows, truncate=False)
+        else:
+            print(*frame.columns, sep="\t")
+            for row in frame.toLocalIterator():
+                print(*row, sep="\t")
 
 
 if __name__ == "__main__":

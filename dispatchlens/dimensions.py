@@ -79,6 +79,8 @@ STEP_BOUNDS = (
     StepBounds("EN_ROUTE", "DELIVERED", 300, 1800),
 )
 OTHER_STEP_BOUNDS = (30, 120)
+# an order whose courier vanished after pickup is cancelled after so many seconds
+VANISHED_BOUNDS = (300, 900)
 
 # --- fixed values: demand and weather ----------------------------------------
 
@@ -87,7 +89,7 @@ PEAK_PREP_PERCENT = 140
 HANDOVER_SECONDS = 900
 WEATHER_PERCENT = {"CLEAR": 100, "RAIN": 120, "HEAVY_RAIN": 145, "SNOW": 160}
 
-# demand weight in hundredths, by hour of the day 0..23
+# demand weight in hundredths, for integer arithmetic, by hour of the day 0..23
 HOURLY_WEIGHT = (
     10, 5, 3, 2, 2, 5, 15, 35, 50, 40, 35, 70,
     180, 200, 120, 80, 70, 100, 180, 220, 200, 150, 90, 40,
@@ -97,6 +99,9 @@ WEEKEND_PERCENT = 125
 PREP_SLA_SECONDS = 1200
 SURGE_RATIO = 3.0
 LATE_LAG_MS = 30_000
+# events come up to 300 seconds late, their copies up to 5 seconds after them
+FEED_LATENESS = "305 seconds"
+PROMISE_HORIZON_SECONDS = 6 * 3600
 
 # --- fixed values: geography and vehicles ------------------------------------
 
@@ -107,18 +112,15 @@ class Zone(NamedTuple):
     lat_hi: float
     lon_lo: float
     lon_hi: float
-    demand_weight: float
-    courier_density: float
-    label: str
 
 
 ZONES = (
-    Zone("zone_downtown", 40.7050, 40.7250, -74.0100, -73.9900, 3.5, 3.0, "Downtown"),
-    Zone("zone_midtown", 40.7250, 40.7550, -74.0050, -73.9750, 2.5, 2.0, "Midtown"),
-    Zone("zone_west", 40.6500, 40.7000, -74.0100, -73.9600, 2.0, 1.8, "West Side"),
-    Zone("zone_east", 40.7100, 40.7450, -73.9700, -73.9400, 1.8, 1.5, "East Side"),
-    Zone("zone_uptown", 40.7550, 40.7900, -73.9900, -73.9500, 1.5, 1.2, "Uptown"),
-    Zone("zone_suburbs", 40.6000, 40.6500, -74.0500, -73.9000, 0.8, 0.5, "Suburbs"),
+    Zone("zone_downtown", 40.7050, 40.7250, -74.0100, -73.9900),
+    Zone("zone_midtown", 40.7250, 40.7550, -74.0050, -73.9750),
+    Zone("zone_west", 40.6500, 40.7000, -74.0100, -73.9600),
+    Zone("zone_east", 40.7100, 40.7450, -73.9700, -73.9400),
+    Zone("zone_uptown", 40.7550, 40.7900, -73.9900, -73.9500),
+    Zone("zone_suburbs", 40.6000, 40.6500, -74.0500, -73.9000),
 )
 ZONE_IDS = tuple(z.zone_id for z in ZONES)
 

@@ -9,26 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators import quality
 from .plans.catalog import ANALYTICS, REPORTS
 from .schemas import COURIER_FEED, ORDER_FEED
-from .sources import derived, files, kafka
+from .sources import files, kafka
 
 Feeds = dict[str, DataFrame]
 
 ORDERS, COURIERS = "orders", "couriers"
 
 
-def table_feeds(spark: SparkSession, tables: str) -> Feeds:
-    """Both feeds derived from the tables in a folder."""
-    return {
-        ORDERS: derived.order_feed(spark, tables),
-        COURIERS: derived.courier_feed(spark, tables),
-    }
-
-
-def stored_feeds(spark: SparkSession, base: str, streaming: bool = False, **options: str) -> Feeds:
-    """Both feeds from parquet folders below ``base``."""
+def stored_feeds(
+    spark: SparkSession,
+    base: str,
+    streaming: bool = False,
+    first_date: str | None = None,
+    last_date: str | None = None,
+    **options: str,
+) -> Feeds:
+    """Both feeds from parquet folders below ``base``, whole or between two dates."""
+    bounds = {"first_date": first_date, "last_date": last_date, **options}
     return {
-        ORDERS: files.read_feed(spark, f"{base}/{ORDERS}", ORDER_FEED, streaming, **options),
-        COURIERS: files.read_feed(spark, f"{base}/{COURIERS}", COURIER_FEED, streaming, **options),
+        name: files.read_feed(spark, f"{base}/{name}", schema, streaming, **bounds)
+        for name, schema in ((ORDERS, ORDER_FEED), (COURIERS, COURIER_FEED))
     }
 
 
@@ -38,9 +38,10 @@ def topic_feeds(
     orders_topic: str,
     couriers_topic: str,
     starting_offsets: str = "latest",
+    max_offsets: int | None = None,
 ) -> Feeds:
     """Both feeds from Kafka topics that carry Avro records."""
-    offsets = {"starting_offsets": starting_offsets}
+    offsets = {"starting_offsets": starting_offsets, "max_offsets": max_offsets}
     return {
         ORDERS: kafka.order_stream(spark, orders_topic, connection, **offsets),
         COURIERS: kafka.courier_stream(spark, couriers_topic, connection, **offsets),
@@ -50,11 +51,11 @@ def topic_feeds(
 def store_feeds(feeds: Feeds, base: str, mode: str = "errorifexists") -> None:
     """Write feeds to parquet once, so that many jobs share one decoding."""
     for name, feed in feeds.items():
-        feed.write.mode(mode).parquet(f"{base}/{name}")
+        files.write_feed(feed, f"{base}/{name}", mode)
 
 
 def run_batch(feeds: Feeds, base: str, names: Iterable[str] = tuple(ANALYTICS)) -> None:
-    """Compute analytics over whole feeds and append them to their datasets."""
+    """Compute analytics over feeds; the dates in them replace those in the datasets."""
     for name in names:
         files.write_results(ANALYTICS[name](feeds), base, name)
 

@@ -59,6 +59,19 @@ def supply_demand(
     )
 
 
+def supply_estimate_check(orders: DataFrame, couriers: DataFrame, error: float = 0.05) -> DataFrame:
+    """The exact supply, and whether the sketch lies within three of its stated errors of it, or
+    one courier where that is less."""
+    exact = supply_demand(orders, couriers).drop("demand_supply_ratio")
+    sketch = supply_demand(orders, couriers, exact=False).select(
+        "window_start", "zone_id", F.col("supply_couriers").alias("estimate")
+    )
+    off = F.abs(F.col("estimate") - F.col("supply_couriers"))
+    allowed = F.greatest(F.lit(1.0), 3 * error * F.col("supply_couriers"))
+    joined = exact.join(sketch, ["window_start", "zone_id"], "left")
+    return joined.withColumn("within_error", F.coalesce(off <= allowed, F.lit(False))).drop("estimate")
+
+
 def surge_windows(supply_and_demand: DataFrame, threshold: float = SURGE_RATIO) -> DataFrame:
     """Windows in which demand exceeds supply by the threshold or more."""
     return supply_and_demand.filter(F.col("demand_supply_ratio") >= threshold)

@@ -28,29 +28,8 @@ def item_sales(items: DataFrame, names: DataFrame | None = None) -> DataFrame:
     return sales if names is None else sales.join(names, "item_id", "left")
 
 
-def order_total_check(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Stated order totals against the sum of their items, per zone."""
-    sums = items.groupBy("order_id").agg(
-        F.sum(F.col("quantity").cast("bigint") * F.col("unit_price_cents")).alias("item_cents")
-    )
-    total, summed = F.col("order_total_cents"), F.col("item_cents")
-    return (
-        in_status(orders, "PLACED")
-        .select("order_id", "zone_id", "order_total_cents")
-        .join(sums, "order_id", "left")
-        .groupBy("zone_id")
-        .agg(
-            F.count("*").alias("orders"),
-            F.count_if(total.isNull()).alias("without_total"),
-            F.count_if(summed.isNull()).alias("without_items"),
-            F.count_if(total == summed).alias("matching"),
-            F.count_if(total != summed).alias("differing"),
-        )
-    )
-
-
-def embedded_total_check(orders: DataFrame) -> DataFrame:
-    """The same check on feeds that carry their items in ``order_items``."""
+def order_total_check(orders: DataFrame) -> DataFrame:
+    """Stated order totals against the sum of the items in ``order_items``, per zone."""
     summed = F.aggregate(
         "order_items",
         F.lit(0).cast("bigint"),
@@ -71,7 +50,7 @@ def embedded_total_check(orders: DataFrame) -> DataFrame:
     )
 
 
-def promise_formula_check(orders: DataFrame, tolerance_seconds: int = 1) -> DataFrame:
+def promise_formula_check(orders: DataFrame, tolerance_seconds: int = 0) -> DataFrame:
     """Recompute peak flag and promise of placed orders and count differences."""
     stated = F.col("estimated_delivery_time_seconds")
     formula = promised_delivery_seconds(

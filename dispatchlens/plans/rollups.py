@@ -18,13 +18,15 @@ from ..functions.numbers import half_even, percent, scaled, weighted_mean
 TYPED_ANOMALIES = ("impossible_speed", "location_jump", "offline_mid_delivery")
 
 
-def within_dates(results: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Restrict a result table by its partition column."""
+def within_dates(
+    rows: DataFrame, first: str | None = None, last: str | None = None, column: str = "window_date"
+) -> DataFrame:
+    """Restrict a stored table by its partition column."""
     if first is not None:
-        results = results.filter(F.col("window_date") >= F.lit(first).cast("date"))
+        rows = rows.filter(F.col(column) >= F.lit(first).cast("date"))
     if last is not None:
-        results = results.filter(F.col("window_date") <= F.lit(last).cast("date"))
-    return results
+        rows = rows.filter(F.col(column) <= F.lit(last).cast("date"))
+    return rows
 
 
 def _by(results: DataFrame, *keys: str):
@@ -42,11 +44,22 @@ def _mean_eur(name: str) -> Column:
     return F.rint(F.sum(scaled(F.col(name))) / F.count(name)) / 100
 
 
+def _sum_or_zero(name: str) -> Column:
+    return F.coalesce(F.sum(name), F.lit(0)).alias(name)
+
+
+def _zone_means(name: str) -> list[Column]:
+    """Mean of a column in each listed zone, and in all others together."""
+    zone = F.col("zone_id")
+    listed = [F.avg(F.when(zone == z, F.col(name))).alias(z) for z in ZONE_IDS]
+    return [*listed, F.avg(F.when(~zone.isin(*ZONE_IDS), F.col(name))).alias("other_zones")]
+
+
 # --- order volume ------------------------------------------------------------
 
 
 def order_kpis(volume: DataFrame) -> DataFrame:
-    sums = volume.agg(_total("total_orders"), _total("cancelled_orders"))
+    sums = volume.agg(_sum_or_zero("total_orders"), _sum_or_zero("cancelled_orders"))
     rate = percent(F.col("cancelled_orders"), F.col("total_orders"))
     return sums.withColumn("cancellation_rate_pct", rate)
 
@@ -93,6 +106,8 @@ def cumulative_revenue(value: DataFrame) -> DataFrame:
     the single-task window that carries the sum from day to day.
     """
     minutes = _by(value, "window_date", "window_start").agg(_revenue_cents().alias("cents"))
+    # the few rows of a day serve the sum, the running sum and the join from one distribution
+    minutes = minutes.repartition("window_date")
     upto = Window.unboundedPreceding, Window.currentRow
     in_day = Window.partitionBy("window_date").orderBy("window_start").rowsBetween(*upto)
     days = (
@@ -132,11 +147,10 @@ def supply_latest(balance: DataFrame) -> DataFrame:
 
 
 def ratio_pivot(balance: DataFrame) -> DataFrame:
-    """Mean demand/supply ratio, one column per zone."""
+    """Mean demand/supply ratio, one column per listed zone and one for all others."""
     return (
         _by(balance, "window_start")
-        .pivot("zone_id", list(ZONE_IDS))
-        .agg(F.avg("demand_supply_ratio"))
+        .agg(*_zone_means("demand_supply_ratio"))
         .orderBy("window_start")
     )
 
@@ -214,14 +228,14 @@ def eta_kpis(promises: DataFrame) -> DataFrame:
 
 
 def eta_pivot(promises: DataFrame) -> DataFrame:
-    """Mean promise, weather by zone, in the fixed order of weather."""
+    """Mean promise, weather by zone, in the fixed order of weather; one column for all zones
+    that are not listed."""
     return (
         _eta_by_zone_and_weather(promises)
         .filter(F.col("weather_condition").isin(*WEATHER_CONDITIONS))
         .groupBy("weather_condition")
-        .pivot("zone_id", list(ZONE_IDS))
-        .agg(F.avg("avg_eta_sec"))
-        .dropna("all", subset=list(ZONE_IDS))
+        .agg(*_zone_means("avg_eta_sec"))
+        .dropna("all", subset=[*ZONE_IDS, "other_zones"])
         .orderBy(ordinal(F.col("weather_condition"), WEATHER_CONDITIONS))
     )
 
@@ -234,7 +248,7 @@ def eta_top(promises: DataFrame, rows: int = 10) -> DataFrame:
 
 
 def anomaly_kpis(anomalies: DataFrame) -> DataFrame:
-    sums = anomalies.agg(_total("total_events"), _total("total_anomalies"))
+    sums = anomalies.agg(_sum_or_zero("total_events"), _sum_or_zero("total_anomalies"))
     rate = percent(F.col("total_anomalies"), F.col("total_events"))
     return sums.withColumn("anomaly_rate_pct", rate)
 

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SCRATCH_CONF = "spark.dispatchlens.scratch"
+TIME_ZONE_CONF = "spark.sql.session.timeZone"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def create_session(app_name: str, master: str | None = None, **confs: str) -> SparkSession:
     """A session for this library; cluster settings come from the caller."""
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = builder.config(TIME_ZONE_CONF, "UTC")
     if master:
         builder = builder.master(master)
     for key, value in confs.items():
@@ -22,24 +24,25 @@ def create_session(app_name: str, master: str | None = None, **confs: str) -> Sp
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set what results depend on: windows and dates are in UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+    """A session in which windows and dates are in UTC: the given one if it is so, else a new one
+    of the same application.  The caller's session is left as it is."""
+    if spark.conf.get(TIME_ZONE_CONF) == "UTC":
+        return spark
+    session = spark.newSession()
+    session.conf.set(TIME_ZONE_CONF, "UTC")
+    return session
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor can reach, as named by the cluster.
+    """Folder for intermediate data that every executor can reach.
 
-    Only a local session without the setting gets a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``, or the caller in ``spark.dispatchlens.scratch``;
+    without either it lies in the warehouse, which executors share as well.  No setting is changed.
     """
-    base = spark.conf.get(CHECKPOINT_CONF, None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    base = tempfile.mkdtemp(prefix="dispatchlens-")
-    spark.conf.set(CHECKPOINT_CONF, base)
-    return base
+    base = spark.conf.get(CHECKPOINT_CONF, None) or spark.conf.get(SCRATCH_CONF, None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/dispatchlens-scratch"
+    return base.rstrip("/")
 
 
 def new_run_folder(spark: SparkSession, label: str) -> str:
@@ -50,15 +53,12 @@ def new_run_folder(spark: SparkSession, label: str) -> str:
 def streaming_session(spark: SparkSession, rocksdb: bool = True) -> SparkSession:
     """A session of the same application tuned for stateful queries.
 
-    The shuffle width of a stateful query is frozen in its checkpoint on first
-    start and is not adapted at run time.  A caller's own setting is kept; where
-    Spark's default is still in place the width follows the cores at hand.
+    The shuffle width of a stateful query is frozen in its checkpoint on first start and is not
+    adapted at run time, so it is the caller's to choose; it is taken over from their session.
     """
     session = prepare(spark.newSession())
-    width = spark.conf.get("spark.sql.shuffle.partitions")
-    if width == "200":
-        width = str(spark.sparkContext.defaultParallelism)
-    session.conf.set("spark.sql.shuffle.partitions", width)
+    width = "spark.sql.shuffle.partitions"
+    session.conf.set(width, spark.conf.get(width))
     session.conf.set(
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
     )

@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import COURIER_FEED, ORDER_FEED, avro_columns, avro_schema
 from .files import cast_to
@@ -40,15 +41,22 @@ def connectors(spark: SparkSession) -> dict[str, bool]:
 
 
 def topic_options(
-    topic: str, connection: Mapping[str, str], starting_offsets: str = "latest"
+    topic: str,
+    connection: Mapping[str, str],
+    starting_offsets: str = "latest",
+    max_offsets: int | None = None,
 ) -> dict[str, str]:
-    """Reader options for one topic on top of the caller's connection options."""
-    return {
+    """Reader options for one topic on top of the caller's connection options.
+
+    ``max_offsets`` bounds a batch; without it the first one from ``earliest`` is the whole topic.
+    """
+    options = {
         **connection,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "groupIdPrefix": f"dispatchlens-{topic}",
     }
+    return options | ({"maxOffsetsPerTrigger": str(max_offsets)} if max_offsets else {})
 
 
 def sasl_connection(servers: str, username: str, password: str) -> dict[str, str]:
@@ -104,6 +112,25 @@ def to_records(feed: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def publish(feed: DataFrame, schema: T.StructType, topic: str, connection: Mapping[str, str]):
-    """Write a batch feed to a topic; for streams use ``to_records(...).writeStream``."""
+    """Write a batch feed to a topic."""
     records = to_records(feed, schema)
     records.write.format("kafka").options(**connection).option("topic", topic).save()
+
+
+def publish_stream(
+    records: DataFrame,
+    topic: str,
+    connection: Mapping[str, str],
+    checkpoint: str,
+    interval: str | None = None,
+    sink: str = "kafka",
+) -> StreamingQuery:
+    """Write a stream of records (``key``, ``value``) to a topic, with a checkpoint of its own.
+
+    ``interval`` sets a processing-time trigger; without it what is there is sent and the query
+    ends.  ``sink``: another format, where the connector is missing.
+    """
+    writer = records.writeStream.format(sink).options(**connection)
+    writer = writer.option("topic", topic).option("checkpointLocation", f"{checkpoint}/{topic}")
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return writer.queryName(f"publish-{topic}").trigger(**trigger).start()

@@ -1,13 +1,16 @@
-"""Replay finite tables through the streaming operators.
+"""Replay finite feeds through the streaming operators, in time order and many batches.
 
-A finite stream never closes its last windows, because nothing moves the
-watermark past them.  A replay therefore adds flush rows: events far in the
-future that pass the filters of every analytic.  Their own windows stay open,
-so they never show in a windowed result.
+A feed is cut at quantiles of its event time into slices, and each slice is written as the next files
+of a folder that the stream reads batch by batch.  A finite stream never closes its last windows,
+because nothing moves the watermark past them; the last file therefore holds flush rows: events
+far in the future that pass the filters of every analytic.  Their own windows stay open, so they
+never show in a windowed result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,12 +18,14 @@ from pyspark.sql import types as T
 from ..plans.catalog import ANALYTICS
 from ..schemas import COURIER_FEED, ORDER_FEED, as_nullable, result_schema
 from ..session import new_run_folder, streaming_session
-from ..sources.derived import courier_feed, order_feed
 from .runner import finish_all, parquet_sink
 
 FLUSH_ID = "__flush__"
 _FLUSH_TIME = "timestamp'2200-01-01 00:00:00'"
-
+_FEEDS = {
+    "orders": (ORDER_FEED, "order_status", ("PLACED", "READY_FOR_PICKUP", "DELIVERED")),
+    "couriers": (COURIER_FEED, "courier_status", ("ONLINE_IDLE",)),
+}
 _FLUSH_DEFAULTS = {
     T.StringType: f"'{FLUSH_ID}'",
     T.TimestampType: _FLUSH_TIME,
@@ -30,8 +35,9 @@ _FLUSH_DEFAULTS = {
 }
 
 
-def _flush_rows(spark: SparkSession, feed: T.StructType, status: str, values) -> DataFrame:
-    """One row per status in which every scalar column is set."""
+def _flush_rows(spark: SparkSession, name: str) -> DataFrame:
+    """One row per status in which every scalar column but the rating is set."""
+    feed, status, values = _FEEDS[name]
     columns = [
         F.expr(
             f"explode(array({', '.join(repr(v) for v in values)}))"
@@ -44,35 +50,55 @@ def _flush_rows(spark: SparkSession, feed: T.StructType, status: str, values) ->
 
 
 class Replay:
-    """Runs streaming operators over the tables in a folder, one run per object."""
-
-    def __init__(self, spark: SparkSession, tables: str, rocksdb: bool = True):
-        self.spark = spark
-        self.tables = tables
+    """Runs streaming operators over finite feeds, one run per object.
+
+    ``slices``: data batches at least; ``order_by``: time that tells which slice a row belongs to;
+    ``files``: files per slice, which are read together.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        feeds: Mapping[str, DataFrame],
+        slices: int = 4,
+        order_by: str = "event_timestamp",
+        files: int = 1,
+        rocksdb: bool = True,
+    ):
+        self.spark, self.feeds = spark, feeds
+        self.slices, self.order_by, self.files = slices, order_by, files
         self.session = streaming_session(spark, rocksdb)
         self.folder = new_run_folder(spark, "replay")
-
-    def _with_flush(self, feed: DataFrame, schema: T.StructType, status: str, values) -> DataFrame:
-        path = f"{self.folder}/flush-{status}"
-        rows = _flush_rows(self.session, schema, status, values)
-        rows.coalesce(1).write.mode("overwrite").parquet(path)
-        return feed.unionByName(self.session.readStream.schema(as_nullable(schema)).parquet(path))
+        self.progress: list = []
+        self._written: set[str] = set()
+
+    def _write(self, name: str) -> None:
+        """The feed's slices, one after the other, and the flush rows after them."""
+        schema, *_ = _FEEDS[name]
+        feed, time = self.feeds[name], F.unix_micros(self.order_by)
+        shares = F.array(*(F.lit(i / self.slices) for i in range(1, self.slices)))
+        bounds = feed.agg(F.percentile_approx(time, shares).alias("b")).first()["b"] or []
+        number = sum((F.when(time > b, 1).otherwise(0) for b in bounds), F.lit(0))
+        staged = f"{self.folder}/staged-{name}"
+        feed.withColumn("slice", number).write.partitionBy("slice").parquet(staged)
+        columns = schema.fieldNames()
+        stored = self.spark.read.schema(as_nullable(schema).add("slice", T.IntegerType())).parquet(staged)
+        parts = [stored.filter(F.col("slice") == i).select(*columns) for i in range(self.slices)]
+        for part in [*parts, _flush_rows(self.spark, name).select(*columns)]:
+            part.repartition(self.files).write.mode("append").parquet(f"{self.folder}/{name}")
+
+    def _stream(self, name: str) -> DataFrame:
+        if name not in self._written:
+            self._write(name)
+            self._written.add(name)
+        reader = self.session.readStream.schema(as_nullable(_FEEDS[name][0]))
+        return reader.option("maxFilesPerTrigger", self.files).parquet(f"{self.folder}/{name}")
 
     def orders(self) -> DataFrame:
-        return self._with_flush(
-            order_feed(self.session, self.tables, streaming=True),
-            ORDER_FEED,
-            "order_status",
-            ("PLACED", "READY_FOR_PICKUP", "DELIVERED"),
-        )
+        return self._stream("orders")
 
     def couriers(self) -> DataFrame:
-        return self._with_flush(
-            courier_feed(self.session, self.tables, streaming=True),
-            COURIER_FEED,
-            "courier_status",
-            ("ONLINE_IDLE",),
-        )
+        return self._stream("couriers")
 
     def run(self, results: DataFrame, name: str, partition_by=()) -> DataFrame:
         """Run a streaming result to its end and return what the sink holds."""
@@ -81,8 +107,19 @@ class Replay:
             results, name, output, checkpoints, partition_by, available_now=True
         )
         finish_all([query])
+        self.progress = list(query.recentProgress)
         return self.spark.read.schema(as_nullable(results.schema)).parquet(f"{output}/{name}")
 
+    def data_batches(self) -> int:
+        """Batches of the last run that had rows."""
+        return sum(p["numInputRows"] > 0 for p in self.progress)
+
+    def dropped_rows(self) -> int:
+        """Rows, after combining, that came behind the watermark in the last run."""
+        return sum(
+            s["numRowsDroppedByWatermark"] for p in self.progress for s in p["stateOperators"]
+        )
+
     def analytic(self, name: str) -> DataFrame:
         """One of the nine analytics, with the result table's own sink."""
         analytic = ANALYTICS[name]

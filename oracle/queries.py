@@ -104,7 +104,8 @@ _oracle(
     "dash_ratio_pivot",
     "SELECT window_start, "
     + ", ".join(f"avg(demand_supply_ratio) FILTER (WHERE zone_id = '{z}') AS {z}" for z in _ZONES)
-    + " FROM uc9_supply_demand GROUP BY window_start ORDER BY window_start",
+    + f", avg(demand_supply_ratio) FILTER (WHERE zone_id NOT IN {_ZONES}) AS other_zones"
+    " FROM uc9_supply_demand GROUP BY window_start ORDER BY window_start",
     "uc9_supply_demand",
 )
 _oracle(
@@ -168,7 +169,8 @@ _oracle(
     "dash_eta_pivot",
     "SELECT weather_condition, "
     + ", ".join(f"avg(avg_eta_sec) FILTER (WHERE zone_id = '{z}') AS {z}" for z in _ZONES)
-    + f" FROM ({_ETA}) WHERE weather_condition IN {_WEATHER} GROUP BY weather_condition",
+    + f", avg(avg_eta_sec) FILTER (WHERE zone_id NOT IN {_ZONES}) AS other_zones"
+    f" FROM ({_ETA}) WHERE weather_condition IN {_WEATHER} GROUP BY weather_condition",
     "uc12_eta_accuracy",
 )
 _oracle("dash_eta_top10", f"{_ETA} {_LONGEST} LIMIT 10", "uc12_eta_accuracy")
@@ -236,14 +238,22 @@ _ORDER_COLUMNS = """event_id, order_id, customer_id, restaurant_id, courier_id,
     estimated_prep_time_seconds, estimated_delivery_time_seconds, actual_prep_time_seconds,
     actual_delivery_time_seconds, is_peak_hour, weather_condition, cancellation_reason,
     cast(tenths / 10 AS float) AS customer_rating, is_duplicate, is_late_arrival"""
-_COURIER_COLUMNS = """event_id, courier_id, order_id, zone_id, courier_status, event_timestamp,
-    ingestion_timestamp, latitude, longitude, vehicle_type, session_id, shift_duration_seconds,
+_COURIER_COLUMNS = """event_id, courier_id, order_id, zone_id, courier_status, previous_status,
+    event_timestamp, ingestion_timestamp, latitude, longitude, location_accuracy_meters,
+    heading_degrees, distance_to_restaurant_meters, distance_to_customer_meters,
+    vehicle_type, session_id, shift_duration_seconds,
     deliveries_completed_in_session, is_duplicate, is_late_arrival, anomaly_flag"""
 
 _oracle("feed_orders", f"SELECT {_ORDER_COLUMNS} FROM order_feed", "order_feed")
 _oracle("feed_couriers", f"SELECT {_COURIER_COLUMNS} FROM courier_feed", "courier_feed")
 _oracle("io_jsonl_roundtrip", f"SELECT {_ORDER_COLUMNS} FROM order_feed", "order_feed")
-_oracle("io_avro_roundtrip", f"SELECT {_COURIER_COLUMNS} FROM courier_feed", "courier_feed")
+_oracle(
+    "io_avro_roundtrip",
+    f"""SELECT * REPLACE (nullif(previous_status, 'LOST') AS previous_status,
+    nullif(anomaly_flag, 'GHOST') AS anomaly_flag)
+FROM (SELECT {_COURIER_COLUMNS} FROM courier_feed)""",
+    "courier_feed",
+)
 _oracle("io_results_roundtrip", "SELECT * FROM uc1_order_volume", "uc1_order_volume")
 _oracle(
     "feed_timeline",
@@ -352,7 +362,8 @@ FROM (SELECT t.*, coalesce(lo, 30) AS low_seconds,
     FROM transitions t LEFT JOIN (VALUES ('PLACED', 'ACCEPTED', 30, 120),
         ('ACCEPTED', 'PREPARING', 10, 60), ('PREPARING', 'READY_FOR_PICKUP', 480, 1500),
         ('READY_FOR_PICKUP', 'PICKED_UP', 60, 600), ('PICKED_UP', 'EN_ROUTE', 5, 30),
-        ('EN_ROUTE', 'DELIVERED', 300, 1800)) b(a, z, lo, hi)
+        ('EN_ROUTE', 'DELIVERED', 300, 1800),
+        ('PICKED_UP', 'CANCELLED', 300, 900)) b(a, z, lo, hi)
         ON from_status = a AND to_status = z)
 WHERE seconds < low_seconds OR seconds > high_seconds""",
     "transitions",
@@ -393,7 +404,13 @@ _oracle(
                 "ONLINE_IDLE HEADING_TO_RESTAURANT WAITING_AT_RESTAURANT PICKED_UP "
                 "EN_ROUTE_TO_CUSTOMER DELIVERED OFFLINE BREAK",
             ),
-            "SELECT 'couriers', 'previous_status', 0",
+            _violations(
+                "couriers",
+                "courier_feed",
+                "previous_status",
+                "ONLINE_IDLE HEADING_TO_RESTAURANT WAITING_AT_RESTAURANT PICKED_UP "
+                "EN_ROUTE_TO_CUSTOMER DELIVERED OFFLINE BREAK",
+            ),
             _violations("couriers", "courier_feed", "vehicle_type", " ".join(_VEHICLES)),
             _violations(
                 "couriers",
@@ -418,14 +435,21 @@ GROUP BY zone_id""",
 
 # --- further analytics -------------------------------------------------------
 
-_PROMISES = f"""SELECT zone_id, weather_condition, count(*) AS deliveries,
+_PROMISES = f"""SELECT zone_id, weather_condition, count(error_seconds) AS deliveries,
+    count(*) FILTER (WHERE error_seconds IS NULL) AS unresolved,
     {rounded("avg(error_seconds)", 2)} AS mean_error_sec,
     {rounded("avg(abs(error_seconds))", 2)} AS mean_abs_error_sec,
     quantile_disc(error_seconds, 0.9) AS p90_error_sec,
-    {rounded("count(*) FILTER (WHERE error_seconds > 0) / count(*)", 4)} AS late_share
+    {rounded("count(*) FILTER (WHERE error_seconds > 0) / nullif(count(error_seconds), 0)", 4)} AS late_share
 FROM promise_errors GROUP BY zone_id, weather_condition"""
 _oracle("x_eta_accuracy", _PROMISES, "promise_errors")
 _oracle("stream_x_eta_accuracy", _PROMISES, "promise_errors")
+_oracle(
+    "uc9_supply_demand_approx",
+    """SELECT window_start, window_end, window_date, zone_id, demand_orders, supply_couriers,
+    true AS within_error FROM uc9_supply_demand""",
+    "uc9_supply_demand",
+)
 _oracle(
     "x_surge_zones",
     "SELECT * FROM uc9_supply_demand WHERE demand_supply_ratio >= 3.0",
@@ -463,7 +487,7 @@ _oracle(
     f"""SELECT zone_id, count(*) AS placed,
     count(*) FILTER (WHERE (hour(event_timestamp) IN (12, 13, 14, 19, 20, 21)) <> is_peak_hour)
         AS peak_differs,
-    count(*) FILTER (WHERE abs(formula - stated) > 1) AS promise_differs,
+    count(*) FILTER (WHERE formula <> stated) AS promise_differs,
     {bigint("sum(stated - formula)")} AS promise_drift_sec
 FROM (SELECT *, estimated_delivery_time_seconds AS stated,
         (estimated_prep_time_seconds + 900) * CASE weather_condition WHEN 'RAIN' THEN 120

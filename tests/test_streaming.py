@@ -1,18 +1,25 @@
 """Late data, restart, flush, concurrent queries and stateful operators on streams."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from frames import couriers, orders
 
 from dispatchlens import schemas
 from dispatchlens.operators.orders import order_volume
 from dispatchlens.plans.catalog import ANALYTICS
+from dispatchlens.operators import lifecycle, quality
 from dispatchlens.session import CHECKPOINT_CONF, new_run_folder, shared_folder, streaming_session
-from dispatchlens.sources import derived
 from dispatchlens.sources.files import read_feed, read_results
 from dispatchlens.streaming import runner, stateful
-from dispatchlens.streaming.replay import Replay
+from dispatchlens.streaming.replay import FLUSH_ID, Replay
+from oracle import feeds as fixture
 
 DAY = 86_400
+ROOT = Path(__file__).resolve().parents[1]
 
 
 @pytest.fixture(scope="module")
@@ -89,38 +96,52 @@ def test_restart_goes_on_without_repeating(session):
     assert stored.count() == 2
 
 
-def test_all_nine_run_side_by_side(session, spark, tables):
-    feeds = {
-        "orders": derived.order_feed(session, tables, streaming=True),
-        "couriers": derived.courier_feed(session, tables, streaming=True),
-    }
+@pytest.fixture(scope="module")
+def stored(spark, tables):
+    base = new_run_folder(spark, "stored")
+    for name, feed in fixture.feeds(spark, tables).items():
+        feed.write.parquet(f"{base}/{name}")
+    return base
+
+
+def streams(session, stored, *names):
+    schema = {"orders": schemas.ORDER_FEED, "couriers": schemas.COURIER_FEED}
+    return {n: read_feed(session, f"{stored}/{n}", schema[n], True) for n in names}
+
+
+def test_all_nine_run_side_by_side(session, spark, tables, stored):
+    feeds = streams(session, stored, "orders", "couriers")
     base = new_run_folder(spark, "all")
     queries = runner.start_all(feeds, f"{base}/out", f"{base}/ck", available_now=True)
     assert sorted(q.name for q in queries) == sorted(ANALYTICS)
     runner.finish_all(queries)
     assert all(not q.isActive for q in queries)
-    stored = read_results(spark, f"{base}/out", "uc1_order_volume")
-    assert stored.count() > 0
+    found = read_results(spark, f"{base}/out", "uc1_order_volume")
+    assert found.count() > 0
     # without flush rows the last windows stay open
-    feed = {"orders": derived.order_feed(spark, tables)}
-    assert stored.count() < ANALYTICS["uc1_order_volume"](feed).count()
+    feed = {"orders": fixture.order_feed(spark, tables)}
+    assert found.count() < ANALYTICS["uc1_order_volume"](feed).count()
 
 
-def test_failed_start_stops_the_others(session, tables):
-    feeds = {"orders": derived.order_feed(session, tables, streaming=True)}
+def test_failed_start_stops_the_others(session, stored):
     base = new_run_folder(session, "broken")
     with pytest.raises(KeyError):
-        runner.start_all(feeds, base, f"{base}/ck", ["uc1_order_volume", "uc7_anomalies"])
+        runner.start_all(
+            streams(session, stored, "orders"), base, f"{base}/ck", ["uc1_order_volume", "uc7_anomalies"]
+        )
     assert not session.streams.active
 
 
 def test_dedup_across_batches(session):
     folder = Folder(session, schemas.ORDER_FEED)
     folder.add(orders(session, {"event_id": "x"}, {"event_id": "x"}, {"event_id": "y"}))
-    folder.add(orders(session, {"event_id": "x", "t": 1}, {"event_id": "z", "t": 1}))
-    kept = stateful.dedup_stream(folder.stream()).select("event_id")
-    found = sorted(r.event_id for r in folder.run(kept, "dedup", ()).collect())
-    assert found == ["x", "y", "z"]
+    # copies come up to 300 seconds late
+    folder.add(orders(session, {"event_id": "z", "t": 300}))
+    folder.add(orders(session, {"event_id": "x"}, {"event_id": "late"}))
+    folder.add(orders(session, {"event_id": "flush", "t": DAY}))
+    rows = folder.stream().select("event_id", "order_status", "event_timestamp")
+    kept = folder.run(stateful.dedup_stream(rows), "dedup", ())
+    assert sorted(r.event_id for r in kept.collect()) == ["late", "x", "y", "z"]
 
 
 def test_sessions_split_at_the_gap(session):
@@ -149,22 +170,51 @@ def test_promise_join_is_bounded_and_never_multiplies(session):
             {"order_id": "too late", "t": 7 * 3600, **done},
         )
     )
+    flush = {"order_id": "flush", "t": 3 * DAY}
+    folder.add(orders(session, {**flush, **placed}, {**flush, **done}))
     errors = stateful.promise_errors_stream(folder.stream(), folder.stream())
     rows = folder.run(errors, "promises", ()).collect()
-    assert [(r.order_id, r.error_seconds) for r in rows] == [("a", 200)]
+    assert sorted((r.order_id, r.error_seconds) for r in rows) == [("a", 200), ("too late", None)]
+    # the batch form gives the same orders
+    schema = schemas.as_nullable(schemas.ORDER_FEED)
+    whole = lifecycle.promise_errors(session.read.schema(schema).parquet(f"{folder.base}/feed"))
+    whole = whole.where("order_id <> 'flush'").collect()
+    assert sorted((r.order_id, r.error_seconds) for r in whole) == [("a", 200), ("too late", None)]
 
 
 @pytest.mark.parametrize("rocksdb", [True, False])
 def test_replay_equals_batch_with_either_state_store(spark, tables, rocksdb):
     name = "uc9_supply_demand"
-    feeds = {
-        "orders": derived.order_feed(spark, tables),
-        "couriers": derived.courier_feed(spark, tables),
-    }
+    feeds = fixture.feeds(spark, tables)
     batch = ANALYTICS[name](feeds)
-    stream = Replay(spark, tables, rocksdb).analytic(name)
+    replay = Replay(spark, feeds, rocksdb=rocksdb)
+    stream = replay.analytic(name)
     assert stream.columns == batch.columns
     assert stream.exceptAll(batch).count() == 0 and batch.exceptAll(stream).count() == 0
+    assert replay.data_batches() >= 4 and replay.dropped_rows() == 0
+
+
+@pytest.mark.parametrize("name", ["uc1_order_volume", "uc13_courier_productivity"])
+def test_ordered_feeds_lose_nothing_over_many_batches(spark, tables, name):
+    feeds = fixture.feeds(spark, tables)
+    replay = Replay(spark, feeds, slices=6)
+    stream, batch = replay.analytic(name), ANALYTICS[name](feeds)
+    assert stream.exceptAll(batch).count() == 0 and batch.exceptAll(stream).count() == 0
+    assert replay.data_batches() >= 7 and replay.dropped_rows() == 0
+
+
+def test_disorder_beyond_the_watermark_loses_the_late_rows(spark, session):
+    """Events arrive by ingestion time; those whose lag is over 30 seconds are the late ones."""
+    rows = [{"t": 60 * i, "lag_ms": 100, "event_id": f"a{i}"} for i in range(30)]
+    rows += [{"t": 60 * i + 5, "lag_ms": 400_000, "event_id": f"b{i}"} for i in (3, 7, 11)]
+    feed = orders(session, *rows)
+    replay = Replay(spark, {"orders": feed}, slices=len(rows), order_by="ingestion_timestamp")
+    found = replay.analytic("uc1_order_volume")
+    late = quality.late_arrivals(feed, couriers(session)).where("feed = 'orders'").first().late_by_lag
+    assert late == 3
+    assert found.agg({"total_orders": "sum"}).first()[0] == len(rows) - late
+    assert replay.dropped_rows() == late
+    assert replay.run(replay.orders().select("event_id"), "ids").where(f"event_id = '{FLUSH_ID}'").count() == 3
 
 
 def test_shared_folder_comes_from_the_session(spark):
@@ -172,9 +222,55 @@ def test_shared_folder_comes_from_the_session(spark):
     assert new_run_folder(spark, "a") != new_run_folder(spark, "a")
 
 
-def test_streaming_width_keeps_the_callers_setting(spark):
-    width = streaming_session(spark).conf.get("spark.sql.shuffle.partitions")
-    assert width == spark.conf.get("spark.sql.shuffle.partitions")
-    other = spark.newSession()
-    other.conf.set("spark.sql.shuffle.partitions", "200")
-    assert streaming_session(other).conf.get("spark.sql.shuffle.partitions") == "4"
+def test_shared_folder_without_a_checkpoint_folder(spark):
+    """No setting is written: the warehouse takes the data, or the folder of the own setting."""
+
+    class Session:
+        def __init__(self, **confs):
+            self.confs = {"spark.sql.warehouse.dir": "file:/w", **confs}
+            self.conf = self
+
+        def get(self, key, default=None):
+            return self.confs.get(key, default)
+
+    assert shared_folder(Session()) == "file:/w/dispatchlens-scratch"
+    assert shared_folder(Session(**{"spark.dispatchlens.scratch": "s3a://b/x/"})) == "s3a://b/x"
+    assert shared_folder(Session(**{CHECKPOINT_CONF: "hdfs:/ck"})) == "hdfs:/ck"
+
+
+def test_queries_run_in_a_session_without_a_checkpoint_folder(tables, tmp_path):
+    """In a process of its own, as the setting belongs to the application."""
+    script = tmp_path / "run.py"
+    script.write_text(
+        f"""
+import sys
+sys.path[:0] = {[str(ROOT)]!r}
+from pyspark.sql import SparkSession
+import __spark_entry__ as entry
+spark = (
+    SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+    .config("spark.sql.shuffle.partitions", "2")
+    .config("spark.sql.warehouse.dir", {str(tmp_path / "warehouse")!r}).getOrCreate()
+)
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+zone = spark.conf.get("spark.sql.session.timeZone")
+for name in ("io_jsonl_roundtrip", "io_results_roundtrip", "stream_uc7"):
+    assert entry.queries()[name](spark, {str(tables)!r}).count() > 0
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+assert spark.conf.get("spark.sql.session.timeZone") == zone
+print("ran")
+"""
+    )
+    env = {k: v for k, v in os.environ.items() if not k.startswith("PYSPARK")}
+    env |= {"SPARK_CONF_DIR": str(tmp_path), "TZ": "America/New_York", "PYTHONPATH": str(ROOT)}
+    done = subprocess.run(
+        [sys.executable, str(script)], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300
+    )
+    assert done.stdout.strip().endswith("ran"), done.stderr[-2000:]
+
+
+def test_streaming_width_is_the_callers(spark):
+    for width in ("4", "200", "7"):
+        session = spark.newSession()
+        session.conf.set("spark.sql.shuffle.partitions", width)
+        assert streaming_session(session).conf.get("spark.sql.shuffle.partitions") == width
