@@ -21,9 +21,7 @@ from oracle.queries import ORACLES
 try:  # the text operators and their pipeline can be left out as a whole
     import corpus_pipeline
     from dispatchlens.llm import queries as text_queries
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "dispatchlens.llm"):
-        raise
+except ImportError:
     corpus_pipeline = text_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
