@@ -3,7 +3,9 @@
 The n-gram counts of the corpus are a table split by hash.  Blocks of documents send their different
 n-grams with counts to it, and the total counts come back joined to the n-grams in the order
 they were sent (see ``packets``); then each word is scored and scores are summed per document.
-An n-gram travels once per block, so that frequent ones cost no more than others.
+An n-gram travels once per block, so that frequent ones cost no more than others.  From three words
+on, an n-gram is asked for only where both of its shorter ones occur in other documents; where one
+doesn't, nor does the n-gram, and nobody else asks for it.
 """
 
 from __future__ import annotations
@@ -25,46 +27,53 @@ UNIT = 1_000_000
 CORPUS = 0  # kind of packets that ask for the number of words
 
 
-def remember(order: int, hashes: words.Words, room: np.ndarray):
-    """Places, different keys, the key of each place and counts, of the n-grams of one order."""
-    places = np.flatnonzero(room >= order)
-    keys, _, which, counts = packets.unique(hashes.sequences(order)[places])
-    return places, keys, which, counts
-
-
-def _others(which: np.ndarray, of_text: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    """For every place, how often its n-gram occurs in all other documents."""
-    own = of_text * max(1, len(totals)) + which
-    _, _, at, counts = packets.unique(own)
-    return totals[which] - counts[at]
+class Places:
+    """The n-grams of one order in a block, at the places where they could be in others, too."""
 
+    def __init__(self, order: int, found: words.Words, shorter: np.ndarray | None):
+        """``shorter``: counts in other documents of the n-grams of one word less, by place."""
+        room = found.room()
+        fits = room >= order
+        if shorter is not None and order > 2:
+            fits[:-1] &= (shorter[:-1] > 0) & (shorter[1:] > 0)
+        self.places, self.size = np.flatnonzero(fits), len(room)
+        self.of_text = found.texts()[self.places]
+        grams = found.sequences(order)[self.places]
+        self.keys, _, self.which, self.counts = packets.unique(grams)
+
+    def others(self, answers: np.ndarray) -> np.ndarray:
+        """For every word of the block, how often the n-gram from it on is in other documents."""
+        out = np.zeros(self.size, np.int64)
+        if len(self.places):
+            own = self.of_text * len(self.keys) + self.which
+            _, _, at, counts = packets.unique(own)
+            out[self.places] = (answers + self.counts)[self.which] - counts[at]
+        return out
+
+
+def others_by_order(found: words.Words, answered: pa.Table, order: int) -> list[np.ndarray]:
+    """By order, from one word on, the counts in other documents at every place."""
+    counts: list[np.ndarray] = []
+    for k in range(1, order + 1):
+        own = Places(k, found, counts[-1] if counts else None)
+        counts.append(own.others(packets.answers(answered, k)))
+    return counts
 
-def score_block(found: words.Words, others, order: int, backoff: float, total: int):
-    """Scores in millionths of every word and the order each was found at, 0 for unseen words.
 
-    ``others(k)`` gives the counts, in all other blocks, of the block's sorted keys of order ``k``.
-    """
-    room, of_text = found.room(), found.texts()
+def score_block(found: words.Words, counts: list[np.ndarray], backoff: float, total: int):
+    """Scores in millionths of every word and the order each was found at, 0 for unseen words."""
     n = len(found.hashes)
-    counts = []
-    for k in range(1, order + 1):
-        places, _, which, own = remember(k, found, room)
-        full = np.zeros(n, np.int64)
-        if len(places):
-            full[places] = _others(which, of_text[places], others(k) + own)
-        counts.append(full)
     done, units, level = np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n, np.int64)
     within = np.arange(n) - np.repeat(found.bounds[:-1], np.diff(found.bounds))
     penalty = round(math.log(backoff) * UNIT)
-    for k in range(order, 0, -1):
+    for k in range(len(counts), 0, -1):
         # n-gram of order k that ends with the word, and its context before the word
-        first = np.arange(n) - (k - 1)
+        first = np.maximum(np.arange(n) - (k - 1), 0)
         fits = within >= k - 1
-        seen = np.where(fits, counts[k - 1][np.maximum(first, 0)], 0)
-        base = counts[k - 2][np.maximum(first, 0)] if k > 1 else np.full(n, total)
+        seen = np.where(fits, counts[k - 1][first], 0)
+        base = counts[k - 2][first] if k > 1 else np.full(n, total)
         new = ~done & (seen > 0)
-        ratio = np.log(seen[new] / base[new])
-        units[new] += np.round(ratio * UNIT).astype(np.int64)
+        units[new] += np.round(np.log(seen[new] / base[new]) * UNIT).astype(np.int64)
         level[new] = k
         done |= new
         if k > 1:  # words that had a context of this length and did not match it back off
@@ -78,7 +87,7 @@ def score_documents(
     text: str = "text",
     order: int = 3,
     backoff: float = 0.4,
-    block_bytes: int = 8 << 20,
+    block_bytes: int = 6 << 20,
     bucket_keys: int = 1 << 20,
 ) -> DataFrame:
     """Score each document by the n-grams, up to ``order``, of all other rows of ``docs``.
@@ -104,24 +113,31 @@ def score_documents(
     added = "n_words long, log_score double, per_word double, by_order array<long>"
     schema = T.StructType(docs.schema.fields + T.StructType.fromDDL(added).fields)
 
-    def count(packed: pa.Table) -> pa.Table:
+    def first(packed: pa.Table) -> pa.Table:
         block, rows = packets.unpack(packed)
         found = words.split(rows[text])
-        room = found.room()
         one, size = np.zeros(1, np.uint64), np.array([len(found.hashes)])
         asked = packets.ask(block, CORPUS, one, size, bits)
-        for k in range(1, order + 1):
-            _, keys, _, counts = remember(k, found, room)
-            asked += packets.ask(block, k, keys, counts, bits)
+        for k in range(1, min(2, order) + 1):
+            own = Places(k, found, None)
+            asked += packets.ask(block, k, own.keys, own.counts, bits)
         return packets.packet_table(asked)
 
+    def longer(k: int):
+        def ask(packed: pa.Table, answered: pa.Table) -> pa.Table:
+            block, rows = packets.unpack(packed)
+            found = words.split(rows[text])
+            own = Places(k, found, others_by_order(found, answered, k - 1)[-1])
+            return packets.packet_table(packets.ask(block, k, own.keys, own.counts, bits))
+
+        return ask
+
     def apply(packed: pa.Table, answered: pa.Table) -> pa.Table:
         _, rows = packets.unpack(packed)
         found = words.split(rows[text])
         size = int(packets.answers(answered, CORPUS)[0]) + len(found.hashes)
-        units, level = score_block(
-            found, lambda k: packets.answers(answered, k), order, backoff, size
-        )
+        counts = others_by_order(found, answered, order)
+        units, level = score_block(found, counts, backoff, size)
         per_text = np.diff(found.bounds)
         sums = np.diff(np.concatenate([[0], np.cumsum(units)])[found.bounds])
         levels = np.bincount(
@@ -139,6 +155,10 @@ def score_documents(
     def add_up(asked: pa.Table) -> pa.Table:
         return packets.answer_others(asked)
 
-    asked = dealt.groupBy("block").applyInArrow(count, packets.PACKET)
+    by_block = lambda df: df.groupBy("block")
+    asked = by_block(dealt).applyInArrow(first, packets.PACKET)
     table = asked.groupBy("bucket").applyInArrow(add_up, packets.ANSWER)
-    return dealt.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(apply, schema)
+    for k in range(3, order + 1):
+        asked = by_block(dealt).cogroup(by_block(table)).applyInArrow(longer(k), packets.PACKET)
+        table = table.unionByName(asked.groupBy("bucket").applyInArrow(add_up, packets.ANSWER))
+    return by_block(dealt).cogroup(by_block(table)).applyInArrow(apply, schema)

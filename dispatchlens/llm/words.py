@@ -28,6 +28,8 @@ _RANDOM = np.random.Generator(np.random.PCG64(20240101))
 _BYTE_VALUES = _RANDOM.integers(0, 2**64, 256, dtype=U64) | U64(1)
 _LOWER_VALUES = _BYTE_VALUES.copy()
 _LOWER_VALUES[0x41:0x5B] = _BYTE_VALUES[0x61:0x7B]
+#: bytes that are hashed at once, for small intermediate arrays
+_AT_ONCE = 1 << 20
 _IN_WORD = 0x9E3779B97F4A7C15
 #: multipliers of the two hashes of word sequences
 _IN_SEQUENCE = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -137,12 +139,17 @@ def split(
     if not len(starts):
         return Words(bounds, np.zeros(0, U64), starts, ends)
     lengths = ends - starts
-    at = np.cumsum(lengths) - lengths
-    place = np.arange(int(at[-1] + lengths[-1])) - np.repeat(at, lengths)
-    values = (_LOWER_VALUES if lower else _BYTE_VALUES)[data[inside]]
-    values *= _word_powers.upto(int(lengths.max()))[place]
-    hashes = mix(np.add.reduceat(values, at) + lengths.astype(U64))
-    return Words(bounds, hashes, starts, ends)
+    numbers = _LOWER_VALUES if lower else _BYTE_VALUES
+    powers = _word_powers.upto(int(lengths.max()))
+    before, hashes = np.concatenate([[0], np.cumsum(lengths)]), np.empty(len(starts), U64)
+    edges = np.unique(np.searchsorted(before, np.arange(0, before[-1], _AT_ONCE)))
+    for i, j in zip(edges, [*edges[1:], len(starts)]):
+        # place of each byte in its word
+        at = before[i:j] - before[i]
+        place = np.arange(before[j] - before[i]) - np.repeat(at, lengths[i:j])
+        own = data[starts[i] : ends[j - 1]][inside[starts[i] : ends[j - 1]]]
+        hashes[i:j] = np.add.reduceat(numbers[own] * powers[place], at)
+    return Words(bounds, mix(hashes + lengths.astype(U64)), starts, ends)
 
 
 def lowest_places(values: np.ndarray, width: int) -> np.ndarray:
