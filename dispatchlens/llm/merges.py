@@ -7,7 +7,7 @@ pair.  Encodings can therefore be found from left to right, prefix by prefix, wi
 
 from __future__ import annotations
 
-from collections.abc import Callable, Container, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 Rank = Callable[[str, str], "float | None"]
 
@@ -15,7 +15,7 @@ Rank = Callable[[str, str], "float | None"]
 class Memo(dict):
     """Values of a function, kept; ``room`` lets go of all of them when there are too many."""
 
-    def __init__(self, function: Callable, limit: int = 800_000):
+    def __init__(self, function: Callable, limit: int = 500_000):
         super().__init__()
         self.function, self.limit = function, limit
 
@@ -37,12 +37,13 @@ class Merges:
         self,
         rank: Rank,
         symbols: Callable[[str], Sequence[str]],
-        vocabulary: Container[str],
+        vocabulary: Iterable[str],
         longest: int,
-        limit: int = 1_000_000,
+        limit: int = 500_000,
     ):
         self.rank, self.symbols, self.limit = rank, symbols, limit
-        self.vocabulary, self.longest = vocabulary, longest
+        # each token as one string object, however many tables hold it
+        self.tokens, self.longest = {t: t for t in vocabulary}, longest
         # last token of the encoding of every text met, and of all its prefixes
         self.last: dict[str, str] = {}
         self._made: dict[str, tuple | None] = {}
@@ -87,13 +88,15 @@ class Merges:
         A letter that is no token may stand for itself.
         """
         lasts = [""]
-        vocabulary, made, known = self.vocabulary, self.made, self.pairs
+        tokens, made, known = self.tokens, self.made, self.pairs
         for i in range(1, len(word) + 1):
             # exactly one token fits, and it is a short one most of the time
             for j in range(i - 1, max(-1, i - 1 - self.longest), -1):
-                token = word[j:i]
-                if token not in vocabulary and i - j > 1:
-                    continue
+                token = tokens.get(word[j:i])
+                if token is None:
+                    if i - j > 1:
+                        continue
+                    token = word[j:i]
                 if j:
                     fits = known[lasts[j]].get(token) if lasts[j] in known else None
                     if fits is None:
@@ -115,7 +118,7 @@ class Merges:
                 found.append(lasts[i])
                 i -= len(lasts[i])
             return found[::-1]
-        last, vocabulary, known = self.last, self.vocabulary, self.pairs
+        last, tokens, known = self.last, self.tokens, self.pairs
         if word not in last:
             if len(last) > self.limit:
                 last.clear()
@@ -128,9 +131,11 @@ class Merges:
                     high = middle
             for i in range(low + 1, len(word) + 1):
                 for j in range(i - 1, max(-1, i - 1 - self.longest), -1):
-                    token = word[j:i]
-                    if token not in vocabulary and i - j > 1:
-                        continue
+                    token = tokens.get(word[j:i])
+                    if token is None:
+                        if i - j > 1:
+                            continue
+                        token = word[j:i]
                     if j:
                         left = last[word[:j]]
                         beside = known.get(left)

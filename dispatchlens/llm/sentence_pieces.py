@@ -34,7 +34,7 @@ MADE = ("n_pieces", "piece_ids", "round_trip", "decoded")
 MARK = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _OWN, _UNUSED, _BYTE = range(1, 7)
 _UNIGRAM, _PAIRS = 1, 2
-_WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
+_WORD = re.compile(" *[^ ]+| +$")
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -75,8 +75,10 @@ class Transducer:
         if any(kind in (_OWN, _UNUSED) for *_, kind in pieces):
             raise ValueError("pieces of the user's own and unused pieces are not compiled")
         self.first_mark, self.pieces = first_mark, pieces
-        self.arcs = {p: i for i, (p, _, kind) in enumerate(pieces) if kind == _NORMAL}
-        if any(MARK in p.lstrip(MARK) for p in self.arcs):
+        # inside, a blank stands for the word mark: one byte a letter for most words
+        plain = [p.replace(MARK, " ") for p, _, _ in pieces]
+        self.arcs = {plain[i]: i for i, (_, _, kind) in enumerate(pieces) if kind == _NORMAL}
+        if any(" " in p.lstrip(" ") for p in self.arcs):
             raise ValueError("a piece reaches from one word into the next")
         self.scores = {p: pieces[i][1] for p, i in self.arcs.items()}
         self.longest = max(map(len, self.arcs), default=1)
@@ -88,10 +90,11 @@ class Transducer:
         self.acceptor = Merges(self._rank, list, self.arcs, self.longest) if pairs else None
         # what each piece stands for when decoded; parts of characters are bytes above
         self.surface = [
-            "" if kind == _CONTROL else " ⁇ " if kind == _UNKNOWN else p.replace(MARK, " ")
-            for p, _, kind in pieces
+            "" if kind == _CONTROL else " ⁇ " if kind == _UNKNOWN else plain[i]
+            for i, (_, _, kind) in enumerate(pieces)
         ]
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        self.letter = "H" if len(pieces) <= 1 << 16 else "I"
         self.ids = Memo(self._word)
 
     def _rank(self, a: str, b: str) -> float | None:
@@ -99,8 +102,8 @@ class Transducer:
         return None if score is None else -score
 
     def path(self, word: str) -> list[str]:
-        """The shortest path through the composition with one word: its pieces, or characters
-        that are none."""
+        """The shortest path through the composition with one word, in which blanks stand for
+        word marks: its pieces, or characters that are none."""
         if self.acceptor:  # one path alone has a finite weight
             return self.acceptor.encode(word)
         weights, before = [0.0], [0]
@@ -122,7 +125,7 @@ class Transducer:
         return found[::-1]
 
     def _word(self, word: str) -> bytes:
-        ids = array("i")
+        ids = array(self.letter)
         for piece in self.path(word):
             i = self.arcs.get(piece)
             if i is not None:
@@ -133,17 +136,13 @@ class Transducer:
                 ids.append(self.unknown)
         return ids.tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """The ids of a text's pieces, as 32-bit numbers."""
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text's pieces."""
         if not text:
-            return b""
-        parts = text.split(" ")
-        if "" in parts or MARK in text or not self.first_mark:
-            marked = (MARK if self.first_mark else "") + text.replace(" ", MARK)
-            parts = _WORD.findall(marked)
-        else:
-            parts = [MARK + w for w in parts]
-        return b"".join(map(self.ids.room().__getitem__, parts))
+            return np.zeros(0, np.int32)
+        marked = (" " if self.first_mark else "") + text.replace(MARK, " ")
+        ids = b"".join(map(self.ids.room().__getitem__, _WORD.findall(marked)))
+        return np.frombuffer(ids, self.letter).astype(np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """The text of pieces: bytes joined to characters, word marks to blanks, the first one
@@ -218,10 +217,10 @@ def encode_pieces(
             for piece in words.pieces(batch, text):
                 texts = [t or "" for t in piece[text].to_pylist()]
                 ids = [own.encode(t) for t in texts]
-                counts = np.array([len(x) // 4 for x in ids], np.int64)
-                flat = np.frombuffer(b"".join(ids), np.int32)
+                counts = np.array([len(x) for x in ids], np.int64)
+                flat = np.concatenate(ids)
                 ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                back = [own.decode(np.frombuffer(x, np.int32).tolist()) for x in ids]
+                back = [own.decode(x.tolist()) for x in ids]
                 made = {
                     "n_pieces": pa.array(counts),
                     "piece_ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
