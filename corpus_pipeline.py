@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dispatchlens.llm.decontamination import find_benchmark_passages
-from dispatchlens.llm.frames import read, stored
+from dispatchlens.llm.frames import read, stored, tidy
 from dispatchlens.llm.near_duplicates import link_similar
 from dispatchlens.llm.queries import held_out
 from dispatchlens.llm.sentence_pieces import encode_pieces
@@ -18,31 +18,50 @@ from dispatchlens.llm.toxicity import learn, score
 TOXIC = 0.3
 
 
+def _carried(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with all columns but id and text in one, out of the operators' way, and the names
+    of all; of names that differ in case only, the first counts."""
+    docs = tidy(docs, ["doc_id", "text"])
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    carried = [F.struct(*others).alias("carried")] if others else []
+    return docs.select("doc_id", "text", *carried), docs.columns
+
+
+def _documents(found: DataFrame, names: list[str], **new: Column) -> DataFrame:
+    """``found`` with the columns ``names``, those in ``new`` by their new values."""
+    own = {c: F.col(c) if c in ("doc_id", "text") else F.col(f"carried.`{c}`") for c in names}
+    return found.select(*(new.get(c, column).alias(c) for c, column in own.items()))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that don't score as toxic; the scores are learned from labelled ones."""
+    docs, names = _carried(docs)
     model = learn(docs, read(spark, sf_dir, "labels"), ~held_out())
-    return score(docs, model).where(F.col("score") < TOXIC).select(*docs.columns)
+    return _documents(score(docs, model).where(F.col("score") < TOXIC), names)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of lowest id of each class of similar documents; one, if rows are equal."""
+    docs, names = _carried(docs)
     order = F.col("doc_id").asc_nulls_last(), F.xxhash64("text")
-    first = F.row_number().over(Window.partitionBy("class_key").orderBy(*order))
-    return link_similar(docs).withColumn("_class_place", first).where("_class_place = 1").select(*docs.columns)
+    place = F.row_number().over(Window.partitionBy("class_key").orderBy(*order))
+    return _documents(link_similar(docs).withColumn("place", place).where("place = 1"), names)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their texts without repeated passages; one that was nothing else is empty."""
-    made = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
-    return remove_repeats(docs).select(
-        *(made[c].alias(c) if c in made else F.col(c) for c in docs.columns)
+    docs, names = _carried(docs)
+    text = F.col("kept_text")
+    return _documents(
+        remove_repeats(docs), names, text=text, n_chars=F.char_length(text).cast("long")
     )
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    docs, names = _carried(docs)
     found = find_benchmark_passages(docs, read(spark, sf_dir, "benchmark"))
-    return found.where(F.col("n_hit") == 0).select(*docs.columns)
+    return _documents(found.where(F.col("n_hit") == 0), names)
 
 
 def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,8 +9,9 @@ from dispatchlens.llm.frames import stored
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(``node``, ``label``) for all ends of ``edges`` (columns ``a`` and ``b``): the label is the lowest
-    node of the component.
+    """(``node``, ``label``) for all ends of ``edges`` (columns ``a`` and ``b``).
+
+    The label is the lowest node of the component.
 
     Each round takes the lowest label among a node's neighbours and then the label of that label,
     so that labels travel twice as far every round; a round is written out before the next.
@@ -29,7 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
         )
         jump = labels.select(F.col("node").alias("low"), F.col("label").alias("lower"))
         new = lowest.join(jump, "low").join(labels, "node")
-        new = new.select("node", F.least("low", "lower").alias("label"), F.col("label").alias("old"))
+        label = F.least("low", "lower").alias("label")
+        new = new.select("node", label, F.col("label").alias("old"))
         new = stored(new, "labels")
         labels = new.select("node", "label")
         if new.where("label != old").isEmpty():

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dispatchlens.session import new_run_folder
+
+
 def read(spark: SparkSession, tables: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{tables}/{name}.parquet")
 
@@ -39,17 +41,9 @@ def tidy(df: DataFrame, need: Iterable[str], made: Iterable[str] = ()) -> DataFr
     )
 
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder below the one that the cluster shares; the caller's session must name it."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again: a cut of lineage that survives losses."""
-    path = shared_folder(df.sparkSession, label)
+    path = new_run_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -47,18 +47,21 @@ ROLES = set(
 #: words in ids and classes that tell what an element is for
 _NAMES = re.compile(
     r"""(?x)^(?:
-    ad s? | advert\w* | adsense | adslot | sponsor\w* | promo\w* | banner s? | teaser s?
-    | menu\w* | nav | navi | navbar | navigation | topbar | toolbar | breadcrumb s? | crumb s?
-    | sidebar\w* | aside | widget s? | rail | footer | foot | header | masthead | topnav | subnav
-    | cookie\w* | consent | gdpr | notice s? | notification s? | alert s? | popup | modal | overlay
+    ads? | advert\w* | adsense | adsby\w* | adslot | adbox | adunit | sponsor\w* | promo\w*
+    | banners?
+    | menu\w* | nav | navi | navbar | navigation | topbar | toolbar | breadcrumbs? | crumbs?
+    | sidebar\w* | side | aside | widgets? | rail | footer | foot | header | masthead | topnav | subnav
+    | cookie\w* | consent | gdpr | notices? | notifications? | alerts? | popup | modal | overlay
     | newsletter | subscri\w+ | signup | login | signin | paywall | disclaimer
-    | comment\w* | disqus | discussion | respond | repl(?:y|ies) | feedback | reactions?
+    | comments? | comment(?:s|list|box|form|area|thread|section) | disqus | discussion | respond | repl(?:y|ies) | feedback | reactions?
     | share | sharing | social | related | recommend\w* | pagination | pager | copyright | legal
     | form | search\w* | skip | byline | meta | tags?
     )$"""
 )
 #: before such a word they say that something else has or lacks one
 _NOT_ITSELF = {"has", "with", "no", "without", "is", "not", "hide", "show", "js", "non"}
+#: before "header" they say that it is the article's own
+_ARTICLE = {"article", "post", "entry", "story", "content", "news", "blog", "text"}
 _TOKEN = re.compile(
     r"""(?xs)
     <!--(?:>|->|.*?(?:--!?>|\Z))
@@ -112,11 +115,14 @@ class Block:
     text: str = ""
 
 
+def _in_article(up: Element) -> bool:
+    return any(e.tag in ("article", "main") for e in up.line())
+
+
 def _purpose(tag: str, rest: str, up: Element) -> str:
     """Why an element is no part of an article, or nothing."""
     if tag in OUTSIDE:
-        inside = any(e.tag in ("article", "main") for e in up.line())
-        return "head" if tag == "header" and inside else "tag"
+        return "head" if tag == "header" and _in_article(up) else "tag"
     if not rest or tag in ("html", "body", "main"):
         return ""
     for name, *values in _ATTRIBUTE.findall(rest):
@@ -129,6 +135,8 @@ def _purpose(tag: str, rest: str, up: Element) -> str:
                 bits = [b for b in re.split("[-_:]+", bits) if b]
                 if not bits or bits[0] in _NOT_ITSELF:
                     continue
+                if bits[-1] == "header" and (bits[0] in _ARTICLE or _in_article(up)):
+                    return "head"
                 if _NAMES.match(bits[0]) or _NAMES.match(bits[-1]):
                     return "name"
     return ""
@@ -281,14 +289,17 @@ def main_blocks(page: str | None) -> list[str]:
         deeper = [e for e in named if e.tag == "article" and 10 * e.text >= 9 * holder.text]
         holder = max(deeper, key=lambda e: e.path.count("/")) if deeper else holder
     else:
-        whole = [e for e in elements.values() if 10 * e.text >= 9 * total and e.tag in BLOCKS | {""}]
-        whole = [e for e in whole if e.tag not in HEADINGS | {"p", "li", "td", "pre"}]
+        tags = (BLOCKS | {""}) - HEADINGS - {"p", "li", "td", "pre"}
+        whole = [e for e in elements.values() if 10 * e.text >= 9 * total and e.tag in tags]
         holder = max(whole, key=lambda e: (e.path.count("/"), -e.place)) if whole else None
+    loose = holder is None or holder.tag not in ("article", "main")
+    lists = ("li", "div", "ul", "section", "td", "")
     out = []
     for b in usable:
         if holder is not None and holder not in b.inside.line():
             continue
-        if b.linked * 2 >= len(b.text) and b.inside.tag in ("li", "div", "ul", "section", "td", ""):
+        # without an element that is the article, lists of links are menus
+        if loose and b.linked * 2 >= len(b.text) and b.inside.tag in lists:
             continue
         out.append(b.text)
     return out

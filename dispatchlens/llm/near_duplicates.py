@@ -11,13 +11,13 @@ the whole shingle sets.  Links are counted per node, and no list of pairs is eve
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from collections.abc import Iterator
-
 from dispatchlens.llm import words
 from dispatchlens.llm.components import components
 from dispatchlens.llm.frames import stored, tidy
@@ -81,9 +81,10 @@ def _roots(count: int, pairs: np.ndarray) -> np.ndarray:
     return root
 
 
-def _tiles(df: DataFrame, group: list[str], member: str, size: Column, most: int) -> DataFrame:
-    """Rows dealt to tiles (``low``, ``high``) of their group: the group is cut into parts of about
-    ``most`` rows by a hash of ``member``, and a tile has the rows of two parts, or of one."""
+def _tiles(df: DataFrame, member: str, size: Column, most: int) -> DataFrame:
+    """Rows dealt to tiles (``low``, ``high``) of their group of ``size`` rows: the group is cut into
+    parts of about ``most`` rows by a hash of ``member``, and a tile has the rows of two parts, or
+    of one."""
     parts = F.ceil(size / most).cast("int")
     part = F.pmod(F.xxhash64(member, F.lit("part")), parts).cast("int")
     df = df.withColumn("parts", parts).withColumn("part", part)
@@ -195,7 +196,7 @@ def link_similar(
             )
 
     met = met.join(marked.mapInArrow(thin, "node binary, thin binary"), "node")
-    met = _tiles(met, ["run"], "node", F.col("size"), tile_rows)
+    met = _tiles(met, "node", F.col("size"), tile_rows)
 
     def meet(rows: pa.Table) -> pa.Table:
         # by node, so that a group has the same root in most of its runs
@@ -226,7 +227,8 @@ def link_similar(
         node.alias("node"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("key"),
         body.alias("body"),
     )
-    whole = _tiles(bodies.join(members, ["node", "key"]), ["label"], "node", F.col("size"), tile_rows)
+    whole = bodies.join(members, ["node", "key"])
+    whole = _tiles(whole, "node", F.col("size"), tile_rows)
     whole = whole.select("label", "low", "high", "part", "node", "copies", "body")
 
     def verify(rows: pa.Table) -> pa.Table:
@@ -250,7 +252,8 @@ def link_similar(
             common = np.zeros((len(a), len(b)), np.float32)
             row_a, row_b = np.full(len(rows), -1), np.full(len(rows), -1)
             row_a[a], row_b[b] = np.arange(len(a)), np.arange(len(b))
-            edges = np.searchsorted(column, np.arange(0, (column[-1] + 1 if len(column) else 0), 4096))
+            count = column[-1] + 1 if len(column) else 0
+            edges = np.searchsorted(column, np.arange(0, count, 4096))
             for start, end in zip(edges, [*edges[1:], len(column)]):
                 own, at = texts[start:end], column[start:end] - column[start]
                 width = int(at[-1]) + 1

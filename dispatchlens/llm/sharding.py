@@ -40,9 +40,11 @@ def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
     while left > 0 and (down > low or up < high):
         next_down = next_up = -1.0
         if down > low:
-            next_down = p_down * down * (bad - draws + down) / ((good - down + 1) * (draws - down + 1))
+            next_down = p_down * down * (bad - draws + down)
+            next_down /= (good - down + 1) * (draws - down + 1)
         if up < high:
-            next_up = p_up * (good - up) * (draws - up) / ((up + 1) * (bad - draws + up + 1))
+            next_up = p_up * (good - up) * (draws - up)
+            next_up /= (up + 1) * (bad - draws + up + 1)
         if next_down >= next_up:
             down, p_down, left = down - 1, next_down, left - next_down
             last = down
@@ -86,7 +88,7 @@ def shuffle_into_shards(
     if shards < 1 or most_parts < shards:
         raise ValueError("there must be a shard, and room for a cell per shard")
     df = tidy(df, [], MADE)
-    columns = df.columns
+    columns = [F.col(f"`{c}`") for c in df.columns]
     rows = stored(df.withColumn("row_mark", F.monotonically_increasing_id()), "shards")
     total = rows.count()
     parts = max(1, min(most_parts, -(-total // task_rows)))

@@ -269,12 +269,14 @@ def learn(
 ) -> Model:
     """The model of at most ``sample`` labelled documents, chosen by a hash of the id.
 
-    ``usable``: condition on the id of documents that may be learned from.  Of equal and near copies one counts.
-    Documents without text or label teach nothing; without a label of each kind every text gets
-    the same low score.  ``prior``: weight of the prior against the texts; ``least``: lowest weight
-    that is kept; ``certain``: weight from which a word is known well; ``most_tokens``: how many words, and how many beginnings, are kept at most.
-    The two halves of the sample get weights from each other to fit the curve, so that it is not
-    fitted to words that the weights were learned from.
+    ``usable``: condition on the id of documents that may be learned from.  Of equal and near copies
+    one counts.  Documents without text or label teach nothing; without a label of each kind
+    every text gets the same low score.  The two halves of the sample get weights from each other
+    to fit the curve, so that it is not fitted to words that the weights were learned from.
+
+    ``prior``: weight of the prior against the texts.  ``least``: lowest weight that is kept.
+    ``certain``: weight from which a word is known well.  ``most_tokens``: how many words, and how
+    many beginnings of words, are kept at most.
     """
     marked = tidy(labels, [doc_id, toxic]).select(
         F.col(doc_id).alias("id"), F.col(toxic).cast("int").alias("toxic")

@@ -48,6 +48,16 @@ def test_references_white_space_and_broken_markup():
     assert main_blocks("<p>a, b <b>c<p>d") == ["a, b c", "d"]
 
 
+def test_names_of_layout_and_links_inside_articles():
+    body = "<p>One, two, three words here.</p><ul><li><a href=x>a link</a></li></ul><p>Four, five. Six.</p>"
+    for page in (
+        f"<div class='layout-sidebar'><main>{body}</main></div>",
+        f"<body class='no-comments'><article class='commentary'>{body}</article>",
+        f"<article><div class='post-header'><h1></h1><p>By me, today.</p></div>{body}</article>",
+    ):
+        assert main_blocks(page) == ["One, two, three words here.", "a link", "Four, five. Six."]
+
+
 def test_odd_rows(spark):
     long = "<article>" + "<p>Some words, here.</p>" * 20_000 + "</article>"
     rows = [(1, None), (2, ""), (2, ""), (None, "<p>Text, here."), (3, long), (4, "<div " * 3000)]

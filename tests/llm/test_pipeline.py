@@ -68,6 +68,11 @@ def test_rows_that_are_odd(spark):
     assert sorted((r.doc_id, (r.text or "")[:3]) for r in one.collect()) == [(1, ""), (2, "a b"), (5, "x x")]
     cut = pipeline.substring_dedup(spark, one, "").collect()
     assert {r.doc_id: r.text for r in cut} == {1: "", 2: "a b", 5: ""}
+    more = docs.withColumn("Text", F.col("text")).withColumn("a.b", F.lit(1))
+    more = more.select("doc_id", F.col("Text").alias("text"), "`a.b`", F.lit(2).alias("repeats"))
+    assert pipeline.substring_dedup(spark, more, "").columns == ["doc_id", "text", "a.b", "repeats"]
+    assert {r.repeats for r in pipeline.substring_dedup(spark, more, "").collect()} == {2}
+    assert pipeline.jaccard_join(spark, more, "").columns == ["doc_id", "text", "a.b", "repeats"]
     empty = docs.limit(0)
     for stage in (pipeline.jaccard_join, pipeline.substring_dedup, pipeline.sentence_pieces):
         assert stage(spark, empty, "").count() == 0
