@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dispatchlens.llm import packets, words
+from dispatchlens.llm import packets, words, worker
 from dispatchlens.llm.frames import text_bytes, tidy
 
 MADE = ("n_words", "n_hit", "hits", "items")
@@ -169,6 +169,7 @@ def find_benchmark_passages(
         def scan(
             batches: Iterator[pa.RecordBatch], shared=shared, earlier=i > 0
         ) -> Iterator[pa.RecordBatch]:
+            worker.give_back()
             for batch in batches:
                 for piece in words.pieces(batch, text):
                     yield _scan(piece, text, shared.value, earlier)

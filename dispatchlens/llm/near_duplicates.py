@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dispatchlens.llm import words
+from dispatchlens.llm import words, worker
 from dispatchlens.llm.components import components
 from dispatchlens.llm.frames import stored, tidy
 
@@ -142,6 +142,7 @@ def link_similar(
     node = F.unhex(F.md5(body))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.give_back()
         for batch in batches:
             for piece in words.pieces(batch, "body"):
                 has, found = signatures(words.split(piece["body"]), n, size)

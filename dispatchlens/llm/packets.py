@@ -17,7 +17,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from dispatchlens.llm import words
+from dispatchlens.llm import words, worker
 
 U64 = np.uint64
 PACKET = "bucket int, block long, kind int, keys binary, checks binary, counts binary"
@@ -41,6 +41,7 @@ def pack(df: DataFrame, text: str, size: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.give_back()
         number = TaskContext.get().partitionId() << 32
         options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
         for batch in batches:
@@ -59,6 +60,7 @@ def pack(df: DataFrame, text: str, size: int) -> DataFrame:
 
 def unpack(block: pa.Table) -> tuple[int, pa.Table]:
     """Number and rows of a block."""
+    worker.give_back()
     with pa.ipc.open_stream(block["rows"][0].as_buffer()) as rows:
         return block["block"][0].as_py(), rows.read_all()
 
@@ -149,6 +151,7 @@ def answer_others(packets: pa.Table, limit: int | None = None) -> pa.Table:
 
     ``limit``: larger counts are told as this, where the asker only compares.
     """
+    worker.give_back()
     rows = []
     kinds = packets["kind"].to_numpy()
     for kind in np.unique(kinds):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from dispatchlens.llm import words
+from dispatchlens.llm import words, worker
 from dispatchlens.llm.frames import tidy
 from dispatchlens.llm.merges import Memo, Merges
 
@@ -177,16 +177,9 @@ def compile_model(data: bytes) -> Transducer:
     return Transducer(pieces, pairs, bool(rules.get(3, 1)), fallback)
 
 
-_compiled: dict[int, Transducer] = {}
-
-
 def transducer(data: bytes) -> Transducer:
     """The transducer of a file's bytes, kept by each Python worker."""
-    key = hash(data)
-    if key not in _compiled:
-        _compiled.clear()
-        _compiled[key] = compile_model(data)
-    return _compiled[key]
+    return worker.table(("pieces", hash(data)), lambda: compile_model(data))
 
 
 def encode_pieces(

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dispatchlens.llm import words
+from dispatchlens.llm import words, worker
 from dispatchlens.llm.frames import stored, tidy
 
 MADE = ("score", "segments")
@@ -191,6 +191,7 @@ def _token_counts(sample: DataFrame, explained: list[set[str]] | None = None) ->
     shared = sample.sparkSession.sparkContext.broadcast(explained)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.give_back()
         done = shared.value
         for batch in batches:
             counts = [Counter() for _ in range(4)]
@@ -344,6 +345,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.give_back()
         plain, numbers = shared.value
         own = Model(Weights(*plain), *numbers)
         for batch in batches:
