@@ -67,4 +67,6 @@ def streaming_session(spark: SparkSession, rocksdb: bool = True) -> SparkSession
         session.conf.set(f"{store}.providerClass", ROCKSDB)
         # a commit uploads the changes of the batch, not whole state files
         session.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
+        # a join keeps its state in one store per partition instead of four
+        session.conf.set("spark.sql.streaming.join.stateFormatVersion", "3")
     return session
