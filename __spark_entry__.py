@@ -69,7 +69,7 @@ def _on_feeds(build: Callable[[Feeds], DataFrame]) -> Query:
 def _on_stream(build: Callable[[Replay], DataFrame]) -> Query:
     def run(spark: SparkSession, tables: str) -> DataFrame:
         session = prepare(spark)
-        return build(Replay(session, fixture.feeds(session, tables)))
+        return build(Replay(session, fixture.feeds(session, tables), files=4))
 
     return run
 
