@@ -6,11 +6,17 @@ ratios are smoothed over the page and multiplied; paths whose fused score reache
 are content.  The element that holds the content is then taken as a whole, without the parts that
 their tags, roles, ids or classes name as menus, headers, footers, sidebars, notices, adverts, forms
 or reader comments.
+
+Names are weaker evidence than text.  Words that often name a topic count only if they are all that
+a class says, an article's own classes count only if they name readers' or other pages' texts, and an
+element that a name excludes comes back if it holds most of the page's score.
 """
 
 from __future__ import annotations
 
+import functools
 import html
+import itertools
 import re
 import string
 from collections.abc import Iterator
@@ -58,6 +64,51 @@ _NAMES = re.compile(
     | form | search\w* | skip | byline | meta | tags?
     )$"""
 )
+#: those of them that are as often a topic or a state: they must be the whole name, but for parts
+#: of a page
+_TOPICS = re.compile(
+    r"""(?x)^(?:
+    side | aside | rail | foot | notices? | alerts? | consent | overlay | legal | copyright | disclaimer
+    | discussion | respond | repl(?:y|ies) | feedback | reactions? | share | sharing | social | related
+    | promo\w* | recommend\w* | form | search\w* | skip | byline | meta | tags? | ads?
+    )$"""
+)
+_PARTS = re.compile(
+    r"""(?x)^(?:
+    post | entry | article | story | content | page | pages | site | blog | news | main | the | my
+    | lists? | links? | items? | box | bar | block | wrap | wrapper | container | section | area | group
+    | panel | row | col | column | inner | outer | top | bottom | left | right | body | cloud | text | info
+    | data | media | network | networks | buttons? | btns? | icons? | label | title | heading | field
+    | input | results? | posts | articles | stories | reading | topics | to | by | of | and | us | on | this
+    | \d+
+    )$"""
+)
+#: those that are as often said of a page's layout as of an element
+_LAYOUT = re.compile(
+    r"""(?x)^(?:
+    sidebar\w* | widgets? | menu\w* | nav | navi | navbar | navigation | topbar | toolbar | topnav | subnav
+    | banners? | footer | header | masthead | breadcrumbs? | crumbs? | paywall | subscri\w+
+    )$"""
+)
+#: texts of readers, of other pages and of advertisers
+_OTHERS = re.compile(
+    r"""(?x)^(?:
+    comment\w* | disqus | respond | repl(?:y|ies) | related | recommend\w* | promo\w* | sponsor\w*
+    | advert\w* | ads? | widgets?
+    )$"""
+)
+#: before such a word they say what an element is about
+_ABOUT = set("tag tags category cat format type status topic genre author".split())
+#: words for an element that is a post
+_POST = set("post hentry h-entry entry article story type-post type-page status-publish".split())
+#: after "comments" they say whether a page takes them
+_STATES = {"open", "opened", "closed", "enabled", "disabled", "on", "off", "allowed"}
+#: what a name says: the word tells of a layout, of a part of the page, of texts by others
+_PART, _WHOLE, _FOREIGN = 1, 2, 3
+#: shares of the score that an element must have so that its name does not count
+_MOST, _ALL = 0.5, 0.9
+#: characters outside it that are an article of their own
+_SOME_TEXT = 250
 #: before such a word they say that something else has or lacks one
 _NOT_ITSELF = {"has", "with", "no", "without", "is", "not", "hide", "show", "js", "non"}
 #: before "header" they say that it is the article's own
@@ -95,7 +146,9 @@ class Element:
     path: str
     place: int  # number of the element in page order
     up: "Element | None"
-    why: str = ""  # "tag" or "name" if the element is no part of an article
+    why: str = ""  # "tag" or "head" if the element is no part of an article
+    named: int = 0  # _PART, _WHOLE or _FOREIGN if a name says so
+    marked: tuple["Element", ...] = ()  # the elements so named that it is in, itself included
     heading: bool = False
     link: bool = False
     text: int = 0  # characters of content in it
@@ -119,27 +172,50 @@ def _in_article(up: Element) -> bool:
     return any(e.tag in ("article", "main") for e in up.line())
 
 
-def _purpose(tag: str, rest: str, up: Element) -> str:
-    """Why an element is no part of an article, or nothing."""
+@functools.lru_cache(1 << 14)
+def _named(bits: tuple[str, ...], post: bool, article: bool) -> int:
+    """What the parts of a word say that is no article, or 0."""
+    names = [b for b in (bits[0], bits[-1]) if _NAMES.match(b)]
+    if not names or (len(bits) > 1 and bits[-1] in _STATES):
+        return 0
+    if bits[0] in _ABOUT and len(bits) > 1:
+        rest = bits[1:]
+        if post or not (_LAYOUT.match(rest[-1]) or all(_PARTS.match(b) for b in rest)):
+            return 0
+    plain = all(_NAMES.match(b) or _PARTS.match(b) for b in bits)
+    foreign = any(_OTHERS.match(b) for b in names)
+    if article:
+        return _FOREIGN if plain and foreign else 0
+    if not plain and all(_TOPICS.match(b) for b in names):
+        return 0
+    if foreign:
+        return _FOREIGN
+    return _PART if not plain and any(_LAYOUT.match(b) for b in names) else _WHOLE
+
+
+def _purpose(tag: str, rest: str, up: Element) -> tuple[str, int]:
+    """Why an element is no part of an article by its tag or role, and what its names say."""
     if tag in OUTSIDE:
-        return "head" if tag == "header" and _in_article(up) else "tag"
+        return "head" if tag == "header" and _in_article(up) else "tag", 0
     if not rest or tag in ("html", "body", "main"):
-        return ""
+        return "", 0
+    named, article = 0, tag == "article"
     for name, *values in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), html.unescape("".join(values))
         if name == "role" and value.strip().lower() in ROLES:
-            return "tag"
+            return "tag", 0
         if name in ("class", "id"):
+            post = article or not _POST.isdisjoint(value.lower().split())
             for word in value.split():
                 bits = re.sub("([a-z0-9])([A-Z])", r"\1-\2", word).lower()
                 bits = [b for b in re.split("[-_:]+", bits) if b]
                 if not bits or bits[0] in _NOT_ITSELF:
                     continue
-                if bits[-1] == "header" and (bits[0] in _ARTICLE or _in_article(up)):
-                    return "head"
-                if _NAMES.match(bits[0]) or _NAMES.match(bits[-1]):
-                    return "name"
-    return ""
+                if not named and not article and bits[-1] == "header":
+                    if bits[0] in _ARTICLE or _in_article(up):
+                        return "head", 0
+                named = max(named, _named(tuple(bits), post, article))
+    return "", named
 
 
 def blocks(page: str) -> list[Block]:
@@ -228,9 +304,14 @@ def blocks(page: str) -> list[Block]:
         count += 1
         path = f"{up.path}/{tag}" if tag in BLOCKS else up.path
         own = Element(tag, path, count, up)
-        own.why = up.why if up.why in ("tag", "name") else _purpose(tag, rest, up) or up.why
-        if tag == "main" and up.why == "name":  # the name spoke of the layout around it
-            own.why = ""
+        own.why, own.marked = up.why, up.marked
+        if up.why != "tag":
+            why, own.named = _purpose(tag, rest, up)
+            own.why = why or up.why
+        if tag == "main":  # the names spoke of the layout around it
+            own.marked = ()
+        elif own.named:
+            own.marked = (*up.marked, own)
         own.heading = up.heading or tag in HEADINGS
         own.link = tag == "a"
         if not rest.endswith("/") or tag in BLOCKS:
@@ -265,10 +346,52 @@ def path_scores(found: list[Block]) -> np.ndarray:
     return fused
 
 
+def _wrongly_named(found: list[Block]) -> set[int]:
+    """The places of elements that hold most of the score, so that their names don't count.
+
+    Half of the score is enough for an element whose name may be its layout's, or that is around an
+    article, if no article is left outside.  Others need nearly all, and little text outside; texts by
+    others come back only where there is no other text.  Outer elements come first; names in them
+    count on their own.
+    """
+    if not any(b.inside.marked for b in found):
+        return set()
+    scores = path_scores(found)
+    values = [s if b.linked * 2 < len(b.text) else 0.0 for b, s in zip(found, scores)]
+    cleared: set[int] = set()
+    while True:
+        free, text, article = 0.0, 0, False
+        held: dict[int, list] = {}
+        for b, value in zip(found, values):
+            outer = next((e for e in b.inside.marked if e.place not in cleared), None)
+            if outer is None:
+                free, text = free + value, text + (len(b.text) - b.linked if value else 0)
+                article = article or (value > 0 and _in_article(b.inside))
+                continue
+            own = held.setdefault(outer.place, [outer, 0.0, 0.0])
+            own[1] += value
+            inner = itertools.takewhile(lambda e: e is not outer, b.inside.line())
+            if any(e.tag == "article" and not e.named for e in inner):
+                own[2] += value
+        for e, own, inside in sorted(held.values(), key=lambda x: (x[0].named, -x[1], x[0].place)):
+            around = e.named == _WHOLE and 2 * inside > own
+            if (e.named == _PART or around) and not article:
+                most = own > _MOST * (free + own)
+            else:
+                most = own > _ALL * (free + own) and text < (_SOME_TEXT if e.named == _WHOLE else 1)
+            if most:
+                cleared.add(e.place)
+                break
+        else:
+            return cleared
+
+
 def main_blocks(page: str | None) -> list[str]:
     """The texts of the blocks of a page's article, in page order."""
     found = blocks(page or "")
-    usable = [b for b in found if not b.inside.why or (b.inside.why == "head" and b.inside.heading)]
+    found = [b for b in found if not b.inside.why or (b.inside.why == "head" and b.inside.heading)]
+    cleared = _wrongly_named(found)
+    usable = [b for b in found if all(e.place in cleared for e in b.inside.marked)]
     if not usable:
         return []
     scores = path_scores(usable)

@@ -58,6 +58,43 @@ def test_names_of_layout_and_links_inside_articles():
         assert main_blocks(page) == ["One, two, three words here.", "a link", "Four, five. Six."]
 
 
+BODY = f"<p>{ARTICLE[0]}</p>\n<p>{ARTICLE[1]}</p>"
+THREAD = "<div class='comments-area'>" + "<p>I disagree, sir, really. And here is why, at length.</p>" * 40 + "</div>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article id='post-7' class='post-7 post type-post status-publish tag-politics hentry'>%s</article>",
+        "<article class='post format-aside category-legal tag-social tag-ads'>%s</article>",
+        "<article class='post social'>%s</article>",
+        "<article class='post tag-news comments-open'>%s</article>",
+        "<div class='post-7 post type-post hentry category-legal tag-search tag-news'>%s</div>",
+        "<div class='layout-sidebar'><article class='post tag-meta'>%s</article></div>",
+        "<div class='layout-sidebar'><div class=story>%s</div><div class=sidebar><p>Side, text.</div></div>",
+        "<div class='right-sidebar'><article>%s</article></div><div>Our site, our rules.</div>",
+        "<div class='paywall'>%s</div>",
+    ],
+)
+def test_names_do_not_lose_the_article(page):
+    foot = "<div class=bottom>© us.</div>" if "%s</article>" in page else ""
+    for rest in ("", THREAD, "<div class='social-links'><p>Follow, us.</p></div>"):
+        assert main_blocks(f"<body><nav><a>x</a></nav>{page % BODY}{rest}{foot}</body>") == list(ARTICLE)
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<div class='entry-meta'>By me, today.</div>", "<ul class='tag-list'><li>Politics, law</ul>",
+        "<div class=related-posts><p>Other, posts.</p></div>", "<p class=tags>Law, order.</p>",
+        "<article class='comment-body'><p>I, too.</p></article>", THREAD,
+    ],
+)
+def test_names_of_parts_still_count(part):
+    for holder in ("<article class='post tag-law'>%s</article>", "<div class=story>%s</div>"):
+        assert main_blocks(holder % (BODY + part)) == list(ARTICLE)
+
+
 def test_odd_rows(spark):
     long = "<article>" + "<p>Some words, here.</p>" * 20_000 + "</article>"
     rows = [(1, None), (2, ""), (2, ""), (None, "<p>Text, here."), (3, long), (4, "<div " * 3000)]
