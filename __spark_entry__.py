@@ -79,14 +79,13 @@ def _report(source: str, rollup: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _stored(name: str, columns: list[str]) -> Query:
-    """A feed kept by event date and read again between two dates."""
+    """A feed kept by event date and read again."""
 
     def run(feeds: Feeds) -> DataFrame:
         base = new_run_folder(feeds.spark, "feeds")
         jobs.store_feeds({name: getattr(feeds, name)()}, base)
         schema = schemas.ORDER_FEED if name == "orders" else schemas.COURIER_FEED
-        dates = "2024-01-01", "2099-12-31"
-        return files.read_feed(feeds.spark, f"{base}/{name}", schema, False, *dates).select(*columns)
+        return files.read_feed(feeds.spark, f"{base}/{name}", schema).select(*columns)
 
     return _on_feeds(run)
 
@@ -108,7 +107,7 @@ def _results_roundtrip(feeds: Feeds) -> DataFrame:
     files.write_results(feeds.analytic(name), base, name)
     # a second run replaces the first one
     files.write_results(feeds.analytic(name), base, name)
-    return files.read_results(feeds.spark, base, name, "2024-01-01", "2099-12-31")
+    return files.read_results(feeds.spark, base, name)
 
 
 def _enum_violations(feeds: Feeds) -> DataFrame:

@@ -3,8 +3,8 @@
 A feed is cut at quantiles of its event time into slices, and each slice is written as the next files
 of a folder that the stream reads batch by batch.  A finite stream never closes its last windows,
 because nothing moves the watermark past them; the last file therefore holds flush rows: events
-far in the future that pass the filters of every analytic.  Their own windows stay open, so they
-never show in a windowed result.
+long after the last one of all feeds that pass the filters of every analytic.  Their own windows stay
+open, so they never show in a windowed result.
 """
 
 from __future__ import annotations
@@ -21,28 +21,29 @@ from ..session import new_run_folder, streaming_session
 from .runner import finish_all, parquet_sink
 
 FLUSH_ID = "__flush__"
-_FLUSH_TIME = "timestamp'2200-01-01 00:00:00'"
+#: from the last time in the feeds to the flush rows, in microseconds: more than any state waits
+_FLUSH_AFTER = 366 * 86_400 * 1_000_000
 _FEEDS = {
     "orders": (ORDER_FEED, "order_status", ("PLACED", "READY_FOR_PICKUP", "DELIVERED")),
     "couriers": (COURIER_FEED, "courier_status", ("ONLINE_IDLE",)),
 }
 _FLUSH_DEFAULTS = {
     T.StringType: f"'{FLUSH_ID}'",
-    T.TimestampType: _FLUSH_TIME,
     T.BooleanType: "false",
     T.IntegerType: "1000000",
     T.LongType: "1000000",
 }
 
 
-def _flush_rows(spark: SparkSession, name: str) -> DataFrame:
-    """One row per status in which every scalar column but the rating is set."""
+def _flush_rows(spark: SparkSession, name: str, micros: int) -> DataFrame:
+    """One row per status in which every scalar column but the rating is set, all times to ``micros``."""
     feed, status, values = _FEEDS[name]
+    defaults = _FLUSH_DEFAULTS | {T.TimestampType: f"timestamp_micros({micros})"}
     columns = [
         F.expr(
             f"explode(array({', '.join(repr(v) for v in values)}))"
             if f.name == status
-            else f"cast({_FLUSH_DEFAULTS.get(type(f.dataType), 'NULL')} AS {f.dataType.simpleString()})"
+            else f"cast({defaults.get(type(f.dataType), 'NULL')} AS {f.dataType.simpleString()})"
         ).alias(f.name)
         for f in feed
     ]
@@ -70,27 +71,41 @@ class Replay:
         self.session = streaming_session(spark, rocksdb)
         self.folder = new_run_folder(spark, "replay")
         self.progress: list = []
-        self._written: set[str] = set()
+        self._latest: dict[str, int] = {}  # last time in each feed that is written
+        self._flushed: set[str] = set()
 
     def _write(self, name: str) -> None:
-        """The feed's slices, one after the other, and the flush rows after them."""
+        """The feed's slices, one after the other."""
         schema, *_ = _FEEDS[name]
         feed, time = self.feeds[name], F.unix_micros(self.order_by)
         shares = F.array(*(F.lit(i / self.slices) for i in range(1, self.slices)))
-        bounds = feed.agg(F.percentile_approx(time, shares).alias("b")).first()["b"] or []
-        number = sum((F.when(time > b, 1).otherwise(0) for b in bounds), F.lit(0))
+        times = [F.unix_micros(f.name) for f in schema if isinstance(f.dataType, T.TimestampType)]
+        found = feed.agg(
+            F.percentile_approx(time, shares).alias("b"), F.max(F.greatest(*times)).alias("latest")
+        ).first()
+        self._latest[name] = found["latest"] or 0
+        number = sum((F.when(time > b, 1).otherwise(0) for b in found["b"] or []), F.lit(0))
         staged = f"{self.folder}/staged-{name}"
         feed.withColumn("slice", number).write.partitionBy("slice").parquet(staged)
         columns = schema.fieldNames()
         stored = self.spark.read.schema(as_nullable(schema).add("slice", T.IntegerType())).parquet(staged)
         parts = [stored.filter(F.col("slice") == i).select(*columns) for i in range(self.slices)]
-        for part in [*parts, _flush_rows(self.spark, name).select(*columns)]:
-            part.repartition(self.files).write.mode("append").parquet(f"{self.folder}/{name}")
+        for part in parts:
+            self._append(name, part)
+
+    def _append(self, name: str, rows: DataFrame) -> None:
+        rows.repartition(self.files).write.mode("append").parquet(f"{self.folder}/{name}")
+
+    def _flush(self) -> None:
+        """The flush rows of the feeds in use, at one time after the last of all."""
+        micros = max(self._latest.values(), default=0) + _FLUSH_AFTER
+        for name in self._latest.keys() - self._flushed:
+            self._append(name, _flush_rows(self.spark, name, micros).select(*_FEEDS[name][0].fieldNames()))
+            self._flushed.add(name)
 
     def _stream(self, name: str) -> DataFrame:
-        if name not in self._written:
+        if name not in self._latest:
             self._write(name)
-            self._written.add(name)
         reader = self.session.readStream.schema(as_nullable(_FEEDS[name][0]))
         return reader.option("maxFilesPerTrigger", self.files).parquet(f"{self.folder}/{name}")
 
@@ -102,6 +117,7 @@ class Replay:
 
     def run(self, results: DataFrame, name: str, partition_by=()) -> DataFrame:
         """Run a streaming result to its end and return what the sink holds."""
+        self._flush()
         output, checkpoints = f"{self.folder}/output", f"{self.folder}/checkpoints"
         query = parquet_sink(
             results, name, output, checkpoints, partition_by, available_now=True
