@@ -49,11 +49,12 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their texts without repeated passages; one that was nothing else is empty."""
+    """All documents, their texts without repeated passages and else as they were; one that was nothing
+    else is empty."""
     docs, names = _carried(docs)
     text = F.col("kept_text")
     return _documents(
-        remove_repeats(docs), names, text=text, n_chars=F.char_length(text).cast("long")
+        remove_repeats(docs, joined=False), names, text=text, n_chars=F.char_length(text).cast("long")
     )
 
 

@@ -57,6 +57,26 @@ def _extended(column, answered: pa.Table, n: int, k: int):
     return found, starts, keys, checks, place, counts
 
 
+def _without(text: bytes, starts: np.ndarray, ends: np.ndarray, gone: np.ndarray) -> bytes:
+    """``text`` without the words that are gone, and else as it is; ``starts`` and ``ends`` of its words.
+
+    Of the white space before and after a cut one stays: the one with more line feeds, or the longer
+    one.  At the start of a text it is the one before, at its end the one after.
+    """
+    if gone.all():
+        return b""
+    out, at, last = [], 0, len(gone)
+    for span in words.spans(gone):
+        a, b = span["start"], span["end"]
+        before = text[ends[a - 1] if a else 0 : starts[a]]
+        after = text[ends[b - 1] : starts[b] if b < last else len(text)]
+        size = lambda blank: (blank.count(b"\n"), len(blank))
+        first = a == 0 or (b < last and size(before) >= size(after))
+        out += [text[at : starts[a] - len(before)], before if first else after]
+        at = ends[b - 1] + len(after)
+    return b"".join([*out, text[at:]])
+
+
 def remove_repeats(
     docs: DataFrame,
     text: str = "text",
@@ -64,6 +84,7 @@ def remove_repeats(
     k: int = 12,
     block_bytes: int = 4 << 20,
     bucket_keys: int = 1 << 21,
+    joined: bool = True,
 ) -> DataFrame:
     """Cut every word that lies in a window of ``n`` words found at another place, too.
 
@@ -72,7 +93,8 @@ def remove_repeats(
 
     * ``n_words`` long, ``n_removed`` long
     * ``repeats`` array of (start, end): the maximal repeats, in words
-    * ``kept_text`` string: the words that stay, joined by one blank
+    * ``kept_text`` string: the words that stay, joined by one blank; unless ``joined``, the text as it
+      was but for the removed words and the white space between them
 
     A null or empty text has no words and an empty ``kept_text``.  Equal rows repeat each other.
     An empty table gives an empty result.  Input columns named like the added ones are replaced,
@@ -120,6 +142,14 @@ def remove_repeats(
         data = data.tobytes()
         for i in range(len(rows)):
             own = gone[found.bounds[i] : found.bounds[i + 1]]
+            if not joined:
+                own_text, at = data[offsets[i] : offsets[i + 1]], slice(*found.bounds[i : i + 2])
+                if own.any():
+                    places = found.starts[at] - offsets[i], found.ends[at] - offsets[i]
+                    own_text = _without(own_text, *places, own)
+                spans.append(words.spans(own))
+                kept.append(own_text.decode())
+                continue
             parts = data[offsets[i] : offsets[i + 1]].split()
             if own.any():
                 parts = [w for w, out in zip(parts, own.tolist()) if not out]

@@ -76,3 +76,30 @@ def test_rows_that_are_odd(spark):
     empty = docs.limit(0)
     for stage in (pipeline.jaccard_join, pipeline.substring_dedup, pipeline.sentence_pieces):
         assert stage(spark, empty, "").count() == 0
+
+
+def test_substring_dedup_keeps_the_layout_of_texts(spark, tables):
+    passage = "\t".join(f"p{i}" for i in range(40))
+    rows = [
+        (1, "def f(x):\n\treturn  x\r\n\n# end \n"), (2, f"One  é, two.\n\n{passage}  \nThree,\tfour.\n"),
+        (3, f"a  b {passage}\n\n  c"), (4, f"  {passage}\n\nText\n"), (5, f"Text \u00a0é\n\n{passage}\n"),
+        (6, f" {passage} \n"), (7, f"x {passage} y\n{passage}"), (8, ""), (9, " \n"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = dict(rows_of(pipeline.substring_dedup(spark, docs, "")))
+    assert cut == {
+        1: rows[0][1], 2: "One  é, two.\n\nThree,\tfour.\n", 3: "a  b\n\n  c", 4: "  Text\n",
+        5: "Text \u00a0é\n", 6: "", 7: "x y", 8: "", 9: " \n",
+    }
+
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    before = rows_of(docs)
+    found = pipeline.substring_dedup(spark, docs, "")
+    assert found.where(F.col("n_chars") != F.char_length("text")).count() == 0
+    after, unchanged = dict(rows_of(found)), 0
+    for (i, text), (_, removed, joined, *_) in zip(before, without_repeats(before, 35)):
+        assert b" ".join(after[i].encode().split()).decode() == joined
+        if not removed:
+            assert after[i] == (text or "")
+            unchanged += (text or "") != joined
+    assert unchanged > 0
