@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispatchlens.llm.decontamination import find_benchmark_passages
@@ -16,7 +16,10 @@ from dispatchlens.llm.lm_scoring import score_documents
 from dispatchlens.llm.near_duplicates import link_similar
 from dispatchlens.llm.sentence_pieces import encode_pieces
 from dispatchlens.llm.sharding import shuffle_into_shards
+from dispatchlens.llm.secret_scan import common_words, find_secrets
+from dispatchlens.llm.source_audit import divergences
 from dispatchlens.llm.substring_dedup import remove_repeats
+from dispatchlens.llm.token_alignment import align_tokens
 from dispatchlens.llm.token_counts import count_tokens
 from dispatchlens.llm.toxicity import learn, score
 
@@ -120,6 +123,44 @@ def document_fingerprints(spark: SparkSession, tables: str) -> DataFrame:
     return compare_edited(read(spark, tables, "documents").select("doc_id", "text"))
 
 
+def token_alignment(
+    spark: SparkSession,
+    tables: str,
+    vocabulary: str = public_tokenizers.path("byte_bpe_50k.json"),
+    model: str = public_tokenizers.path("piece_bpe_32k.model"),
+) -> DataFrame:
+    docs = read(spark, tables, "documents").select("doc_id", "text")
+    groups = F.col("groups")
+    return align_tokens(docs, vocabulary, model).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        F.when(groups == "", "").otherwise(F.sha2(groups, 256)).alias("groups_sha256"),
+    )
+
+
+def source_divergence(spark: SparkSession, tables: str) -> DataFrame:
+    return divergences(read(spark, tables, "documents").select("text", "lang", "source"))
+
+
+def _listed(spans: Column) -> Column:
+    """Spans as kind:start:end, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _of_kinds(spans: Column, *kinds: str) -> Column:
+    return F.filter(spans, lambda s: s["kind"].isin(*kinds))
+
+
+def secret_scan(spark: SparkSession, tables: str) -> DataFrame:
+    docs = read(spark, tables, "documents").select("doc_id", "text")
+    spans, base = F.col("spans"), ("assign", "access", "hex")
+    return find_secrets(docs, common_words(docs)).select(
+        "doc_id",
+        *(F.size(_of_kinds(spans, kind)).cast("long").alias(f"n_{kind}") for kind in base),
+        F.sha2(_listed(_of_kinds(spans, *base)), 256).alias("base_sha256"),
+        _listed(spans).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": sentencepiece,
     "op2_lm_scoring": lm_scoring,
@@ -131,6 +172,9 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": sharding,
     "op9_token_counts": token_counts,
     "op10_fingerprints": document_fingerprints,
+    "op11_token_alignment": token_alignment,
+    "op12_source_divergence": source_divergence,
+    "op13_secret_scan": secret_scan,
 }
 
 ORACLES: dict[str, str] = {
@@ -263,5 +307,45 @@ SELECT d.doc_id, class_id, copies AS n_copies,
   CAST(coalesce(n_similar, 0) AS BIGINT) AS n_similar_texts
 FROM d JOIN nodes USING (t) JOIN classes ON classes.x = nodes.id
 LEFT JOIN counted ON counted.x = nodes.id
+""",
+    "op12_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), w AS (
+  SELECT i, lang, source, unnest(ws) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*) AS c FROM w GROUP BY lang, term HAVING count(DISTINCT i) >= 30
+), langs AS (
+  SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang
+), counted AS (
+  SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT lang, source, coalesce(sum(c), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN counted USING (lang, source) GROUP BY ALL
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(x.c, 0) AS c,
+    1 + (1000000000::HUGEINT * (coalesce(x.c, 0) + 5)) // (g.n + 5 * l.v) AS p,
+    1 + (1000000000::HUGEINT * (k.c + 5)) // (l.n + 5 * l.v) AS q
+  FROM groups g JOIN langs l ON l.lang = g.lang JOIN kept k ON k.lang = g.lang
+  LEFT JOIN counted x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term
+), sums AS (
+  SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+  FROM shares x JOIN shares y ON y.lang = x.lang AND y.term = x.term AND y.source <> x.source
+  GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM shares WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM found)
+WHERE part = 'pair' OR rank <= 50
 """,
 }
