@@ -7,7 +7,8 @@ items grow with the tables.
 
 The feeds hold what the checks look for: a zone that is not listed, values outside their enums,
 steps that are too short or too long, a delivery after seven hours, couriers that vanish, totals
-off by a cent, orders without items or total, and events up to 300 seconds late.
+off by a cent, orders without items or total, statuses that come back, repeat or follow the end, and
+events up to 300 seconds late.
 """
 
 from __future__ import annotations
@@ -118,20 +119,28 @@ def derive_orders(orders: DataFrame) -> DataFrame:
         f"ELSE {_STATES}[i - 1] END AS previous",
         " + ".join(f"if(i >= {j}, {_delay(j)}, 0)" for j in range(1, 7)) + " AS el",
     )
-    # variant 1 is the rating copy, 2 the duplicate, 3 the duplicate of the copy
+    # variant 1 is the rating copy, 2 the duplicate, 3 the duplicate of the copy, 4 an event more: ACCEPTED
+    # again after PREPARING or after itself, or EN_ROUTE after DELIVERED
     variants = events.selectExpr(
         "*",
-        "explode(CASE"
+        "(k % 389 = 17 AND i = 2 AND status = 'PREPARING') OR (k % 397 = 23 AND i = 1 AND status = 'ACCEPTED')"
+        " OR (k % 409 = 31 AND status = 'DELIVERED') AS stray",
+    ).selectExpr(
+        "* EXCEPT (stray)",
+        "explode(concat(if(stray, array(4), array()), CASE"
         " WHEN status = 'DELIVERED' AND rt < 65 AND (k * 11 + i * 3) % 53 = 0"
         " THEN array(0, 1, 2, 3)"
         " WHEN status = 'DELIVERED' AND rt < 65 THEN array(0, 1)"
         " WHEN (k * 11 + i * 3) % 53 = 0 THEN array(0, 2)"
-        " ELSE array(0) END) AS v",
+        " ELSE array(0) END)) AS v",
     ).selectExpr(
-        "*",
+        "* EXCEPT (status, previous)",
+        "CASE WHEN v <> 4 THEN status WHEN i = 6 THEN 'EN_ROUTE' ELSE 'ACCEPTED' END AS status",
+        "if(v = 4, status, previous) AS previous",
         "v IN (1, 3) AS rated",
         "v IN (2, 3) AS dup",
-        f"{START_MS} + day * {DAY_MS} + (off_s + el) * 1000 AS ms",
+        f"{START_MS} + day * {DAY_MS} + (off_s + el + CASE WHEN v <> 4 THEN 0 WHEN i = 6 THEN 240 ELSE 4 END)"
+        " * 1000 AS ms",
         "(k * 7 + i) % 19 = 0 AS late",
     )
     return _as_feed(
@@ -139,7 +148,7 @@ def derive_orders(orders: DataFrame) -> DataFrame:
         ORDER_FEED,
         {
             "schema_version": f"'{SCHEMA_VERSION}'",
-            "event_id": "concat('oe_', k, '_', i, if(rated, '_r', ''))",
+            "event_id": "concat('oe_', k, '_', i, CASE WHEN rated THEN '_r' WHEN v = 4 THEN '_x' ELSE '' END)",
             "order_id": "concat('ord_', k)",
             "customer_id": "concat('cust_', c)",
             "restaurant_id": "concat('rest_', day * 50 + k * 31 % 50)",

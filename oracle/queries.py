@@ -341,14 +341,20 @@ QUALIFY row_number() OVER (PARTITION BY courier_id, session_id, event_timestamp,
 )
 _oracle(
     "q_lifecycle_gaps",
-    """SELECT order_id, zone_id, from_status, to_status,
-    cast(CASE WHEN skipping THEN stride - 1 ELSE 0 END AS int) AS skipped_steps,
-    CASE WHEN skipping THEN 'SKIPPED_STEP' ELSE 'ILLEGAL' END AS gap
-FROM (SELECT *, to_status NOT IN ('CANCELLED', 'FAILED') AND stride > 1 AS skipping
-    FROM transitions)
-WHERE NOT (to_status = 'CANCELLED' AND from_status IN ('PLACED', 'ACCEPTED', 'PREPARING',
-        'READY_FOR_PICKUP', 'PICKED_UP'))
-    AND NOT (to_status NOT IN ('CANCELLED', 'FAILED') AND stride = 1)""",
+    """SELECT order_id, zone_id, from_status, to_status, make_timestamp(ms * 1000) AS event_timestamp,
+    cast(CASE WHEN gap = 'SKIPPED_STEP' THEN stride - 1 ELSE 0 END AS int) AS skipped_steps, gap,
+    from_status IN ('DELIVERED', 'CANCELLED', 'FAILED') AS after_end
+FROM (SELECT *, CASE WHEN to_status IN ('CANCELLED', 'FAILED')
+            OR from_status IN ('DELIVERED', 'CANCELLED', 'FAILED') THEN 'ILLEGAL'
+        WHEN stride > 1 THEN 'SKIPPED_STEP' ELSE 'STEP_BACK' END AS gap
+    FROM transitions
+    WHERE NOT (to_status = 'CANCELLED' AND from_status IN ('PLACED', 'ACCEPTED', 'PREPARING',
+            'READY_FOR_PICKUP', 'PICKED_UP'))
+        AND NOT (to_status NOT IN ('CANCELLED', 'FAILED') AND stride = 1)
+    UNION ALL BY NAME
+    SELECT *, order_status AS to_status, 0 AS stride, 'REPEATED' AS gap
+    FROM history WHERE from_status = order_status)""",
+    "history",
     "transitions",
 )
 _oracle(

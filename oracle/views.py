@@ -121,6 +121,16 @@ SELECT * REPLACE (event_id || '_r' AS event_id, ms + (60 + k % 3541) * 1000 AS m
 FROM once WHERE status = 'DELIVERED' AND rt < 65""",
     "once",
 )
+_view(
+    "strays",
+    """SELECT * REPLACE (event_id || '_x' AS event_id, status AS previous,
+    CASE i WHEN 6 THEN 'EN_ROUTE' ELSE 'ACCEPTED' END AS status,
+    ms + CASE i WHEN 6 THEN 240000 ELSE 4000 END AS ms, ims + CASE i WHEN 6 THEN 240000 ELSE 4000 END AS ims)
+FROM once
+WHERE (k % 389 = 17 AND i = 2 AND status = 'PREPARING') OR (k % 397 = 23 AND i = 1 AND status = 'ACCEPTED')
+    OR (k % 409 = 31 AND status = 'DELIVERED')""",
+    "once",
+)
 _view(
     "order_feed",
     f"""SELECT event_id, 'ord_' || k AS order_id, 'cust_' || c AS customer_id,
@@ -142,10 +152,11 @@ _view(
         WHEN 1 THEN 'RESTAURANT_CLOSED' WHEN 2 THEN 'NO_COURIER_AVAILABLE'
         ELSE 'PAYMENT_FAILED' END END END AS cancellation_reason,
     tenths, dup AS is_duplicate, late AS is_late_arrival
-FROM (SELECT *, false AS dup FROM rated UNION ALL
+FROM (SELECT *, false AS dup FROM rated UNION ALL SELECT *, false AS dup FROM strays UNION ALL
     SELECT * REPLACE (ims + 100 + k % 4901 AS ims), true AS dup
     FROM rated WHERE (k * 11 + i * 3) % 53 = 0)""",
     "rated",
+    "strays",
 )
 _view(
     "pings",
@@ -325,22 +336,23 @@ GROUP BY window_start, window_end, window_date, zone_id, vehicle_type""",
 # --- rows the quality and order checks build on ------------------------------
 
 _view(
-    "first_times",
-    """SELECT order_id, order_status, min(ms) AS reached, any_value(zone_id) AS zone_id,
-    any_value(is_peak_hour) AS is_peak_hour, any_value(weather_condition) AS weather_condition,
-    any_value(list_position(['PLACED', 'ACCEPTED', 'PREPARING', 'READY_FOR_PICKUP', 'PICKED_UP',
-        'EN_ROUTE', 'DELIVERED', 'CANCELLED', 'FAILED'], order_status)) AS position
-FROM order_feed WHERE NOT is_duplicate GROUP BY order_id, order_status""",
+    "history",
+    """SELECT *, lag(order_status) OVER (PARTITION BY order_id ORDER BY ms, position) AS from_status
+FROM (SELECT order_id, order_status, ms, any_value(zone_id) AS zone_id,
+        any_value(is_peak_hour) AS is_peak_hour, any_value(weather_condition) AS weather_condition,
+        any_value(list_position(['PLACED', 'ACCEPTED', 'PREPARING', 'READY_FOR_PICKUP', 'PICKED_UP',
+            'EN_ROUTE', 'DELIVERED', 'CANCELLED', 'FAILED'], order_status)) AS position
+    FROM order_feed WHERE NOT is_duplicate AND tenths IS NULL GROUP BY order_id, order_status, ms)""",
     "order_feed",
 )
 _view(
     "transitions",
-    """SELECT * FROM (SELECT order_id, zone_id, is_peak_hour, weather_condition,
-        lag(order_status) OVER w AS from_status, order_status AS to_status,
-        position - lag(position) OVER w AS stride, (reached - lag(reached) OVER w) // 1000 AS seconds
-    FROM first_times WINDOW w AS (PARTITION BY order_id ORDER BY reached, position))
+    """SELECT * EXCLUDE (order_status) FROM (SELECT *, order_status AS to_status,
+        position - lag(position) OVER w AS stride, (ms - lag(ms) OVER w) // 1000 AS seconds
+    FROM history WHERE from_status IS NULL OR from_status <> order_status
+    WINDOW w AS (PARTITION BY order_id ORDER BY ms, position))
 WHERE from_status IS NOT NULL""",
-    "first_times",
+    "history",
 )
 
 
