@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispatchlens import jobs, schemas
-from dispatchlens.operators import lifecycle, market, motion, quality, sales
+from dispatchlens.operators import lifecycle, market, motion, quality, sales, sketches
+from dispatchlens.operators.couriers import session_finals
+from dispatchlens.operators.orders import in_status
 from dispatchlens.plans.catalog import ANALYTICS, REPORTS
 from dispatchlens.session import new_run_folder, prepare
 from dispatchlens.sources import files
@@ -110,6 +112,47 @@ def _results_roundtrip(feeds: Feeds) -> DataFrame:
     return files.read_results(feeds.spark, base, name)
 
 
+def _sketches(feeds: Feeds, name: str) -> DataFrame:
+    """Sketches of all windows, stored like the other results and read again."""
+    base = new_run_folder(feeds.spark, "sketches")
+    feed = feeds.orders() if name in ("delivery_sketches", "promise_sketches") else feeds.couriers()
+    files.write_results(getattr(sketches, name)(feed), base, name)
+    return files.read_results(feeds.spark, base, name)
+
+
+def _merged_percentiles(feeds: Feeds) -> DataFrame:
+    """Percentiles over all windows from their sketches, checked against the events."""
+    took, eta = "actual_delivery_time_seconds", "estimated_delivery_time_seconds"
+    delivered, placed = in_status(feeds.orders(), "DELIVERED", took), in_status(feeds.orders(), "PLACED", eta)
+    finals = session_finals(feeds.couriers())
+    parts = [
+        ("delivery", "delivery_sketches", delivered, took, {"p50": 0.5, "p95": 0.95}, ("weather_condition",)),
+        ("promise", "promise_sketches", placed, eta, {"p90": 0.9}, ("zone_id", "weather_condition")),
+        ("sessions", "productivity_sketches", finals, "deliveries", {"p50": 0.5, "p90": 0.9},
+         ("zone_id", "vehicle_type")),
+    ]
+    found = None
+    for of, name, values, value, shares, keys in parts:
+        told = sketches.merged_quantiles(_sketches(feeds, name), list(shares.values()), *keys)
+        zone, kind = (F.lit(None).cast("string"), keys[0]) if len(keys) == 1 else keys
+        one = sketches.quantile_check(told, values, value, shares, *keys).select(
+            F.lit(of).alias("of"),
+            F.col(zone).alias("zone_id") if isinstance(zone, str) else zone.alias("zone_id"),
+            F.col(kind).alias("kind"), "percentile", "value_count", "exact_value", "within_error",
+        )
+        found = found.unionByName(one) if found else one
+    return found
+
+
+def _idle_couriers_by_hour(feeds: Feeds) -> DataFrame:
+    """Different idle couriers per hour and zone from sketches of minutes, checked against the pings."""
+    hour = lambda time: F.date_trunc("hour", time).alias("hour_start")
+    told = sketches.united_counts(_sketches(feeds, "idle_sketches"), hour("window_start"), "zone_id")
+    each = market.idle_couriers(feeds.couriers()).select(hour("event_timestamp"), "zone_id", "courier_id")
+    exact = each.distinct().groupBy("hour_start", "zone_id").agg(F.count("courier_id").alias("idle_couriers"))
+    return sketches.distinct_check(told, exact, "hour_start", "zone_id", name="idle_couriers")
+
+
 def _enum_violations(feeds: Feeds) -> DataFrame:
     return quality.enum_violations(
         feeds.orders(), "orders", schemas.enum_columns(schemas.ORDER_FEED)
@@ -209,6 +252,8 @@ def queries() -> dict[str, Query]:
         "x_zone_of_ping": _on_feeds(lambda f: motion.zones_of_pings(f.couriers())),
         "x_demand_curve": _on_feeds(lambda f: sales.demand_curve(f.orders())),
         "x_cancel_reasons": _on_feeds(lambda f: sales.cancellation_reasons(f.orders())),
+        "x_merged_percentiles": _on_feeds(_merged_percentiles),
+        "x_idle_couriers_by_hour": _on_feeds(_idle_couriers_by_hour),
         "x_ratings": _on_feeds(lambda f: sales.restaurant_ratings(f.orders())),
         "x_step_durations": _on_feeds(lambda f: lifecycle.step_durations(f.orders())),
         "stream_dedup": _on_stream(_stream_dedup),

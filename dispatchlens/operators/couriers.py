@@ -38,21 +38,27 @@ def anomalies(couriers: DataFrame, **timing: str) -> DataFrame:
     )
 
 
-def courier_productivity(couriers: DataFrame, **timing: str) -> DataFrame:
-    """Deliveries and shift time per vehicle and zone.
-
-    First the last counters of each session within the window, then the
-    statistics over sessions; a session counts once in every window it touches.
-    """
-    active = originals(couriers).filter(
+def active_couriers(couriers: DataFrame) -> DataFrame:
+    """Non-duplicate pings with both counters of their session."""
+    return originals(couriers).filter(
         F.col("shift_duration_seconds").isNotNull()
         & F.col("deliveries_completed_in_session").isNotNull()
     )
-    sessions = per_window(active, "zone_id", "vehicle_type", "session_id", **timing).agg(
+
+
+def session_finals(couriers: DataFrame, **timing: str) -> DataFrame:
+    """The last counters of each session within a window; a session counts once in every window it
+    touches."""
+    keys = ("zone_id", "vehicle_type", "session_id")
+    return per_window(active_couriers(couriers), *keys, **timing).agg(
         F.max("deliveries_completed_in_session").alias("deliveries"),
         F.max("shift_duration_seconds").alias("shift_seconds"),
     )
-    stats = sessions.groupBy("window", "zone_id", "vehicle_type").agg(
+
+
+def courier_productivity(couriers: DataFrame, **timing: str) -> DataFrame:
+    """Deliveries and shift time per vehicle and zone, over the last counters of sessions."""
+    stats = session_finals(couriers, **timing).groupBy("window", "zone_id", "vehicle_type").agg(
         F.count("*").alias("session_count"),
         F.round(F.avg("deliveries"), 2).alias("avg_deliveries"),
         F.percentile_approx("deliveries", 0.5).alias("p50_deliveries"),

@@ -15,13 +15,18 @@ def _demand(orders: DataFrame, **timing: str) -> DataFrame:
     return placed.agg(F.count("*").alias("demand_orders"))
 
 
+def idle_couriers(couriers: DataFrame) -> DataFrame:
+    """Non-duplicate pings of couriers that wait for an order."""
+    return originals(couriers).filter(F.col("courier_status") == "ONLINE_IDLE")
+
+
 def _supply(couriers: DataFrame, exact: bool, **timing: str) -> DataFrame:
     """Idle couriers per window and zone.
 
     The exact count goes through one row per courier: unlike a distinct count
     it runs on streams, and a busy zone is spread over its couriers.
     """
-    idle = originals(couriers).filter(F.col("courier_status") == "ONLINE_IDLE")
+    idle = idle_couriers(couriers)
     if not exact:
         return per_window(idle, "zone_id", **timing).agg(
             F.approx_count_distinct("courier_id").alias("supply_couriers")

@@ -137,8 +137,19 @@ RESULTS = {
 }
 
 
+#: results kept as sketches, to be merged over windows
+SKETCHES = {
+    "delivery_sketches": _WINDOW + "weather_condition string, value_count bigint, sketch binary",
+    "promise_sketches": _WINDOW
+    + "zone_id string, weather_condition string, value_count bigint, sketch binary",
+    "productivity_sketches": _WINDOW
+    + "zone_id string, vehicle_type string, value_count bigint, sketch binary",
+    "idle_sketches": _WINDOW + "zone_id string, sketch binary",
+}
+
+
 def result_schema(name: str) -> T.StructType:
-    return T.StructType.fromDDL(RESULTS[name])
+    return T.StructType.fromDDL((RESULTS | SKETCHES)[name])
 
 
 # --- Avro rendering ----------------------------------------------------------

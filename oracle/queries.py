@@ -561,6 +561,46 @@ FROM transitions GROUP BY zone_id, from_status, to_status""",
     "transitions",
 )
 
+# --- sketches ------------------------------------------------------------------
+
+
+def _exact(of: str, zone: str, kind: str, value: str, source: str, *percents: int) -> str:
+    """Exact percentiles of a value: the least one that so many percent do not pass."""
+    return " UNION ALL ".join(
+        f"SELECT '{of}' AS of, {zone} AS zone_id, {kind} AS kind, 'p{p}' AS percentile, "
+        f"count(*) AS value_count, cast(min(v) FILTER (WHERE i * 100 >= {p} * n) AS bigint) AS exact_value, "
+        f"true AS within_error FROM (SELECT *, {value} AS v, "
+        f"count(*) OVER (PARTITION BY {zone}, {kind}) AS n, "
+        f"row_number() OVER (PARTITION BY {zone}, {kind} ORDER BY {value}) AS i FROM {source}) GROUP BY ALL"
+        for p in percents
+    )
+
+
+_ORIGINAL = "(SELECT * FROM order_feed WHERE NOT is_duplicate AND order_status"
+_oracle(
+    "x_merged_percentiles",
+    _exact("delivery", "cast(NULL AS varchar)", "weather_condition", "actual_delivery_time_seconds",
+           f"{_ORIGINAL} = 'DELIVERED' AND actual_delivery_time_seconds IS NOT NULL)", 50, 95)
+    + " UNION ALL "
+    + _exact("promise", "zone_id", "weather_condition", "estimated_delivery_time_seconds",
+             f"{_ORIGINAL} = 'PLACED' AND estimated_delivery_time_seconds IS NOT NULL)", 90)
+    + " UNION ALL "
+    + _exact("sessions", "zone_id", "vehicle_type", "deliveries",
+             "(SELECT ms // 60000 AS minute, zone_id, vehicle_type, session_id, "
+             "max(deliveries_completed_in_session) AS deliveries FROM courier_feed WHERE NOT is_duplicate "
+             "AND shift_duration_seconds IS NOT NULL AND deliveries_completed_in_session IS NOT NULL GROUP BY ALL)",
+             50, 90),
+    "order_feed",
+    "courier_feed",
+)
+_oracle(
+    "x_idle_couriers_by_hour",
+    """SELECT make_timestamp((ms // 3600000) * 3600000000) AS hour_start, zone_id,
+    count(DISTINCT courier_id) AS idle_couriers, true AS within_error
+FROM courier_feed WHERE NOT is_duplicate AND courier_status = 'ONLINE_IDLE' GROUP BY ALL""",
+    "courier_feed",
+)
+
 # --- stateful streams --------------------------------------------------------
 
 _oracle(
