@@ -15,7 +15,7 @@ from dispatchlens.operators.orders import in_status
 from dispatchlens.plans.catalog import ANALYTICS, REPORTS
 from dispatchlens.session import new_run_folder, prepare
 from dispatchlens.sources import files
-from dispatchlens.streaming import stateful
+from dispatchlens.streaming import late, stateful, tracks
 from dispatchlens.streaming.replay import FLUSH_ID, Replay
 from oracle import feeds as fixture
 from oracle.queries import ORACLES
@@ -178,6 +178,18 @@ def _stream_promises(replay: Replay) -> DataFrame:
     return lifecycle.promise_accuracy(stored)
 
 
+def _late_rows(spark: SparkSession, tables: str) -> DataFrame:
+    """Both feeds in the order in which they came, cut on some days while events go on."""
+    session = prepare(spark)
+    feeds = fixture.feeds(session, tables)
+    day = F.unix_date(F.to_date("event_timestamp"))
+    first, last = feeds["orders"].agg(F.min(day), F.max(day)).first()
+    cuts = [
+        ((first + j * (last - first + 1) // 5) * 1440 + 720 + 37 * j) * 60_000_000 for j in range(1, 5)
+    ] if first is not None else []
+    return late.loss_by_feed(Replay(session, feeds, order_by="ingestion_timestamp", cuts=cuts))
+
+
 def _stream_outer(replay: Replay) -> DataFrame:
     balance = market.supply_demand(replay.orders(), replay.couriers(), keep_unserved=True)
     return replay.run(balance, "supply_demand_outer", ("window_date",))
@@ -257,6 +269,10 @@ def queries() -> dict[str, Query]:
         "x_ratings": _on_feeds(lambda f: sales.restaurant_ratings(f.orders())),
         "x_step_durations": _on_feeds(lambda f: lifecycle.step_durations(f.orders())),
         "stream_dedup": _on_stream(_stream_dedup),
+        "stream_late_rows": _late_rows,
+        "stream_location_jumps": _on_stream(
+            lambda replay: replay.run(tracks.jumps_stream(replay.couriers()), "jumps")
+        ),
         "stream_session_windows": _on_stream(_stream_sessions),
         "stream_x_eta_accuracy": _on_stream(_stream_promises),
         "stream_x_supply_demand_outer": _on_stream(_stream_outer),

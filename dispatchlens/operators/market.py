@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ..dimensions import SURGE_RATIO
 from ..functions.windows import per_window, with_window_columns
-from .orders import in_status, originals
+from .orders import originals, placements
 
 
 def _demand(orders: DataFrame, **timing: str) -> DataFrame:
-    placed = per_window(in_status(orders, "PLACED"), "zone_id", **timing)
+    placed = per_window(placements(orders), "zone_id", **timing)
     return placed.agg(F.count("*").alias("demand_orders"))
 
 

@@ -59,33 +59,37 @@ def judged_points(couriers: DataFrame) -> DataFrame:
     must not count, which the last point of a track shows by being within reach
     of the point before the previous one.
     """
+    offsets = {"previous": -1, "next": 1, "earlier": -2}
+    return judge(with_neighbours(track_points(couriers), TRACK, "at", "point", offsets))
+
+
+def judge(points: DataFrame) -> DataFrame:
+    """Speed and verdict of points that come with the points around them."""
     here, previous, following, earlier = map(F.col, ("point", "previous", "next", "earlier"))
     limit = lookup(F.col("vehicle_type"), VEHICLE_MAX_KMH)
     returned = F.coalesce(_kmh(earlier, here) <= limit, F.lit(False))
     leaves_track = F.when(following.isNull(), ~returned).otherwise(
         _kmh(previous, following) <= limit
     )
-    offsets = {"previous": -1, "next": 1, "earlier": -2}
-    return (
-        with_neighbours(track_points(couriers), TRACK, "at", "point", offsets)
-        .withColumn("kmh", _kmh(previous, here))
-        .withColumn("detected", F.coalesce((F.col("kmh") > limit) & leaves_track, F.lit(False)))
+    return points.withColumn("kmh", _kmh(previous, here)).withColumn(
+        "detected", F.coalesce((F.col("kmh") > limit) & leaves_track, F.lit(False))
+    )
+
+
+def jumps(judged: DataFrame) -> DataFrame:
+    """The points judged as jumps."""
+    return judged.filter("detected").select(
+        "event_id",
+        *TRACK,
+        "vehicle_type",
+        F.timestamp_millis("at").alias("event_timestamp"),
+        F.round("kmh", 3).alias("implied_kmh"),
     )
 
 
 def location_jumps(couriers: DataFrame) -> DataFrame:
     """Pings that left the courier's track at impossible speed."""
-    return (
-        judged_points(couriers)
-        .filter("detected")
-        .select(
-            "event_id",
-            *TRACK,
-            "vehicle_type",
-            F.timestamp_millis("at").alias("event_timestamp"),
-            F.round("kmh", 3).alias("implied_kmh"),
-        )
-    )
+    return jumps(judged_points(couriers))
 
 
 def anomaly_label_score(couriers: DataFrame) -> DataFrame:

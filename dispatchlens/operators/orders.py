@@ -26,6 +26,32 @@ def in_status(feed: DataFrame, status: str, *required: str) -> DataFrame:
     return rows
 
 
+def late_preparations(orders: DataFrame, limit_seconds: int = PREP_SLA_SECONDS) -> DataFrame:
+    """Preparations that took longer than the limit."""
+    return finished_preparations(orders).filter(F.col("actual_prep_time_seconds") > limit_seconds)
+
+
+def finished_preparations(orders: DataFrame) -> DataFrame:
+    return in_status(orders, "READY_FOR_PICKUP", "actual_prep_time_seconds")
+
+
+def timed_deliveries(orders: DataFrame) -> DataFrame:
+    """Deliveries with their time; rating copies are among them."""
+    return in_status(orders, "DELIVERED", "actual_delivery_time_seconds")
+
+
+def placements(orders: DataFrame) -> DataFrame:
+    return in_status(orders, "PLACED")
+
+
+def priced_placements(orders: DataFrame) -> DataFrame:
+    return in_status(orders, "PLACED", "order_total_cents")
+
+
+def promised_placements(orders: DataFrame) -> DataFrame:
+    return in_status(orders, "PLACED", "estimated_delivery_time_seconds")
+
+
 def _mean_seconds(name: str) -> Column:
     return F.round(F.avg(name), 0)
 
@@ -50,7 +76,7 @@ def prep_sla_breaches(
     """Orders whose preparation took longer than the limit, per restaurant."""
     prep = "actual_prep_time_seconds"
     keys = ("zone_id", "restaurant_id", "is_peak_hour")
-    late = in_status(orders, "READY_FOR_PICKUP", prep).filter(F.col(prep) > limit_seconds)
+    late = late_preparations(orders, limit_seconds)
     breaches = per_window(late, *keys, **timing).agg(
         F.count("*").alias("breach_count"),
         _mean_seconds(prep).alias("avg_prep_time_sec"),
@@ -64,7 +90,7 @@ def prep_sla_breaches(
 def weather_impact(orders: DataFrame, **timing: str) -> DataFrame:
     """Delivery times per weather; rating copies count as deliveries."""
     took = "actual_delivery_time_seconds"
-    stats = per_window(in_status(orders, "DELIVERED", took), "weather_condition", **timing).agg(
+    stats = per_window(timed_deliveries(orders), "weather_condition", **timing).agg(
         F.count("*").alias("order_count"),
         _mean_seconds(took).alias("avg_delivery_sec"),
         F.min(took).alias("min_delivery_sec"),
@@ -85,7 +111,7 @@ def weather_impact(orders: DataFrame, **timing: str) -> DataFrame:
 def processing_time(orders: DataFrame, **timing: str) -> DataFrame:
     """Preparation times per zone, taken when an order becomes ready."""
     prep = "actual_prep_time_seconds"
-    stats = per_window(in_status(orders, "READY_FOR_PICKUP", prep), "zone_id", **timing).agg(
+    stats = per_window(finished_preparations(orders), "zone_id", **timing).agg(
         F.count("*").alias("order_count"),
         _mean_seconds(prep).alias("avg_processing_sec"),
         F.min(prep).alias("min_processing_sec"),
@@ -104,9 +130,7 @@ def processing_time(orders: DataFrame, **timing: str) -> DataFrame:
 def order_value(orders: DataFrame, **timing: str) -> DataFrame:
     """Basket values and revenue per zone in euros, aggregated in cents."""
     cents = F.col("order_total_cents")
-    sums = per_window(
-        in_status(orders, "PLACED", "order_total_cents"), "zone_id", **timing
-    ).agg(
+    sums = per_window(priced_placements(orders), "zone_id", **timing).agg(
         F.count("*").alias("order_count"),
         F.min(cents).alias("low"),
         F.max(cents).alias("high"),
@@ -128,7 +152,7 @@ def promised_eta(orders: DataFrame, **timing: str) -> DataFrame:
     """Delivery times promised at placement, per zone and weather."""
     eta = "estimated_delivery_time_seconds"
     keys = ("zone_id", "weather_condition")
-    stats = per_window(in_status(orders, "PLACED", eta), *keys, **timing).agg(
+    stats = per_window(promised_placements(orders), *keys, **timing).agg(
         F.count("*").alias("order_count"),
         _mean_seconds(eta).alias("avg_eta_sec"),
         F.min(eta).alias("min_eta_sec"),

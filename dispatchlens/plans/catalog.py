@@ -13,11 +13,13 @@ from . import rollups
 
 @dataclass(frozen=True)
 class Analytic:
-    """A windowed analytic: the feeds it reads and the function it runs."""
+    """A windowed analytic: the feeds it reads, the function it runs, and which events of each feed
+    reach its windows and move its watermark."""
 
     name: str
     feeds: tuple[str, ...]
     run: Callable[..., DataFrame]
+    inputs: tuple[Callable[[DataFrame], DataFrame], ...]
 
     def __call__(self, frames: dict[str, DataFrame], **options) -> DataFrame:
         return self.run(*[frames[feed] for feed in self.feeds], **options)
@@ -26,15 +28,15 @@ class Analytic:
 ANALYTICS = {
     analytic.name: analytic
     for analytic in (
-        Analytic("uc1_order_volume", ("orders",), orders.order_volume),
-        Analytic("uc3_prep_sla", ("orders",), orders.prep_sla_breaches),
-        Analytic("uc4_weather", ("orders",), orders.weather_impact),
-        Analytic("uc7_anomalies", ("couriers",), couriers.anomalies),
-        Analytic("uc9_supply_demand", ("orders", "couriers"), market.supply_demand),
-        Analytic("uc10_processing_time", ("orders",), orders.processing_time),
-        Analytic("uc11_order_value", ("orders",), orders.order_value),
-        Analytic("uc12_eta_accuracy", ("orders",), orders.promised_eta),
-        Analytic("uc13_courier_productivity", ("couriers",), couriers.courier_productivity),
+        Analytic("uc1_order_volume", ("orders",), orders.order_volume, (orders.originals,)),
+        Analytic("uc3_prep_sla", ("orders",), orders.prep_sla_breaches, (orders.late_preparations,)),
+        Analytic("uc4_weather", ("orders",), orders.weather_impact, (orders.timed_deliveries,)),
+        Analytic("uc7_anomalies", ("couriers",), couriers.anomalies, (couriers.all_pings,)),
+        Analytic("uc9_supply_demand", ("orders", "couriers"), market.supply_demand, (orders.placements, market.idle_couriers)),
+        Analytic("uc10_processing_time", ("orders",), orders.processing_time, (orders.finished_preparations,)),
+        Analytic("uc11_order_value", ("orders",), orders.order_value, (orders.priced_placements,)),
+        Analytic("uc12_eta_accuracy", ("orders",), orders.promised_eta, (orders.promised_placements,)),
+        Analytic("uc13_courier_productivity", ("couriers",), couriers.courier_productivity, (couriers.active_couriers,)),
     )
 }
 

@@ -9,11 +9,12 @@ open, so they never show in a windowed result.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.catalog import ANALYTICS
 from ..schemas import COURIER_FEED, ORDER_FEED, as_nullable, result_schema
@@ -50,11 +51,17 @@ def _flush_rows(spark: SparkSession, name: str, micros: int) -> DataFrame:
     return spark.range(1).select(*columns)
 
 
+def dropped_rows(progress: Sequence[Mapping]) -> int:
+    """Rows, after combining, that came behind the watermark in the batches of a query."""
+    return sum(s["numRowsDroppedByWatermark"] for p in progress for s in p["stateOperators"])
+
+
 class Replay:
     """Runs streaming operators over finite feeds, one run per object.
 
     ``slices``: data batches at least; ``order_by``: time that tells which slice a row belongs to;
-    ``files``: files per slice, which are read together.
+    ``files``: files per slice, which are read together; ``cuts``: the times between slices in
+    microseconds, in their order, instead of quantiles; every slice is a batch then, also an empty one.
     """
 
     def __init__(
@@ -65,8 +72,11 @@ class Replay:
         order_by: str = "event_timestamp",
         files: int = 1,
         rocksdb: bool = True,
+        cuts: Sequence[int] | None = None,
     ):
         self.spark, self.feeds = spark, feeds
+        self.cuts = cuts
+        slices = slices if cuts is None else len(cuts) + 1
         self.slices, self.order_by, self.files = slices, order_by, files
         self.session = streaming_session(spark, rocksdb)
         self.folder = new_run_folder(spark, "replay")
@@ -84,7 +94,8 @@ class Replay:
             F.percentile_approx(time, shares).alias("b"), F.max(F.greatest(*times)).alias("latest")
         ).first()
         self._latest[name] = found["latest"] or 0
-        number = sum((F.when(time > b, 1).otherwise(0) for b in found["b"] or []), F.lit(0))
+        cuts = (found["b"] or []) if self.cuts is None else self.cuts
+        number = sum((F.when(time > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
         staged = f"{self.folder}/staged-{name}"
         feed.withColumn("slice", number).write.partitionBy("slice").parquet(staged)
         columns = schema.fieldNames()
@@ -115,16 +126,22 @@ class Replay:
     def couriers(self) -> DataFrame:
         return self._stream("couriers")
 
-    def run(self, results: DataFrame, name: str, partition_by=()) -> DataFrame:
-        """Run a streaming result to its end and return what the sink holds."""
+    def start(self, results: DataFrame, name: str, partition_by=()) -> StreamingQuery:
+        """Start a streaming result, which ends with the feeds."""
         self._flush()
         output, checkpoints = f"{self.folder}/output", f"{self.folder}/checkpoints"
-        query = parquet_sink(
-            results, name, output, checkpoints, partition_by, available_now=True
-        )
+        return parquet_sink(results, name, output, checkpoints, partition_by, available_now=True)
+
+    def stored(self, results: DataFrame, name: str) -> DataFrame:
+        """What the sink of a result holds."""
+        return self.spark.read.schema(as_nullable(results.schema)).parquet(f"{self.folder}/output/{name}")
+
+    def run(self, results: DataFrame, name: str, partition_by=()) -> DataFrame:
+        """Run a streaming result to its end and return what the sink holds."""
+        query = self.start(results, name, partition_by)
         finish_all([query])
         self.progress = list(query.recentProgress)
-        return self.spark.read.schema(as_nullable(results.schema)).parquet(f"{output}/{name}")
+        return self.stored(results, name)
 
     def data_batches(self) -> int:
         """Batches of the last run that had rows."""
@@ -132,9 +149,7 @@ class Replay:
 
     def dropped_rows(self) -> int:
         """Rows, after combining, that came behind the watermark in the last run."""
-        return sum(
-            s["numRowsDroppedByWatermark"] for p in self.progress for s in p["stateOperators"]
-        )
+        return dropped_rows(self.progress)
 
     def analytic(self, name: str) -> DataFrame:
         """One of the nine analytics, with the result table's own sink."""

@@ -619,3 +619,47 @@ FROM (SELECT *, sum(fresh) OVER (PARTITION BY courier_id ORDER BY ms ROWS UNBOUN
 GROUP BY courier_id, n""",
     "courier_feed",
 )
+
+_ORIGINALS = "order_feed WHERE NOT is_duplicate"
+_PINGS = "courier_feed WHERE NOT is_duplicate"
+_INPUTS = {
+    ("uc1_order_volume", "orders"): _ORIGINALS,
+    ("uc3_prep_sla", "orders"): f"{_ORIGINALS} AND order_status = 'READY_FOR_PICKUP' AND actual_prep_time_seconds > 1200",
+    ("uc4_weather", "orders"): f"{_ORIGINALS} AND order_status = 'DELIVERED' AND actual_delivery_time_seconds IS NOT NULL",
+    ("uc7_anomalies", "couriers"): "courier_feed",
+    ("uc9_supply_demand", "orders"): f"{_ORIGINALS} AND order_status = 'PLACED'",
+    ("uc9_supply_demand", "couriers"): f"{_PINGS} AND courier_status = 'ONLINE_IDLE'",
+    ("uc10_processing_time", "orders"): f"{_ORIGINALS} AND order_status = 'READY_FOR_PICKUP' "
+    "AND actual_prep_time_seconds IS NOT NULL",
+    ("uc11_order_value", "orders"): f"{_ORIGINALS} AND order_status = 'PLACED' AND order_total_cents IS NOT NULL",
+    ("uc12_eta_accuracy", "orders"): f"{_ORIGINALS} AND order_status = 'PLACED' "
+    "AND estimated_delivery_time_seconds IS NOT NULL",
+    ("uc13_courier_productivity", "couriers"): f"{_PINGS} AND shift_duration_seconds IS NOT NULL "
+    "AND deliveries_completed_in_session IS NOT NULL",
+}
+_SEEN = " UNION ALL ".join(
+    f"SELECT '{analytic}' AS analytic, '{feed}' AS feed, ms, ims FROM {rows}"
+    for (analytic, feed), rows in _INPUTS.items()
+)
+# An event is lost if its window ends no later than the watermark that the batch before its own used:
+# the latest event of all earlier batches less 30 seconds, of both feeds the lower one.
+_oracle(
+    "stream_late_rows",
+    f"""SELECT analytic, feed, count(*) AS events_seen, count(*) FILTER (lost) AS events_lost,
+    max((ims - ms) / 1000) FILTER (lost) AS longest_lag_seconds, true AS as_dropped
+FROM (SELECT s.*, (s.ms // 60000 + 1) * 60000 <= w.watermark AS lost
+    FROM (SELECT e.*, (SELECT count(*) FROM cuts WHERE e.ims > cut) AS batch FROM ({_SEEN}) e) s
+    JOIN (SELECT analytic, batch, min(top) - 30000 AS watermark
+        FROM (SELECT i.analytic, i.feed, b.batch, coalesce(max(top), 30000) AS top
+            FROM (SELECT DISTINCT analytic, feed FROM ({_SEEN})) i CROSS JOIN (SELECT unnest([0, 1, 2, 3, 4]) AS batch) b
+            LEFT JOIN (SELECT analytic, feed, max(ms) AS top, (SELECT count(*) FROM cuts WHERE e.ims > cut) AS batch
+                FROM ({_SEEN}) e GROUP BY ALL) t
+                ON t.analytic = i.analytic AND t.feed = i.feed AND t.batch <= b.batch - 2
+            GROUP BY ALL)
+        GROUP BY ALL) w ON w.analytic = s.analytic AND w.batch = s.batch)
+GROUP BY ALL""",
+    "order_feed",
+    "courier_feed",
+    "cuts",
+)
+ORACLES["stream_location_jumps"] = ORACLES["q_location_jumps"]
