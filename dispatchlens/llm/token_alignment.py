@@ -17,6 +17,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -37,14 +38,28 @@ _ADDED = ", ".join(f"{name} long" for name in MADE[:-1]) + ", groups string"
 _BLOCK = "block long, rows binary, links binary, marks binary, pairs binary, counts binary"
 _NEW_A, _NEW_B, _NEW_GROUP = 1, 2, 4
 _LOW = (1 << 32) - 1
-#: texts are encoded in parts of about this many characters, cut before a blank between words
-_PART = 1 << 20
-_NONE = np.zeros(0, np.int32)
-_BETWEEN_WORDS = re.compile(r"(?<=[^\s]) (?=[^\s])")
+_BLANKS = " \t\n\r\x0b\x0c"
+_OTHER_BLANKS = re.compile(r"[^\S \t\n\r\x0b\x0c]")
+#: characters of new chunks that are encoded at once, and of all chunks that a worker holds
+_RUN, _MOST_HELD = 1 << 17, 1 << 21
+
+
+class _Places(dict):
+    """The place of each chunk in the table, given out at the first question."""
+
+    def __missing__(self, chunk: str) -> int:
+        place = self[chunk] = len(self)
+        return place
 
 
 class Encoders:
-    """Both tokenizers, and the bytes of their tokens."""
+    """Both tokenizers, and the bytes of their tokens.
+
+    Texts are cut into chunks, a run of white space and what follows up to the next one, where neither
+    tokenizer has a token across the cut: A takes words apart there, and B has no piece that holds
+    such a white space after another character.  Each different chunk is encoded once, many of them
+    in one text.  A text with other white space than that of ASCII is a chunk of its own.
+    """
 
     def __init__(self, spec: str, model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,62 +73,124 @@ class Encoders:
         byte_of = {letter: i for i, letter in enumerate(_byte_letters())}
         parts = json.loads(spec)
         entries = parts["model"]["vocab"] | {x["content"]: x["id"] for x in parts["added_tokens"]}
-        self.bytes_a = [b""] * (max(entries.values()) + 1)
+        bytes_a = [b""] * (max(entries.values()) + 1)
         for token, i in entries.items():
-            self.bytes_a[i] = bytes(byte_of[c] for c in token) if set(token) <= byte_of.keys() else b""
+            bytes_a[i] = bytes(byte_of[c] for c in token) if set(token) <= byte_of.keys() else b""
         pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
-        self.bytes_b = [
+        bytes_b = [
             bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ]
-        # where no piece reaches over a blank that follows a word, texts may be cut there
-        self._cuts = not any(re.search("[^▁]▁", p) for p in pieces)
-
-    def _parts(self, text: str) -> Iterator[str]:
-        """``text`` in parts whose encodings make up its own."""
-        at = 0
-        while self._cuts and len(text) - at > _PART:
-            cut = _BETWEEN_WORDS.search(text, at + _PART)
-            if not cut:
-                break
-            yield text[at : cut.start()]
-            at = cut.start() + 1  # both encoders write a blank before each part
-        yield text[at:]
-
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each text the ids A and B of a blank and the text; none if either doesn't spell that."""
-        for some in _runs(texts):
-            parts = [list(self._parts(t)) if t else [] for t in some]
-            flat = [p for row in parts for p in row]
-            a = self._a.encode_batch_fast([" " + p for p in flat], add_special_tokens=False)
-            ids = zip(flat, (x.ids for x in a), self._b.encode(flat, num_threads=1))
-            for row in parts:
-                found = [self._checked(*next(ids)) for _ in row]
-                if not found or None in found:
-                    yield _NONE, _NONE
-                else:
-                    left, right = zip(*found)
-                    yield np.concatenate(left), np.concatenate(right)
-
-    def _checked(self, part: str, *ids: list[int]) -> tuple[np.ndarray, ...] | None:
-        spelled = (" " + part).encode()
-        for own, table in zip(ids, (self.bytes_a, self.bytes_b)):
-            if b"".join(map(table.__getitem__, own)) != spelled:
-                return None
-        return tuple(np.array(own, np.int32) for own in ids)
-
-
-def _runs(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """The texts in runs of about half a part."""
-    run, size = [], 0
-    for text in texts:
-        run.append(text)
-        size += len(text or "")
-        if size > _PART // 2:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+        self.bytes = (bytes_a, bytes_b)
+        self.sizes = [np.array([len(x) for x in table], np.int32) for table in self.bytes]
+        plain = [p.replace("▁", " ") for p in pieces]
+        uncut = [c for c in _BLANKS if any(re.search(f"[^{_BLANKS}]{c}", p) for p in plain)]
+        other = f"(?:[{''.join(uncut)}][{_BLANKS}]*[^{_BLANKS}]*)*" if uncut else ""
+        self._chunks = re.compile(f"[{_BLANKS}]+[^{_BLANKS}]*{other}")
+        self._whole = " " in uncut or not _cuts_at_white_space(parts)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._places, self._held = _Places(), 0
+        self._ids = [[np.zeros(0, np.int32)] for _ in self.bytes]
+        self._counts = [[np.zeros(0, np.int64)] for _ in self.bytes]
+        self._spelled = [np.zeros(0, bool)]
+
+    def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids A and B of a blank and each text, one text after the other, and how many each text has;
+        none for a text if either doesn't spell that."""
+        if self._held > _MOST_HELD:
+            self._forget()
+        known, places, rows = len(self._places), self._places, []
+        for text in texts:
+            if not text:
+                found = ()
+            elif self._whole or _OTHER_BLANKS.search(text):
+                found = (" " + text,)
+            else:
+                found = self._chunks.findall(" " + text)
+            rows.append(np.fromiter(map(places.__getitem__, found), np.int64, len(found)))
+        self._learn(list(islice(places, known, None)))
+        spelled = np.concatenate(self._spelled)
+        rows = [row if spelled[row].all() else row[:0] for row in rows]
+        each = np.array([len(row) for row in rows], np.int64)
+        flat, edges = np.concatenate([np.zeros(0, np.int64), *rows]), np.concatenate([[0], np.cumsum(each)])
+        ids, counts = [], []
+        for side in (0, 1):
+            self._ids[side] = [np.concatenate(self._ids[side])]
+            self._counts[side] = [np.concatenate(self._counts[side])]
+            many = self._counts[side][0]
+            first = np.cumsum(many) - many
+            own, sums = many[flat], np.concatenate([[0], np.cumsum(many[flat])])
+            at = np.arange(sums[-1]) + np.repeat(first[flat] - sums[:-1], own)
+            ids.append(self._ids[side][0][at])
+            counts.append(np.diff(sums[edges]))
+        self._spelled = [spelled]
+        return ids, counts
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Encode new chunks into the table, in the order of their places."""
+        self._held += sum(map(len, chunks))
+        run: list[str] = []
+        size = 0
+        for chunk in chunks:
+            if chunk[-1] in _BLANKS or "▁" in chunk or len(chunk) > _RUN or _OTHER_BLANKS.search(chunk):
+                self._learn_run(run)
+                self._learn_one(chunk)
+                run, size = [], 0
+                continue
+            run.append(chunk)
+            size += len(chunk)
+            if size > _RUN:
+                self._learn_run(run)
+                run, size = [], 0
+        self._learn_run(run)
+
+    def _learn_run(self, run: list[str]) -> None:
+        """Chunks that may stand one after the other, in one text."""
+        if not run:
+            return
+        text = " x" + "".join(run)  # B writes the blank before the x by itself
+        found = (self._a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self._b.encode(text[1:]))
+        ends = 2 + np.cumsum([0, *(len(c.encode()) for c in run)])
+        spelled, cuts = text.encode(), []
+        for ids, table, size in zip(found, self.bytes, self.sizes):
+            at = np.cumsum(size[ids], dtype=np.int64)
+            cut = np.searchsorted(at, ends)
+            if b"".join(map(table.__getitem__, ids)) != spelled or (at[cut] != ends).any():
+                for chunk in run:
+                    self._learn_one(chunk)
+                return
+            cuts.append(cut + 1)
+        for side, (ids, cut) in enumerate(zip(found, cuts)):
+            self._ids[side].append(np.array(ids[cut[0] :], np.int32))
+            self._counts[side].append(np.diff(cut))
+        self._spelled.append(np.ones(len(run), bool))
+
+    def _learn_one(self, chunk: str) -> None:
+        a = self._a.encode(chunk, add_special_tokens=False).ids
+        if chunk[0] == " " and len(chunk) > 1:
+            b = self._b.encode(chunk[1:])
+        else:  # after a word, whose own pieces go
+            b = self._b.encode("x" + chunk)[len(self._b.encode("x")) :]
+        spelled = all(
+            b"".join(map(table.__getitem__, ids)) == chunk.encode() for ids, table in zip((a, b), self.bytes)
+        )
+        for side, ids in enumerate((a, b)):
+            self._ids[side].append(np.array(ids, np.int32))
+            self._counts[side].append(np.array([len(ids)], np.int64))
+        self._spelled.append(np.array([spelled]))
+
+
+def _cuts_at_white_space(spec: dict) -> bool:
+    """Whether a file's words never go on over white space that follows another character."""
+    steps = spec["pre_tokenizer"] or {}
+    return (
+        spec["normalizer"] is None
+        and steps.get("type") == "ByteLevel"
+        and steps.get("use_regex", False)
+        and not steps.get("add_prefix_space", True)
+    )
 
 
 def encoders(spec: str, model: bytes) -> Encoders:
@@ -128,10 +205,10 @@ def coalesce(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """
     order = np.lexsort((ends, starts))
     top = np.maximum.accumulate(ends[order])
-    breaks = np.zeros(len(order), np.int64)
+    breaks = np.zeros(len(order), bool)
     breaks[1:] = starts[order][1:] >= top[:-1]
-    groups = np.empty(len(order), np.int64)
-    groups[order] = np.cumsum(breaks)
+    groups = np.empty(len(order), np.int32)
+    groups[order] = np.cumsum(breaks, dtype=np.int32)
     return groups
 
 
@@ -146,20 +223,19 @@ def overlaps(
     return in_a, in_b
 
 
-def align(a: list[np.ndarray], b: list[np.ndarray], size_a: np.ndarray, size_b: np.ndarray):
-    """Links of many encoded texts: pairs of ids, and what each link is the first of.
+def align(ids: list[np.ndarray], counts: list[np.ndarray], sizes: list[np.ndarray]):
+    """Links of many texts one after the other: pairs of ids, and what each link is the first of.
 
-    Also counts per text: tokens A and B, groups, links.  Both encodings of a text spell the same
-    bytes, so the texts can be laid out one after the other.
+    ``ids`` A and B, how many of them each text has, and ``sizes`` of tokens in bytes.  Both sides spell
+    the same bytes.  Also counts per text: tokens A and B, groups, links.
     """
-    counts = [np.array([len(x) for x in side], np.int64) for side in (a, b)]
-    ids = [np.concatenate([_NONE, *side]).astype(np.int64) for side in (a, b)]
-    ends = [np.cumsum(size[i]) for size, i in zip((size_a, size_b), ids)]
-    starts = [end - size[i] for end, size, i in zip(ends, (size_a, size_b), ids)]
+    ends = [np.cumsum(size[i], dtype=np.int32) for size, i in zip(sizes, ids)]
+    starts = [end - size[i] for end, size, i in zip(ends, sizes, ids)]
     group_a = coalesce(np.concatenate(starts), np.concatenate(ends))[: len(ids[0])]
     in_a, in_b = overlaps(starts[0], ends[0], starts[1], ends[1])
-    text_of_a = np.repeat(np.arange(len(a)), counts[0])
-    pairs = ids[0][in_a] << 32 | ids[1][in_b]
+    texts = len(counts[0])
+    text_of_a = np.repeat(np.arange(texts), counts[0])
+    pairs = ids[0][in_a].astype(np.int64) << 32 | ids[1][in_b]
     new_group = np.diff(group_a[in_a], prepend=-1) > 0
     marks = (
         (np.diff(in_a, prepend=-1) > 0) * _NEW_A
@@ -170,8 +246,8 @@ def align(a: list[np.ndarray], b: list[np.ndarray], size_a: np.ndarray, size_b:
     per_text = {
         "n_a": counts[0],
         "n_b": counts[1],
-        "n_groups": np.bincount(text_of_link[new_group], minlength=len(a)),
-        "n_links": np.bincount(text_of_link, minlength=len(a)),
+        "n_groups": np.bincount(text_of_link[new_group], minlength=texts),
+        "n_links": np.bincount(text_of_link, minlength=texts),
     }
     return pairs, marks, per_text
 
@@ -210,7 +286,7 @@ def align_tokens(
     vocabulary: str,
     model: str,
     text: str = "text",
-    block_bytes: int = 4 << 20,
+    block_bytes: int = 2 << 20,
 ) -> DataFrame:
     """Align the tokens A of ``vocabulary`` (byte-level, a ``tokenizers`` file) with the tokens B of
     ``model`` (a ``sentencepiece`` file), text by text, in place of the column ``text``.
@@ -238,13 +314,11 @@ def align_tokens(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoders(*shared.value)
-        sizes = [np.array([len(x) for x in t], np.int64) for t in (own.bytes_a, own.bytes_b)]
         number = TaskContext.get().partitionId() << 32
         options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
         for batch in batches:
             for piece in words.pieces(batch, text, block_bytes):
-                encoded = list(own.encode(piece[text].to_pylist()))
-                pairs, marks, per_text = align(*map(list, zip(*encoded)), *sizes)
+                pairs, marks, per_text = align(*own.encode(piece[text].to_pylist()), own.sizes)
                 known, at, counts = np.unique(pairs, return_inverse=True, return_counts=True)
                 kept = pa.RecordBatch.from_pydict(
                     {c: piece[c] for c in carried} | {c: pa.array(x) for c, x in per_text.items()}

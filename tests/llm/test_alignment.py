@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -118,13 +119,25 @@ def test_odd_rows(spark, libraries):
     assert align_tokens(frame.limit(0), VOCABULARY, MODEL).count() == 0
 
 
-def test_long_texts_are_cut_where_encodings_allow(libraries, monkeypatch):
-    monkeypatch.setattr(token_alignment, "_PART", 50)
+def test_encodings_by_chunks_are_those_of_whole_texts(libraries, monkeypatch):
     own = Encoders(open(VOCABULARY, encoding="utf-8").read(), open(MODEL, "rb").read())
-    texts = ["word  and\n more; don't \t stop été 你好 x\r\n y" * 20, "z" * 500, "a b" * 400, None, "▁ " * 99]
-    for text, (a, b) in zip(texts, own.encode(texts)):
-        wanted = [[i for i, *_ in side] for side in tokens(libraries, text)]
-        assert [a.tolist(), b.tolist()] == wanted
+    rng = random.Random(1)
+    bits = [
+        " ", "  ", "\n", "\r\n", "\t", "\x0b", "\x0c", "\x1c", "\xa0", "\u3000", "\u2028", "\u200b", ";", "{", "don't",
+        "'s", "it", "é", "你好", "12", "▁", "The", "e\u0301", "🙂", "<|endoftext|>", "<s>", "!!", "\x00", "-x-", "\r", "\ufeff",
+    ]
+    texts = ["word  and\n more; don't \t stop été 你好 x\r\n y" * 20, "z" * 500, "a b" * 400, None, "▁ " * 99, *ODD]
+    texts += ["".join(rng.choices(bits, k=rng.randrange(1, 14))) for _ in range(4000)]
+    for run, held in ((token_alignment._RUN, token_alignment._MOST_HELD), (40, 500)):
+        monkeypatch.setattr(token_alignment, "_RUN", run)
+        monkeypatch.setattr(token_alignment, "_MOST_HELD", held)
+        for at in range(0, len(texts), 50):
+            some = texts[at : at + 50]
+            ids, counts = own.encode(some)
+            for side in (0, 1):
+                split = np.split(ids[side], np.cumsum(counts[side])[:-1])
+                for text, found in zip(some, split):
+                    assert found.tolist() == [i for i, *_ in tokens(libraries, text)[side]], repr(text)
 
 
 def test_groups_and_overlaps_of_intervals():
