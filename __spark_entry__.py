@@ -12,10 +12,11 @@ from dispatchlens import jobs, schemas
 from dispatchlens.operators import lifecycle, market, motion, quality, sales, sketches
 from dispatchlens.operators.couriers import session_finals
 from dispatchlens.operators.orders import in_status
+from dispatchlens.plans import rollups
 from dispatchlens.plans.catalog import ANALYTICS, REPORTS
 from dispatchlens.session import new_run_folder, prepare
 from dispatchlens.sources import files
-from dispatchlens.streaming import late, stateful, tracks
+from dispatchlens.streaming import incremental, late, stateful, tracks
 from dispatchlens.streaming.replay import FLUSH_ID, Replay
 from oracle import feeds as fixture
 from oracle.queries import ORACLES
@@ -178,6 +179,22 @@ def _stream_promises(replay: Replay) -> DataFrame:
     return lifecycle.promise_accuracy(stored)
 
 
+def _kept_report(source: str, parts, keys: tuple[str, ...], report) -> Query:
+    """A report over partial sums that a stream keeps; every batch comes twice, as after a failure."""
+
+    def run(replay: Replay) -> DataFrame:
+        sums = incremental.PartialSums(replay.spark, f"{replay.folder}/sums", parts, keys, fold_every=3)
+
+        def merge_twice(rows: DataFrame, batch: int) -> None:
+            sums.merge(rows, batch)
+            sums.merge(rows, batch)
+
+        replay.merge(ANALYTICS[source]({"orders": replay.orders()}), merge_twice, source)
+        return report(sums.read())
+
+    return _on_stream(run)
+
+
 def _late_rows(spark: SparkSession, tables: str) -> DataFrame:
     """Both feeds in the order in which they came, cut on some days while events go on."""
     session = prepare(spark)
@@ -269,6 +286,12 @@ def queries() -> dict[str, Query]:
         "x_ratings": _on_feeds(lambda f: sales.restaurant_ratings(f.orders())),
         "x_step_durations": _on_feeds(lambda f: lifecycle.step_durations(f.orders())),
         "stream_dedup": _on_stream(_stream_dedup),
+        "stream_dash_order_kpis": _kept_report(
+            "uc1_order_volume", rollups.order_parts, (), rollups.order_kpis
+        ),
+        "stream_dash_revenue_by_zone": _kept_report(
+            "uc11_order_value", rollups.revenue_parts, ("zone_id",), rollups.revenue_from_parts
+        ),
         "stream_late_rows": _late_rows,
         "stream_location_jumps": _on_stream(
             lambda replay: replay.run(tracks.jumps_stream(replay.couriers()), "jumps")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..dimensions import VEHICLE_MAX_KMH
-from ..functions.domain import haversine_km, lookup, zone_at
+from ..dimensions import VEHICLE_MAX_KMH, ZONES
+from ..functions.boxes import BOX, box_of_points
+from ..functions.domain import haversine_km, lookup
 from ..functions.neighbours import with_neighbours
 from .orders import originals
 
@@ -125,7 +126,22 @@ def anomaly_label_score(couriers: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(jump, speed)))
 
 
-def zones_of_pings(couriers: DataFrame) -> DataFrame:
-    """Pings by the zone they state and the zone their position lies in."""
-    located = zone_at(F.col("latitude"), F.col("longitude")).alias("located_zone")
-    return couriers.groupBy("zone_id", located).agg(F.count("*").alias("pings"))
+def listed_zones(spark: SparkSession) -> DataFrame:
+    """The listed zones as a table of boxes; of two that hold a point the first counts."""
+    rows = [(*zone, rank) for rank, zone in enumerate(ZONES)]
+    return spark.createDataFrame(rows, "zone_id string, " + ", ".join(f"{c} double" for c in BOX) + ", rank int")
+
+
+def zones_of_pings(couriers: DataFrame, zones: DataFrame | None = None) -> DataFrame:
+    """Pings by the zone they state and the zone their position lies in.
+
+    ``zones``: ``zone_id``, the edges of its box and its ``rank``, in any number; the listed ones if not
+    given.  Pings of one place and
+    stated zone are counted before they meet the boxes.
+    """
+    at = F.col("latitude").alias("lat"), F.col("longitude").alias("lon")
+    places = couriers.groupBy(F.col("zone_id"), *at).agg(F.count("*").alias("n"))
+    zones = listed_zones(couriers.sparkSession) if zones is None else zones
+    boxes = zones.withColumnRenamed("zone_id", "located_zone")
+    found = box_of_points(places, boxes, "located_zone")
+    return found.groupBy("zone_id", "located_zone").agg(F.sum("n").alias("pings"))

@@ -39,29 +39,30 @@ def _total(name: str) -> Column:
     return F.sum(name).alias(name)
 
 
-def _mean_eur(name: str) -> Column:
-    """Mean of amounts with two decimals, rounded to two."""
-    return F.rint(F.sum(scaled(F.col(name))) / F.count(name)) / 100
-
-
 def _sum_or_zero(name: str) -> Column:
     return F.coalesce(F.sum(name), F.lit(0)).alias(name)
 
 
-def _zone_means(name: str) -> list[Column]:
-    """Mean of a column in each listed zone, and in all others together."""
+def zones_at_hand(rows: DataFrame, most: int = 500) -> list[str]:
+    """The listed zones, then those that the rows hold besides, by name; at most so many of the latter."""
+    zone = F.col("zone_id")
+    others = rows.filter(~zone.isin(*ZONE_IDS)).select(zone).distinct().orderBy(zone).limit(most)
+    return [*ZONE_IDS, *(row.zone_id for row in others.collect())]
+
+
+def _zone_means(name: str, zones: list[str]) -> list[Column]:
+    """Mean of a column in each zone, and in all that are not listed together."""
     zone = F.col("zone_id")
-    listed = [F.avg(F.when(zone == z, F.col(name))).alias(z) for z in ZONE_IDS]
-    return [*listed, F.avg(F.when(~zone.isin(*ZONE_IDS), F.col(name))).alias("other_zones")]
+    each = [F.avg(F.when(zone == z, F.col(name))).alias(z) for z in zones]
+    return [*each, F.avg(F.when(~zone.isin(*ZONE_IDS), F.col(name))).alias("other_zones")]
 
 
 # --- order volume ------------------------------------------------------------
 
 
 def order_kpis(volume: DataFrame) -> DataFrame:
-    sums = volume.agg(_sum_or_zero("total_orders"), _sum_or_zero("cancelled_orders"))
     rate = percent(F.col("cancelled_orders"), F.col("total_orders"))
-    return sums.withColumn("cancellation_rate_pct", rate)
+    return order_parts(volume).withColumn("cancellation_rate_pct", rate)
 
 
 def orders_by_zone(volume: DataFrame) -> DataFrame:
@@ -80,14 +81,35 @@ def _revenue_cents() -> Column:
     return F.sum(scaled(F.col("total_revenue_eur")))
 
 
-def revenue_by_zone(value: DataFrame) -> DataFrame:
+def revenue_parts(value: DataFrame) -> DataFrame:
+    """Sums per zone that add up over any parts of the result table."""
     return _by(value, "zone_id").agg(
         _total("order_count"),
-        _mean_eur("avg_order_eur").alias("avg_order_eur"),
-        (_revenue_cents() / 100).alias("total_revenue_eur"),
+        F.sum(scaled(F.col("avg_order_eur"))).alias("mean_cents"),
+        F.count("avg_order_eur").alias("windows"),
+        _revenue_cents().alias("revenue_cents"),
     )
 
 
+def revenue_from_parts(parts: DataFrame) -> DataFrame:
+    """The mean over windows of their means, rounded to cents, and totals per zone."""
+    return parts.select(
+        "zone_id",
+        "order_count",
+        (F.rint(F.col("mean_cents") / F.col("windows")) / 100).alias("avg_order_eur"),
+        (F.col("revenue_cents") / 100).alias("total_revenue_eur"),
+    )
+
+
+def revenue_by_zone(value: DataFrame) -> DataFrame:
+    return revenue_from_parts(revenue_parts(value))
+
+
+def order_parts(volume: DataFrame) -> DataFrame:
+    """Sums that add up over any parts of the result table; no rows give one row of zeros."""
+    return volume.agg(_sum_or_zero("total_orders"), _sum_or_zero("cancelled_orders"))
+
+
 def revenue_kpis(value: DataFrame) -> DataFrame:
     """Totals, and the mean over zones of the rounded zone means."""
     return revenue_by_zone(value).agg(
@@ -147,10 +169,11 @@ def supply_latest(balance: DataFrame) -> DataFrame:
 
 
 def ratio_pivot(balance: DataFrame) -> DataFrame:
-    """Mean demand/supply ratio, one column per listed zone and one for all others."""
+    """Mean demand/supply ratio, a column for each listed zone and each other one at hand, and one for
+    all that are not listed together."""
     return (
         _by(balance, "window_start")
-        .agg(*_zone_means("demand_supply_ratio"))
+        .agg(*_zone_means("demand_supply_ratio", zones_at_hand(balance)))
         .orderBy("window_start")
     )
 
@@ -228,14 +251,14 @@ def eta_kpis(promises: DataFrame) -> DataFrame:
 
 
 def eta_pivot(promises: DataFrame) -> DataFrame:
-    """Mean promise, weather by zone, in the fixed order of weather; one column for all zones
-    that are not listed."""
+    """Mean promise, weather by zone, in the fixed order of weather; zones as in ``ratio_pivot``."""
+    zones = zones_at_hand(promises)
     return (
         _eta_by_zone_and_weather(promises)
         .filter(F.col("weather_condition").isin(*WEATHER_CONDITIONS))
         .groupBy("weather_condition")
-        .agg(*_zone_means("avg_eta_sec"))
-        .dropna("all", subset=[*ZONE_IDS, "other_zones"])
+        .agg(*_zone_means("avg_eta_sec", zones))
+        .dropna("all", subset=[f"`{z}`" for z in zones] + ["other_zones"])
         .orderBy(ordinal(F.col("weather_condition"), WEATHER_CONDITIONS))
     )
 

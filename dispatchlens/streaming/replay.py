@@ -9,7 +9,7 @@ open, so they never show in a windowed result.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.catalog import ANALYTICS
 from ..schemas import COURIER_FEED, ORDER_FEED, as_nullable, result_schema
 from ..session import new_run_folder, streaming_session
+from .incremental import merge_stream
 from .runner import finish_all, parquet_sink
 
 FLUSH_ID = "__flush__"
@@ -143,6 +144,13 @@ class Replay:
         self.progress = list(query.recentProgress)
         return self.stored(results, name)
 
+    def merge(self, results: DataFrame, merge: Callable[[DataFrame, int], None], name: str) -> None:
+        """Run a streaming result to its end, batch by batch, into ``merge``."""
+        self._flush()
+        query = merge_stream(results, merge, name, f"{self.folder}/checkpoints", available_now=True)
+        finish_all([query])
+        self.progress = list(query.recentProgress)
+
     def data_batches(self) -> int:
         """Batches of the last run that had rows."""
         return sum(p["numInputRows"] > 0 for p in self.progress)

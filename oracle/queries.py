@@ -103,7 +103,9 @@ QUALIFY row_number() OVER (PARTITION BY zone_id ORDER BY window_start DESC) = 1"
 _oracle(
     "dash_ratio_pivot",
     "SELECT window_start, "
-    + ", ".join(f"avg(demand_supply_ratio) FILTER (WHERE zone_id = '{z}') AS {z}" for z in _ZONES)
+    + ", ".join(
+        f"avg(demand_supply_ratio) FILTER (WHERE zone_id = '{z}') AS {z}" for z in (*_ZONES, "zone_airport")
+    )
     + f", avg(demand_supply_ratio) FILTER (WHERE zone_id NOT IN {_ZONES}) AS other_zones"
     " FROM uc9_supply_demand GROUP BY window_start ORDER BY window_start",
     "uc9_supply_demand",
@@ -168,7 +170,7 @@ FROM uc12_eta_accuracy""",
 _oracle(
     "dash_eta_pivot",
     "SELECT weather_condition, "
-    + ", ".join(f"avg(avg_eta_sec) FILTER (WHERE zone_id = '{z}') AS {z}" for z in _ZONES)
+    + ", ".join(f"avg(avg_eta_sec) FILTER (WHERE zone_id = '{z}') AS {z}" for z in (*_ZONES, "zone_airport"))
     + f", avg(avg_eta_sec) FILTER (WHERE zone_id NOT IN {_ZONES}) AS other_zones"
     f" FROM ({_ETA}) WHERE weather_condition IN {_WEATHER} GROUP BY weather_condition",
     "uc12_eta_accuracy",
@@ -663,3 +665,5 @@ GROUP BY ALL""",
     "cuts",
 )
 ORACLES["stream_location_jumps"] = ORACLES["q_location_jumps"]
+for _name in ("dash_order_kpis", "dash_revenue_by_zone"):
+    ORACLES[f"stream_{_name}"] = ORACLES[_name]

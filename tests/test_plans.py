@@ -20,8 +20,10 @@ EXCHANGES = {
 }
 STORED = ("feed_orders", "feed_couriers")
 BATCH = sorted(n for n in QUERIES if not n.startswith(("stream_", "io_")) and n not in STORED)
-#: custom state with timers has no other form; late rows run several streams at once
-OWN_FORM = ("stream_location_jumps", "stream_late_rows")
+#: custom state with timers has no other form; the others have sinks of their own
+OWN_FORM = (
+    "stream_location_jumps", "stream_late_rows", "stream_dash_order_kpis", "stream_dash_revenue_by_zone",
+)
 STREAMS = sorted(n for n in QUERIES if n.startswith("stream_") and n not in OWN_FORM)
 
 
