@@ -16,7 +16,7 @@ from dispatchlens.plans import rollups
 from dispatchlens.plans.catalog import ANALYTICS, REPORTS
 from dispatchlens.session import new_run_folder, prepare
 from dispatchlens.sources import files
-from dispatchlens.streaming import incremental, late, stateful, tracks
+from dispatchlens.streaming import audit, incremental, late, stateful, tracks
 from dispatchlens.streaming.replay import FLUSH_ID, Replay
 from oracle import feeds as fixture
 from oracle.queries import ORACLES
@@ -195,6 +195,24 @@ def _kept_report(source: str, parts, keys: tuple[str, ...], report) -> Query:
     return _on_stream(run)
 
 
+def _state_audit(spark: SparkSession, tables: str) -> DataFrame:
+    """State that streams hold while their feeds go on: the join of two feeds, chained aggregations,
+    and promises that wait for their delivery."""
+    session = prepare(spark)
+    found = None
+    for query in ("uc9_supply_demand", "uc13_courier_productivity", "x_eta_accuracy"):
+        replay = Replay(session, fixture.feeds(session, tables), files=4, flush=False)
+        if query in ANALYTICS:
+            replay.analytic(query)
+        else:
+            replay.run(stateful.promise_errors_stream(replay.orders(), replay.orders()), query)
+        watermark = audit.watermark_micros(session, replay.progress)
+        rows = audit.state_audit(session, replay.checkpoint(query), watermark)
+        rows = rows.select(F.lit(query).alias("query"), "*", F.timestamp_micros(F.lit(watermark)).alias("watermark"))
+        found = found.unionByName(rows) if found else rows
+    return found
+
+
 def _late_rows(spark: SparkSession, tables: str) -> DataFrame:
     """Both feeds in the order in which they came, cut on some days while events go on."""
     session = prepare(spark)
@@ -293,6 +311,7 @@ def queries() -> dict[str, Query]:
             "uc11_order_value", rollups.revenue_parts, ("zone_id",), rollups.revenue_from_parts
         ),
         "stream_late_rows": _late_rows,
+        "stream_state_audit": _state_audit,
         "stream_location_jumps": _on_stream(
             lambda replay: replay.run(tracks.jumps_stream(replay.couriers()), "jumps")
         ),

@@ -62,7 +62,8 @@ class Replay:
 
     ``slices``: data batches at least; ``order_by``: time that tells which slice a row belongs to;
     ``files``: files per slice, which are read together; ``cuts``: the times between slices in
-    microseconds, in their order, instead of quantiles; every slice is a batch then, also an empty one.
+    microseconds, in their order, instead of quantiles; every slice is a batch then, also an empty one;
+    ``flush``: whether all windows are closed in the end, or stay open as on a stream that goes on.
     """
 
     def __init__(
@@ -74,9 +75,10 @@ class Replay:
         files: int = 1,
         rocksdb: bool = True,
         cuts: Sequence[int] | None = None,
+        flush: bool = True,
     ):
         self.spark, self.feeds = spark, feeds
-        self.cuts = cuts
+        self.cuts, self.flush = cuts, flush
         slices = slices if cuts is None else len(cuts) + 1
         self.slices, self.order_by, self.files = slices, order_by, files
         self.session = streaming_session(spark, rocksdb)
@@ -110,6 +112,8 @@ class Replay:
 
     def _flush(self) -> None:
         """The flush rows of the feeds in use, at one time after the last of all."""
+        if not self.flush:
+            return
         micros = max(self._latest.values(), default=0) + _FLUSH_AFTER
         for name in self._latest.keys() - self._flushed:
             self._append(name, _flush_rows(self.spark, name, micros).select(*_FEEDS[name][0].fieldNames()))
@@ -151,6 +155,9 @@ class Replay:
         finish_all([query])
         self.progress = list(query.recentProgress)
 
+    def checkpoint(self, name: str) -> str:
+        return f"{self.folder}/checkpoints/{name}"
+
     def data_batches(self) -> int:
         """Batches of the last run that had rows."""
         return sum(p["numInputRows"] > 0 for p in self.progress)

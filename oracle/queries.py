@@ -667,3 +667,67 @@ GROUP BY ALL""",
 ORACLES["stream_location_jumps"] = ORACLES["q_location_jumps"]
 for _name in ("dash_order_kpis", "dash_revenue_by_zone"):
     ORACLES[f"stream_{_name}"] = ORACLES[_name]
+
+# What streams hold while their feeds go on: open windows, and orders whose delivery may still come. The
+# watermark is the latest event of each input less its lateness; of two inputs the lower one.
+_PLACED = f"(SELECT order_id, ms FROM {_INPUTS['uc12_eta_accuracy', 'orders']})"
+_DONE = f"(SELECT order_id, ms FROM {_INPUTS['uc4_weather', 'orders']} AND tenths IS NULL)"
+_DEMAND = f"(SELECT * FROM {_INPUTS['uc9_supply_demand', 'orders']})"
+_IDLE = f"(SELECT * FROM {_INPUTS['uc9_supply_demand', 'couriers']})"
+_ACTIVE = f"(SELECT * FROM {_INPUTS['uc13_courier_productivity', 'couriers']})"
+
+
+def _held(query: str, operator: int, name: str, side: str, rows: str, expired: str = "0") -> str:
+    return (
+        f"SELECT '{query}' AS query, cast({operator} AS bigint) AS operator_id, '{name}' AS operator, "
+        f"cast({side} AS varchar) AS side, {rows} AS state_rows, cast({expired} AS bigint) AS expired_rows, "
+        f"make_timestamp((SELECT {query} FROM marks) * 1000) AS watermark"
+    )
+
+
+def _open_windows(query: str, source: str, *keys: str) -> str:
+    minute = "ms // 60000 AS minute"
+    return (
+        f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join((minute, *keys))} FROM {source}) "
+        f"WHERE (minute + 1) * 60000 > (SELECT {query} FROM marks))"
+    )
+
+
+def _count(source: str, condition: str) -> str:
+    mark = "(SELECT x_eta_accuracy FROM marks)"
+    return f"(SELECT count(DISTINCT order_id) FROM {source} WHERE {condition.format(mark=mark)})"
+
+
+_SAVE, _ONCE, _JOIN = "stateStoreSave", "dedupeWithinWatermark", "symmetricHashJoin"
+_oracle(
+    "stream_state_audit",
+    f"""SELECT * FROM (WITH marks AS (SELECT
+    (SELECT max(ms) FROM {_ACTIVE}) - 30000 AS uc13_courier_productivity,
+    least((SELECT max(ms) FROM {_DEMAND}), (SELECT max(ms) FROM {_IDLE})) - 30000 AS uc9_supply_demand,
+    least((SELECT max(ms) FROM {_PLACED}), (SELECT max(ms) FROM {_DONE})) - 305000 AS x_eta_accuracy) """
+    + " UNION ALL ".join(
+        [
+            _held("uc13_courier_productivity", 0, _SAVE, "NULL", "0"),
+            _held("uc13_courier_productivity", 1, _SAVE, "NULL", _open_windows(
+                "uc13_courier_productivity", _ACTIVE, "zone_id", "vehicle_type", "session_id")),
+            _held("uc9_supply_demand", 0, _JOIN, "'left'", "0"),
+            _held("uc9_supply_demand", 0, _JOIN, "'right'", "0"),
+            _held("uc9_supply_demand", 1, _SAVE, "NULL", _open_windows("uc9_supply_demand", _DEMAND, "zone_id")),
+            _held("uc9_supply_demand", 2, _SAVE, "NULL", "0"),
+            _held("uc9_supply_demand", 3, _SAVE, "NULL", _open_windows(
+                "uc9_supply_demand", _IDLE, "zone_id", "courier_id")),
+            _held("x_eta_accuracy", 0, _JOIN, "'left'",
+                  _count(_PLACED, "ms <= {mark} AND ms + 6 * 3600000 >= {mark}"), "NULL"),
+            _held("x_eta_accuracy", 0, _JOIN, "'right'", "0", "NULL"),
+            _held("x_eta_accuracy", 1, _ONCE, "NULL",
+                  _count(_PLACED, "ms <= {mark} AND ms + 305000 > {mark}"), "NULL"),
+            _held("x_eta_accuracy", 2, _SAVE, "NULL", _count(_PLACED, "ms > {mark}"), "NULL"),
+            _held("x_eta_accuracy", 3, _ONCE, "NULL",
+                  _count(_DONE, "ms <= {mark} AND ms + 305000 > {mark}"), "NULL"),
+            _held("x_eta_accuracy", 4, _SAVE, "NULL", _count(_DONE, "ms > {mark}"), "NULL"),
+        ]
+    )
+    + ")",
+    "order_feed",
+    "courier_feed",
+)

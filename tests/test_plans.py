@@ -23,6 +23,7 @@ BATCH = sorted(n for n in QUERIES if not n.startswith(("stream_", "io_")) and n
 #: custom state with timers has no other form; the others have sinks of their own
 OWN_FORM = (
     "stream_location_jumps", "stream_late_rows", "stream_dash_order_kpis", "stream_dash_revenue_by_zone",
+    "stream_state_audit",
 )
 STREAMS = sorted(n for n in QUERIES if n.startswith("stream_") and n not in OWN_FORM)
 
