@@ -1,3 +1,5 @@
+import time
+
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -52,6 +54,44 @@ def test_counts_of_all_prefixes(counter, library, text):
         assert counter.fitting(text, limit) == fits
 
 
+LONG = {
+    "chinese": "你好世界的人在中国上大学学习汉语",
+    "thai": "ภาษาไทยเป็นภาษาที่มีระดับเสียงของคำแน่นอน",
+    "mixed": "ÀéЖ中12'sθ🙂한국어'll",
+    "decomposed": "e\u0301a\u0300o\u0308คำ",
+    "jamo": "\u1112\u1161\u11ab중",
+    "marks": "中<|endoftext|>文",
+}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_prefixes_of_texts_without_blanks(counter, library, name):
+    text = (LONG[name] * 40)[:400]
+    wanted = counts(library, [text[:i] for i in range(len(text) + 1)])
+    assert counter.prefixes(text) == wanted
+    for limit in (0, 3, 50, 77, 120, wanted[-1] - 1):
+        assert counter.fitting(text, limit) == max(i for i, n in enumerate(wanted) if n <= limit)
+
+
+@pytest.mark.parametrize("name", [*LONG, "latin", "digits", "signs"])
+def test_long_texts_without_blanks_take_time_in_proportion(counter, library, name):
+    unit = LONG.get(name) or {"latin": "abcdefgh", "digits": "7", "signs": "#-="}[name]
+    text = (unit * (200_000 // len(unit) + 1))[:200_000]
+    start = time.time()
+    n = counter.count(text)
+    fits = counter.fitting(text, 2048)
+    spent = time.time() - start
+    assert spent < 20, spent
+    assert n == counts(library, [text])[0]
+    around = counts(library, [text[:i] for i in range(fits, fits + 60)])
+    assert around[0] <= 2048 and min(around[1:]) > 2048
+
+
+def test_workers_keep_short_words_only(counter):
+    counter.count("x" * 5_000 + " " + "中" * 5_000 + " short")
+    assert max(map(len, counter.words)) <= 64 and max(map(len, counter.pieces)) <= 64
+
+
 def test_count_tokens_odd_rows(spark, library):
     rows = [(None, None), (1, ""), (1, ""), (2, "word " * 30_000), *enumerate(HARD)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
