@@ -19,6 +19,7 @@ import html
 import itertools
 import re
 import string
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -140,17 +141,20 @@ _CLOSED_BY = {
 }
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
     tag: str
-    path: str
+    path: int  # number of the path of block elements to it
+    depth: int  # block elements on that path
     place: int  # number of the element in page order
     up: "Element | None"
     why: str = ""  # "tag" or "head" if the element is no part of an article
     named: int = 0  # _PART, _WHOLE or _FOREIGN if a name says so
-    marked: tuple["Element", ...] = ()  # the elements so named that it is in, itself included
+    marked: "Mark | None" = None  # the elements so named that it is in, itself included
     heading: bool = False
     link: bool = False
+    article: bool = False  # whether it is, or is in, an article or the main element
+    post: "Element | None" = None  # the innermost article without such a name that it is or is in
     text: int = 0  # characters of content in it
 
     def line(self) -> Iterator["Element"]:
@@ -160,6 +164,20 @@ class Element:
             at = at.up
 
 
+@dataclass(eq=False)
+class Mark:
+    """A named element, and the named one around it; with sums over the blocks in it."""
+
+    element: Element
+    around: "Mark | None"
+    top: int  # place of the outermost element of these
+    within: list["Mark"] = field(default_factory=list)
+    value: float = 0.0  # score of all blocks in it
+    inside: float = 0.0  # of those in an article in it
+    # of the blocks that no named element in it holds: score, characters, whether in an article
+    own: list = field(default_factory=lambda: [0.0, 0, False])
+
+
 @dataclass
 class Block:
     inside: Element
@@ -168,10 +186,6 @@ class Block:
     text: str = ""
 
 
-def _in_article(up: Element) -> bool:
-    return any(e.tag in ("article", "main") for e in up.line())
-
-
 @functools.lru_cache(1 << 14)
 def _named(bits: tuple[str, ...], post: bool, article: bool) -> int:
     """What the parts of a word say that is no article, or 0."""
@@ -196,7 +210,7 @@ def _named(bits: tuple[str, ...], post: bool, article: bool) -> int:
 def _purpose(tag: str, rest: str, up: Element) -> tuple[str, int]:
     """Why an element is no part of an article by its tag or role, and what its names say."""
     if tag in OUTSIDE:
-        return "head" if tag == "header" and _in_article(up) else "tag", 0
+        return "head" if tag == "header" and up.article else "tag", 0
     if not rest or tag in ("html", "body", "main"):
         return "", 0
     named, article = 0, tag == "article"
@@ -212,7 +226,7 @@ def _purpose(tag: str, rest: str, up: Element) -> tuple[str, int]:
                 if not bits or bits[0] in _NOT_ITSELF:
                     continue
                 if not named and not article and bits[-1] == "header":
-                    if bits[0] in _ARTICLE or _in_article(up):
+                    if bits[0] in _ARTICLE or up.article:
                         return "head", 0
                 named = max(named, _named(tuple(bits), post, article))
     return "", named
@@ -221,8 +235,11 @@ def _purpose(tag: str, rest: str, up: Element) -> tuple[str, int]:
 def blocks(page: str) -> list[Block]:
     """The blocks of a page with text, in order; character references are decoded, white space
     is one blank."""
-    root = Element("", "", 0, None)
+    root = Element("", 0, 0, 0, None)
     stack, out, at, count = [root], [Block(root)], 0, 0
+    # paths by the path around them and a tag; open elements by tag, so that none is looked for in vain
+    paths: dict[tuple[int, str], int] = {}
+    opened: Counter[str] = Counter()
 
     def put(raw: str) -> None:
         if not raw:
@@ -230,10 +247,11 @@ def blocks(page: str) -> list[Block]:
         block = out[-1]
         text = html.unescape(raw) if "&" in raw else raw
         block.parts.append(text)
-        if any(e.link for e in stack):
+        if opened["a"]:
             block.linked += len(text.strip())
 
     def close(upto: int) -> None:
+        opened.subtract(e.tag for e in stack[upto:])
         del stack[upto:]
 
     def new_block() -> None:
@@ -253,7 +271,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if found["end"]:
             tag = found["end"].lower()
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[i].tag == tag:
                     close(i)
                     break
@@ -281,14 +299,14 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in _CLOSED_BY:
             closes, scope = _CLOSED_BY[tag]
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if any(opened[t] for t in closes) else ():
                 if stack[i].tag in scope:
                     break
                 if stack[i].tag in closes:
                     close(i)
                     break
         elif tag in BLOCKS:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened["p"] else ():
                 if stack[i].tag == "p":
                     close(i)
                     break
@@ -296,26 +314,32 @@ def blocks(page: str) -> list[Block]:
                     break
         if tag in ("main", "article"):
             # neither begins inside a menu, header or form that somebody forgot to close
-            for i in range(1, len(stack)):
-                if stack[i].tag in ("nav", "header", "form", "menu", "head"):
+            around = ("nav", "header", "form", "menu", "head")
+            for i in range(1, len(stack)) if any(opened[t] for t in around) else ():
+                if stack[i].tag in around:
                     close(i)
                     break
         up = stack[-1]
         count += 1
-        path = f"{up.path}/{tag}" if tag in BLOCKS else up.path
-        own = Element(tag, path, count, up)
+        path, depth = up.path, up.depth
+        if tag in BLOCKS:
+            path, depth = paths.setdefault((up.path, tag), len(paths) + 1), depth + 1
+        own = Element(tag, path, depth, count, up)
         own.why, own.marked = up.why, up.marked
         if up.why != "tag":
             why, own.named = _purpose(tag, rest, up)
             own.why = why or up.why
         if tag == "main":  # the names spoke of the layout around it
-            own.marked = ()
+            own.marked = None
         elif own.named:
-            own.marked = (*up.marked, own)
+            own.marked = Mark(own, up.marked, up.marked.top if up.marked else count)
+        own.article = up.article or tag in ("article", "main")
+        own.post = own if tag == "article" and not own.named else up.post
         own.heading = up.heading or tag in HEADINGS
         own.link = tag == "a"
         if not rest.endswith("/") or tag in BLOCKS:
             stack.append(own)
+            opened[tag] += 1
         if tag in BLOCKS:
             new_block()
     kept = []
@@ -329,7 +353,7 @@ def blocks(page: str) -> list[Block]:
 def path_scores(found: list[Block]) -> np.ndarray:
     """The fused score of each block's path: mean text length and mean punctuation, both smoothed
     over neighbouring blocks, multiplied.  Text in links does not count."""
-    sums: dict[str, list[float]] = {}
+    sums: dict[int, list[float]] = {}
     for b in found:
         own = sums.setdefault(b.inside.path, [0.0, 0.0, 0.0])
         bare = len(b.text.translate(_PUNCTUATION))
@@ -346,6 +370,17 @@ def path_scores(found: list[Block]) -> np.ndarray:
     return fused
 
 
+def _marks(found: list[Block]) -> list[Mark]:
+    """The marks that the blocks are in, each after those around it."""
+    known: dict[int, Mark] = {}
+    for b in found:
+        mark = b.inside.marked
+        while mark and mark.element.place not in known:
+            known[mark.element.place] = mark
+            mark = mark.around
+    return [known[place] for place in sorted(known)]
+
+
 def _wrongly_named(found: list[Block]) -> set[int]:
     """The places of elements that hold most of the score, so that their names don't count.
 
@@ -354,33 +389,42 @@ def _wrongly_named(found: list[Block]) -> set[int]:
     others come back only where there is no other text.  Outer elements come first; names in them
     count on their own.
     """
-    if not any(b.inside.marked for b in found):
+    marks = _marks(found)
+    if not marks:
         return set()
     scores = path_scores(found)
-    values = [s if b.linked * 2 < len(b.text) else 0.0 for b, s in zip(found, scores)]
-    cleared: set[int] = set()
+    free = [0.0, 0, False]
+    for b, score in zip(found, scores):
+        value, mark = score if b.linked * 2 < len(b.text) else 0.0, b.inside.marked
+        own = mark.own if mark else free
+        own[0] += value
+        own[1] += len(b.text) - b.linked if value else 0
+        own[2] = own[2] or (value > 0 and b.inside.article)
+        if mark:
+            mark.value += value
+            post = b.inside.post
+            if post and post.marked and post.place > mark.top:
+                post.marked.inside += value
+    for mark in reversed(marks):
+        if mark.around:
+            mark.around.within.append(mark)
+            mark.around.value += mark.value
+            mark.around.inside += mark.inside
+    # the outermost marks whose names count
+    outer, cleared = [mark for mark in marks if not mark.around], set()
     while True:
-        free, text, article = 0.0, 0, False
-        held: dict[int, list] = {}
-        for b, value in zip(found, values):
-            outer = next((e for e in b.inside.marked if e.place not in cleared), None)
-            if outer is None:
-                free, text = free + value, text + (len(b.text) - b.linked if value else 0)
-                article = article or (value > 0 and _in_article(b.inside))
-                continue
-            own = held.setdefault(outer.place, [outer, 0.0, 0.0])
-            own[1] += value
-            inner = itertools.takewhile(lambda e: e is not outer, b.inside.line())
-            if any(e.tag == "article" and not e.named for e in inner):
-                own[2] += value
-        for e, own, inside in sorted(held.values(), key=lambda x: (x[0].named, -x[1], x[0].place)):
-            around = e.named == _WHOLE and 2 * inside > own
-            if (e.named == _PART or around) and not article:
-                most = own > _MOST * (free + own)
+        for mark in sorted(outer, key=lambda m: (m.element.named, -m.value, m.element.place)):
+            named, value = mark.element.named, mark.value
+            around = named == _WHOLE and 2 * mark.inside > value
+            if (named == _PART or around) and not free[2]:
+                most = value > _MOST * (free[0] + value)
             else:
-                most = own > _ALL * (free + own) and text < (_SOME_TEXT if e.named == _WHOLE else 1)
+                most = value > _ALL * (free[0] + value) and free[1] < (_SOME_TEXT if named == _WHOLE else 1)
             if most:
-                cleared.add(e.place)
+                cleared.add(mark.element.place)
+                outer.remove(mark)
+                outer += mark.within
+                free = [free[0] + mark.own[0], free[1] + mark.own[1], free[2] or mark.own[2]]
                 break
         else:
             return cleared
@@ -391,7 +435,11 @@ def main_blocks(page: str | None) -> list[str]:
     found = blocks(page or "")
     found = [b for b in found if not b.inside.why or (b.inside.why == "head" and b.inside.heading)]
     cleared = _wrongly_named(found)
-    usable = [b for b in found if all(e.place in cleared for e in b.inside.marked)]
+    counts: dict[int, bool] = {}  # whether a name counts that the element is in
+    for mark in _marks(found):
+        outside = mark.around and counts[mark.around.element.place]
+        counts[mark.element.place] = bool(outside) or mark.element.place not in cleared
+    usable = [b for b in found if not (b.inside.marked and counts[b.inside.marked.element.place])]
     if not usable:
         return []
     scores = path_scores(usable)
@@ -402,24 +450,32 @@ def main_blocks(page: str | None) -> list[str]:
         return []
     elements: dict[int, Element] = {}
     for b in content:
-        for e in b.inside.line():
-            e.text += len(b.text)
+        b.inside.text += len(b.text)
+        for e in itertools.takewhile(lambda e: e.place not in elements, b.inside.line()):
             elements[e.place] = e
+    for place in sorted(elements, reverse=True):  # inner elements come after those around them
+        if elements[place].up:
+            elements[place].up.text += elements[place].text
     # the article with most of the content; else the innermost element with nearly all of it
     named = [e for e in elements.values() if e.tag in ("article", "main") and 2 * e.text >= total]
     if named:
-        holder = min(named, key=lambda e: (-e.text, -e.path.count("/")))
+        holder = min(named, key=lambda e: (-e.text, -e.depth))
         deeper = [e for e in named if e.tag == "article" and 10 * e.text >= 9 * holder.text]
-        holder = max(deeper, key=lambda e: e.path.count("/")) if deeper else holder
+        holder = max(deeper, key=lambda e: e.depth) if deeper else holder
     else:
         tags = (BLOCKS | {""}) - HEADINGS - {"p", "li", "td", "pre"}
         whole = [e for e in elements.values() if 10 * e.text >= 9 * total and e.tag in tags]
-        holder = max(whole, key=lambda e: (e.path.count("/"), -e.place)) if whole else None
+        holder = max(whole, key=lambda e: (e.depth, -e.place)) if whole else None
     loose = holder is None or holder.tag not in ("article", "main")
     lists = ("li", "div", "ul", "section", "td", "")
-    out = []
+    out, held = [], {0: holder is None or holder.up is None}
+    if holder is not None:
+        held[holder.place] = True
     for b in usable:
-        if holder is not None and holder not in b.inside.line():
+        line = list(itertools.takewhile(lambda e: e.place not in held, b.inside.line()))
+        around = line[-1].up if line else b.inside
+        held |= dict.fromkeys((e.place for e in line), held[around.place])
+        if not held[b.inside.place]:
             continue
         # without an element that is the article, lists of links are menus
         if loose and b.linked * 2 >= len(b.text) and b.inside.tag in lists:

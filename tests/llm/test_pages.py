@@ -1,5 +1,7 @@
 import html
 import re
+import time
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,3 +106,20 @@ def test_odd_rows(spark):
     assert len(found) == 6 and texts[3, 19_999].n_blocks == 20_000
     assert [r.main_text for r in found if r.html in (None, "")] == [""] * 3
     assert extract_main_text(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["div", "menu", "b", "li", "p", "a"])
+def test_deep_and_long_pages_take_time_and_memory_in_proportion(name):
+    words = "Text of an article, with commas. " * 30
+    page = {
+        "div": "<div>" * 100_000 + words, "menu": "<div class=menu>" * 100_000 + words, "b": "<b>x " * 100_000,
+        "li": "<div>" * 30_000 + "<li>one, two." * 30_000, "p": "<p>one, two." * 60_000, "a": "<a href=x>y" * 60_000,
+    }[name]
+    tracemalloc.start()
+    start = time.time()
+    found = main_blocks(page)
+    spent, (_, most) = time.time() - start, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert spent < 40 and most < 200 * len(page), (spent, most)
+    if name in ("div", "menu"):
+        assert found == [words.strip()]
