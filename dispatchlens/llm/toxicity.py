@@ -144,9 +144,12 @@ def _words(text: str | None) -> list[str]:
 
 
 def _without_near_copies(texts: DataFrame) -> DataFrame:
-    """One text of those that share the lowest hash of five words, by either of two hashes.
+    """One text of those with the same label that share the lowest hash of five words, by either of
+    two hashes.
 
-    Near copies would each count as evidence for the words they share.
+    Near copies would each count as evidence for the words they share.  Texts of similarity s are
+    taken as near copies with a chance of about 1 - (1 - s)**2, so texts that have only a passage in
+    common may be as well; texts of different labels never are, whatever they share.
     """
 
     def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +181,7 @@ def _without_near_copies(texts: DataFrame) -> DataFrame:
         key = F.when(F.col(mark).isin(0, -1), F.xxhash64("text")).otherwise(F.col(mark))
         rest = [c for c in marked.columns]
         row = F.struct("text", *(c for c in rest if c != "text"))
-        marked = marked.groupBy(key.alias("key")).agg(F.min(row).alias("row")).select("row.*")
+        marked = marked.groupBy("toxic", key.alias("key")).agg(F.min(row).alias("row")).select("row.*")
     return marked.select(*columns)
 
 
@@ -270,8 +273,8 @@ def learn(
 ) -> Model:
     """The model of at most ``sample`` labelled documents, chosen by a hash of the id.
 
-    ``usable``: condition on the id of documents that may be learned from.  Of equal and near copies
-    one counts.  Documents without text or label teach nothing; without a label of each kind
+    ``usable``: condition on the id of documents that may be learned from.  Of equal texts one
+    counts, as toxic if any is labelled so, and of near copies with one label one.  Documents without text or label teach nothing; without a label of each kind
     every text gets the same low score.  The two halves of the sample get weights from each other
     to fit the curve, so that it is not fitted to words that the weights were learned from.
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from dispatchlens.llm import queries
 from dispatchlens.llm.decontamination import find_benchmark_passages
 from dispatchlens.llm.lm_scoring import score_documents
-from dispatchlens.llm.toxicity import Model, Weights, chance, learn, logistic, score, segments
+from dispatchlens.llm.toxicity import (
+    Model, Weights, _without_near_copies, chance, learn, logistic, score, segments,
+)
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -181,3 +183,12 @@ def test_toxicity_odd_rows(spark):
 def test_model_without_segments_has_the_base_score():
     model = Model(Weights({"bad": 2.0}), 1.0, 0.5, -3.0, 2.0)
     assert model.probability(model.evidence([], 10)) == pytest.approx(1 / (1 + math.exp(3)))
+
+
+def test_rare_toxic_texts_that_share_a_passage_with_clean_ones_are_learned_from(spark):
+    passage = " ".join(f"shared{i}" for i in range(60))
+    rows = [(i, f"{passage} fine words number {i}") for i in range(3)]
+    rows += [(10 + i, f"{passage} vile words number {i}") for i in range(5)]
+    texts = spark.createDataFrame([(t, int(i >= 10)) for i, t in rows], "text string, toxic int")
+    kept = [r.toxic for r in _without_near_copies(texts).collect()]
+    assert sorted(set(kept)) == [0, 1] and len(kept) < 8
