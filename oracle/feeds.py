@@ -249,6 +249,15 @@ def courier_feed(spark: SparkSession, folder: str) -> DataFrame:
     return derive_couriers(read_table(spark, folder, "events"))
 
 
+def _dealt(table: DataFrame) -> DataFrame:
+    """A table of fewer splits than the session has cores, dealt to all of them while it is narrow."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, table.columns[0])
+
+
 def feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Both feeds, by name."""
-    return {"orders": order_feed(spark, folder), "couriers": courier_feed(spark, folder)}
+    """Both feeds, by name, to be written out: a row becomes many events, and all cores make them."""
+    return {
+        "orders": derive_orders(_dealt(read_table(spark, folder, "orders"))),
+        "couriers": derive_couriers(_dealt(read_table(spark, folder, "events"))),
+    }
