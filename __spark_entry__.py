@@ -219,9 +219,10 @@ def _late_rows(spark: SparkSession, tables: str) -> DataFrame:
     feeds = fixture.feeds(session, tables)
     day = F.unix_date(F.to_date("event_timestamp"))
     first, last = feeds["orders"].agg(F.min(day), F.max(day)).first()
-    cuts = [
-        ((first + j * (last - first + 1) // 5) * 1440 + 720 + 37 * j) * 60_000_000 for j in range(1, 5)
-    ] if first is not None else []
+    # two days, each cut twice within minutes
+    minutes = ((1, 757), (1, 761), (2, 831), (2, 835))
+    days = 0 if first is None else last - first + 1
+    cuts = [((first + third * days // 3) * 1440 + m) * 60_000_000 for third, m in minutes if days]
     return late.loss_by_feed(Replay(session, feeds, order_by="ingestion_timestamp", cuts=cuts))
 
 

@@ -215,9 +215,9 @@ _view(
 
 _view(
     "cuts",
-    """SELECT ((first + j * (last - first + 1) // 5) * 1440 + 720 + 37 * j) * 60000 AS cut
+    """SELECT ((first + third * (last - first + 1) // 3) * 1440 + minute) * 60000 AS cut
 FROM (SELECT min(ms) // 86400000 AS first, max(ms) // 86400000 AS last FROM order_feed)
-CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS j)""",
+CROSS JOIN (SELECT unnest([1, 1, 2, 2]) AS third, unnest([757, 761, 831, 835]) AS minute)""",
     "order_feed",
 )
 

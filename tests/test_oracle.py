@@ -31,6 +31,8 @@ def test_checks_find_something(spark, tables):
     assert total("x_eta_accuracy", "unresolved") > 0
     found = QUERIES["q_impossible_durations"](spark, tables).collect()
     assert found and not [r for r in found if 30 <= r.seconds <= 60 and r.to_status == "ACCEPTED"]
+    late = QUERIES["stream_late_rows"](spark, tables).collect()
+    assert sum(r.events_lost for r in late) > 0 and all(r.as_dropped for r in late)
     gaps = QUERIES["q_lifecycle_gaps"](spark, tables)
     kinds = {(r.gap, r.after_end) for r in gaps.select("gap", "after_end").distinct().collect()}
     assert {("SKIPPED_STEP", False), ("STEP_BACK", False), ("REPEATED", False), ("ILLEGAL", True)} <= kinds
