@@ -274,3 +274,23 @@ def test_streaming_width_is_the_callers(spark):
         session = spark.newSession()
         session.conf.set("spark.sql.shuffle.partitions", width)
         assert streaming_session(session).conf.get("spark.sql.shuffle.partitions") == width
+
+
+def test_a_batch_writes_one_file_per_date(session):
+    """Not one per date and shuffle partition."""
+    folder = Folder(session, schemas.ORDER_FEED)
+    folder.add(orders(session, *({"t": 60 * i + DAY * d} for i in range(40) for d in range(3))))
+    folder.add(orders(session, {"t": 9 * DAY}))
+    stored = folder.run(order_volume(folder.stream()))
+    files = [f for f in stored.inputFiles() if "window_date=" in f]
+    # the last window closes a batch after the others of its date
+    assert stored.count() == 120 and len(files) == 4
+
+
+def test_slices_of_few_rows_stay_apart(spark):
+    """A slice of fewer rows than files is filled up, so that no batch reads into the next slice."""
+    rows = [{"t": 0}, *({"t": 1_000 + i} for i in range(50)), {"t": 5_000}]
+    cuts = [1_704_110_400_000_000 + s * 1_000_000 for s in (500, 3_000)]
+    replay = Replay(spark, {"orders": orders(spark, *rows)}, files=4, cuts=cuts)
+    replay.run(replay.orders().select("event_id"), "ids")
+    assert [p["numInputRows"] for p in replay.progress if p["numInputRows"]] == [1, 50, 1, 3]
