@@ -187,3 +187,12 @@ def test_kafka_source_is_reported_missing(spark):
         pytest.skip("the Kafka connector is on the class path")
     with pytest.raises(Exception, match="kafka"):
         kafka.read_topic(spark, {"subscribe": "orders"})
+
+
+def test_json_lines_are_compressed(spark):
+    """Every line repeats the names of all columns."""
+    feed, path = orders(spark, *({"t": i} for i in range(2_000))), new_run_folder(spark, "jsonl")
+    files.write_json_lines(feed, path, schemas.ORDER_FEED)
+    stored = spark.read.format("binaryFile").load(path).selectExpr("sum(length)").first()[0]
+    read = files.read_json_lines(spark, path, schemas.ORDER_FEED)
+    assert stored < 2_000 * 100 and sorted(read.collect()) == sorted(feed.collect())
