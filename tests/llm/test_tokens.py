@@ -1,3 +1,4 @@
+import random
 import time
 
 import public_tokenizers
@@ -7,7 +8,8 @@ import tokenizers
 from pyspark.sql import functions as F
 
 from dispatchlens.llm import queries
-from dispatchlens.llm.sentence_pieces import Transducer, compile_model, decode_pieces, encode_pieces
+from dispatchlens.llm.merges import Merges
+from dispatchlens.llm.sentence_pieces import Transducer, chains, compile_model, decode_pieces, encode_pieces
 from dispatchlens.llm.token_counts import PrefixCounter, count_tokens
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -148,3 +150,37 @@ def test_least_weight_without_acceptor():
         path = model.path(word)
         assert "".join(path) == word
         assert -sum(scores[p] for p in path) == pytest.approx(best(word))
+
+
+def test_words_of_random_vocabularies_equal_merging():
+    draw = random.Random(5)
+    for _ in range(60):
+        tokens = list("abc")
+        for _ in range(draw.randint(1, 14)):
+            tokens.append(draw.choice(tokens) + draw.choice(tokens))
+        order = {t: draw.randint(1, 9) for t in tokens[3:]}
+        merges = Merges(lambda a, b: order.get(a + b), list, tokens, max(map(len, tokens)))
+        for _ in range(60):
+            word = "".join(draw.choices("abcd", [5, 4, 2, 1], k=draw.randint(1, 30)))
+            assert merges.encode(word) == merges.merge(word)[0], (order, word)
+
+
+def test_endings_of_words_are_not_composed_anew():
+    model = compile_model(open(MODEL, "rb").read())
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    stems = [a + b + c for a in ("Was", "hé", "cion") for b in ("thn", "öer", "ungu") for c in ("teau", "ка", "bl")]
+    ends = ["", ".", ",", "...", "?!", "$$$", "\n", ".\n\n", "'s", "-", "1", "²", "².", "_", ")"]
+    for stem in stems:
+        for end in ends:
+            text = f"{stem}{end}{stem} {end}{stem}"
+            assert model.encode(text).tolist() == library.encode(text), text
+    assert len(model.ids) <= 4 * len(stems) + 3 * len(ends)
+
+
+@pytest.mark.parametrize("crossing", [[], ["b."], ["b.", ".c1"], ["ab", "1b", "-a-"]])
+def test_no_token_reaches_out_of_a_chain(crossing):
+    tokens = ["a", "b", "c", "1", ".", "-", "é", " a", "  ", *crossing]
+    pattern = chains(tokens)
+    assert all(pattern.findall(t) == [t] for t in tokens)
+    text = " ab.c1 b--a\n  ²é._ b  "
+    assert "".join(pattern.findall(text)) == text
