@@ -109,3 +109,13 @@ def test_a_track_ends_after_its_timeout(spark):
     found = replay.run(tracks.jumps_stream(replay.couriers()), "jumps").collect()
     assert [r.event_id for r in found] == [r.event_id for r in location_jumps(feed).collect()] == ["far"]
     assert replay.progress[-1]["stateOperators"][0]["numRowsTotal"] <= 5  # the flush row's own state
+
+
+def test_state_holds_many_points_in_a_value():
+    rows = [("c", None, f"e{i}", "CAR", i, None if i % 3 else 1.5, float(i), i % 2 == 0) for i in range(100_000)]
+    points = frame(rows)
+    values = tracks.packed(points)
+    assert 1 < len(values) < 10 and all(len(v) < 8 << 20 for (v,) in values)
+    pd.testing.assert_frame_equal(tracks.unpacked(values), points)
+    assert tracks.packed(points[:0]) == []
+    assert tracks.unpacked(tracks.packed(frame([(None, None, "e", None, 5, None, None, True)]))).at[0, "at"] == 5
