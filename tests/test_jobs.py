@@ -7,6 +7,7 @@ from dispatchlens import jobs
 from dispatchlens.plans.catalog import ANALYTICS, REPORTS
 from dispatchlens.session import new_run_folder
 from dispatchlens.sources.files import read_results
+from __spark_entry__ import queries
 from oracle import feeds as fixture
 
 
@@ -74,3 +75,13 @@ def test_unknown_report_is_refused(capsys):
     with pytest.raises(SystemExit):
         cli.main(["report", "nonsense", "/nowhere"])
     assert "unknown report" in capsys.readouterr().err
+
+
+@pytest.mark.parametrize("name", ["orders", "couriers"])
+def test_stored_feeds_are_made_by_all_cores(spark, tables, monkeypatch, name):
+    kept = {}
+    monkeypatch.setattr(jobs.files, "write_feed", lambda feed, path, mode: kept.update({path: feed}))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):  # nothing is written here
+        queries()[f"feed_{name}"](spark, tables).count()
+    (feed,) = kept.values()
+    assert feed.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
