@@ -89,11 +89,57 @@ def test_long_texts_without_blanks_take_time_in_proportion(counter, library, nam
     assert around[0] <= 2048 and min(around[1:]) > 2048
 
 
+@pytest.mark.parametrize("name", [*LONG, "latin", "digits", "signs", "dotted", "spaced", "quotes"])
+def test_prefixes_of_long_texts_take_time_in_proportion(counter, library, name):
+    more = {"latin": "abcdefgh", "digits": "7", "signs": "#-=", "dotted": "İ", "spaced": "a\xa0", "quotes": "'"}
+    unit = LONG.get(name) or more[name]
+    text = (unit * (100_000 // len(unit) + 1))[:100_000]
+    start = time.time()
+    found = counter.prefixes(text)
+    spent = time.time() - start
+    assert spent < 20, spent
+    assert len(found) == len(text) + 1
+    for at in (0, 1, 63, 64, 65, 66, 67, 1_000, 1_001, 2_047, 4_099, len(text)):
+        assert found[at] == counts(library, [text[:at]])[0]
+
+
+def test_prefixes_of_texts_of_odd_characters(counter, library):
+    draw = random.Random(11)
+    units = [*"aAsldrve'!-12 \t\xa0\x85\x1cÀéİßſΣς中한글🙂", "e\u0301", "\u0323", "\u0344", "\u1112", "\u1161", "\u11ab", "กำ",
+             "'s", "'ll", "<|endoftext|>", "<|endof", "\u2126", "\u0958", "\u09c7\u09be"]
+    for _ in range(400):
+        some = draw.sample(units, draw.choice([2, 4, 10]))
+        text = "".join(draw.choices(some, k=draw.choice([4, 20, 120])))
+        assert counter.prefixes(text) == counts(library, [text[:i] for i in range(len(text) + 1)]), text
+
+
+def test_the_query_tells_the_tokens_of_every_prefix(spark, library, tmp_path):
+    rows = [(None, None), (1, ""), (1, ""), (2, "word " * 2_500), (3, "中" * 5_000), *enumerate(HARD)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.token_counts(spark, str(tmp_path)).collect()
+    wanted = []
+    for key, text in rows:
+        text = text or ""
+        table = counts(library, [text[:i] for i in range(len(text) + 1)]) if len(text) < 400 else None
+        wanted.append((str(key), len(text.encode()), counts(library, [text])[0], table))
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens) for r in found) == sorted(w[:3] for w in wanted)
+    told = [(str(r.doc_id), r.n_bytes, r.n_tokens, r.prefix_tokens) for r in found if r.n_bytes < 400]
+    assert sorted(told) == sorted(w for w in wanted if w[1] < 400)
+    for r in found:
+        assert r.prefix_tokens[-1] == r.n_tokens and r.over_limit == (r.n_tokens > 2048)
+        assert r.fitting_chars == max(i for i, n in enumerate(r.prefix_tokens) if n <= 2048)
+
+
 def test_workers_keep_short_words_only(counter):
     counter.count("x" * 5_000 + " " + "中" * 5_000 + " short")
     assert max(map(len, counter.words)) <= 64 and max(map(len, counter.pieces)) <= 64
 
 
+def test_workers_keep_prefixes_of_short_words_only(counter):
+    counter.prefixes("x" * 5_000 + " " + "中" * 5_000 + " short")
+    assert max(map(len, counter.word_prefixes)) <= 64 and max(map(len, counter.tables)) <= 64
+
+
 def test_count_tokens_odd_rows(spark, library):
     rows = [(None, None), (1, ""), (1, ""), (2, "word " * 30_000), *enumerate(HARD)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
