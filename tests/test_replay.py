@@ -51,6 +51,20 @@ def test_shuffled_rows_of_a_batch_are_not_kept(spark):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
+def test_the_audit_stores_each_feed_once(spark, tmp_path, monkeypatch):
+    spark.range(1, 400).selectExpr("id o_orderkey", "id o_custkey", "'3-MEDIUM' o_orderpriority").write.parquet(
+        f"{tmp_path}/orders.parquet"
+    )
+    spark.range(1, 400).selectExpr("id event_id", "id % 20 user_id", "'view' event_type").write.parquet(
+        f"{tmp_path}/events.parquet"
+    )
+    written, write = [], Replay._write
+    monkeypatch.setattr(Replay, "_write", lambda self, name: (written.append(name), write(self, name)))
+    found = entry.queries()["stream_state_audit"](spark, str(tmp_path)).collect()
+    assert sorted(written) == ["couriers", "orders"]
+    assert {r["query"] for r in found} == {"uc9_supply_demand", "uc13_courier_productivity", "x_eta_accuracy"}
+
+
 @pytest.mark.parametrize("always", [False, True])
 def test_dealing_out_tables_keeps_all_rows(spark, tmp_path, always):
     spark.range(1, 300, numPartitions=40).selectExpr("id o_orderkey", "id o_custkey", "'3-MEDIUM' o_orderpriority").write.parquet(
